@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, mixing, quality, secrets, sharding, warc
+from shelfspark.llm import decontaminate, jaccard, mixing, quality, secrets, sharding, warc
 from shelfspark.plans.lineage import scratch_path
 from shelfspark.registry import Query, table
 
@@ -36,6 +36,10 @@ def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality.verdict("base-1")).alias("base_failed"), quality.verdict().alias("kept"), F.col("failed").alias("failed_rules"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hit_words") > 0).alias("contaminated"))
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op3_jump_shards": op3_jump_shards,
     "op5_mix_to_weights": op5_mix_to_weights,
     "op6_rule_ledger": op6_rule_ledger,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_winnowing": op9_winnowing,
     "op10_warc_revisits": op10_warc_revisits,
 }
