@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, jaccard, mixing, quality, secrets, sharding, warc
+from shelfspark.llm import decontaminate, jaccard, mixing, quality, secrets, sharding, toxicity, warc
 from shelfspark.plans.lineage import scratch_path
 from shelfspark.registry import Query, table
 
 SHARDS = 8
 
 
+def op1_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     n = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -52,6 +57,7 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_deobfuscated_toxicity": op1_deobfuscated_toxicity,
     "op2_secret_ownership": op2_secret_ownership,
     "op3_jump_shards": op3_jump_shards,
     "op5_mix_to_weights": op5_mix_to_weights,
