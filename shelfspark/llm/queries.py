@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, jaccard, mixing, quality, secrets, sharding, toxicity, warc
+from shelfspark.llm import decontaminate, jaccard, mixing, quality, secrets, sharding, suffixes, toxicity, warc
 from shelfspark.plans.lineage import scratch_path
 from shelfspark.registry import Query, table
 
@@ -41,6 +41,12 @@ def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality.verdict("base-1")).alias("base_failed"), quality.verdict().alias("kept"), F.col("failed").alias("failed_rules"))
 
 
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["begin"])
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
@@ -62,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op3_jump_shards": op3_jump_shards,
     "op5_mix_to_weights": op5_mix_to_weights,
     "op6_rule_ledger": op6_rule_ledger,
+    "op7_suffix_repeats": op7_suffix_repeats,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_winnowing": op9_winnowing,
     "op10_warc_revisits": op10_warc_revisits,
