@@ -1,9 +1,11 @@
 """Exact set-similarity self-join on word shingles by T-occurrence search (DivideSkip: Li, Lu and Lu, 2008).
 
 1. Each text becomes its set of shingle hashes; equal sets are one class.
-2. Classes that can link at all share a shingle among the rarest
-   n - ceil(t n) + 1 of each. Such shingles tie classes of fitting sizes into
-   coarse groups, with no more edges than postings.
+2. Classes that can link share a shingle among the rarest n - ceil(t n) + 1 of
+   each. Postings of such shingles tie classes of fitting sizes into coarse
+   groups: a short list gives its pairs, of which those stay whose counts over
+   BINS hash bins don't rule a link out; in a long one every class is tied to
+   the list's first that fits, so ties never outgrow postings.
 3. Inside a group, in cells of bounded size, each class looks up its inverted
    lists: short ones are merged, long ones are probed by binary search for what
    the merge left, and classes that reach the required overlap are links.
@@ -24,11 +26,15 @@ from shelfspark.llm.components import components
 from shelfspark.plans.lineage import cut
 
 #: Shingles known to be frequent come last in the order of prefixes. Only the order depends on this table, never the result.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
 #: Frequent shingles that one task reports at most.
-FREQUENT_PER_TASK = 1 << 15
-#: Classes of a block; a cell holds two blocks at most.
-BLOCK = 512
+FREQUENT_PER_TASK = 1 << 17
+#: Postings lists of up to so many classes give their pairs.
+SHORT = 16
+#: Bins of the counts by which pairs are ruled out.
+BINS = 128
+#: Shingles of a block; a cell holds two blocks at most.
+BLOCK = 1_000_000
 #: Lists longer than so many times the query's median list are probed, not merged.
 LONG = 4
 #: Row keys of classes to be fetched are broadcast up to this many; beyond, texts meet them by shuffle.
@@ -75,7 +81,8 @@ def _signatures(size: int):
                 n = np.diff(offsets)
                 rows = part.num_rows
                 none = pa.nulls(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n.astype(np.int64)), tx.binary16(*set_digests(shingles, offsets)), none, none], names=["doc_id", "row_key", "n", "cls", "shingle", "times"])
+                bins = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(np.arange(rows + 1, dtype=np.int32) * BINS), pa.py_buffer(bin_counts(shingles, offsets).tobytes())])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n.astype(np.int64)), tx.binary16(*set_digests(shingles, offsets)), bins, none, none], names=["doc_id", "row_key", "n", "cls", "bins", "shingle", "times"])
                 values, counts = np.unique(shingles, return_counts=True)
                 often = np.concatenate([often, values[counts > 1]])
                 times = np.concatenate([times, counts[counts > 1]])
@@ -84,7 +91,7 @@ def _signatures(size: int):
         often, times = _top(often, times, FREQUENT_PER_TASK)
         if len(often):
             none = pa.nulls(len(often), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(often), pa.int64()), none, none, pa.nulls(len(often), pa.binary()), pa.array(often.view(np.int64)), pa.array(times.astype(np.int64))], names=["doc_id", "row_key", "n", "cls", "shingle", "times"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(often), pa.int64()), none, none, pa.nulls(len(often), pa.binary()), pa.nulls(len(often), pa.binary()), pa.array(often.view(np.int64)), pa.array(times.astype(np.int64))], names=["doc_id", "row_key", "n", "cls", "bins", "shingle", "times"])
 
     return run
 
@@ -104,19 +111,21 @@ def least_overlap(n, percent: int):
 
 
 def _prefixes(size: int, percent: int, frequent: np.ndarray, times: np.ndarray):
+    """Postings (shingle, n, node) of each class's prefix; a node is half of a class's digest, and a class comes once per task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = tx.front(frequent)
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for batch in batches:
             for _, data, at in tx.slices(batch, "text"):
                 shingles, offsets = shingle_sets(data, at, size)
                 n = np.diff(offsets)
-                classes = tx.binary16(*set_digests(shingles, offsets))
+                node = set_digests(shingles, offsets)[0].view(np.int64)
                 rank = np.zeros(len(shingles), np.int64)
                 known = tx.member(shingles, frequent, bits)
                 rank[known] = times[np.searchsorted(frequent, shingles[known])]
                 new = np.zeros(len(n), bool)
-                for k, c in enumerate(classes.to_pylist()):
+                for k, c in enumerate(node.tolist()):
                     new[k] = n[k] > 0 and c not in seen
                     seen.add(c)
                 take = np.where(new, n - least_overlap(n, percent) + 1, 0)
@@ -126,52 +135,89 @@ def _prefixes(size: int, percent: int, frequent: np.ndarray, times: np.ndarray):
                     order[lo:hi] = lo + np.argsort(rank[lo:hi], kind="stable")
                 chosen = order[tx.ranges(offsets[:-1], take)]
                 rows = np.repeat(np.arange(len(n)), take)
-                yield pa.RecordBatch.from_arrays([pa.array(shingles[chosen].view(np.int64)), pa.array(n[rows].astype(np.int32)), classes.take(pa.array(rows))], names=["shingle", "n", "cls"])
+                yield pa.RecordBatch.from_arrays([pa.array(shingles[chosen].view(np.int64)), pa.array(n[rows].astype(np.int32)), pa.array(node[rows])], names=["shingle", "n", "node"])
 
     return run
 
 
+def list_ties(shingle: np.ndarray, n: np.ndarray, node: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, pair) from whole postings lists sorted by shingle, size and node.
+
+    Short lists give all pairs of fitting sizes (pair true). In a long one each
+    class is tied to the list's first if that fits, else to the one before it:
+    between two classes that fit, all in between fit too, so they stay together.
+    """
+    same = np.zeros(len(shingle), bool)
+    same[1:] = (shingle[1:] == shingle[:-1]) & (node[1:] == node[:-1])
+    shingle, n, node = shingle[~same], n[~same].astype(np.int64), node[~same]
+    first = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]])) if len(shingle) else np.zeros(0, np.int64)
+    length = np.diff(np.append(first, len(shingle)))
+    head, many = np.repeat(first, length), np.repeat(length, length)
+    place = np.arange(len(shingle)) - head
+    a, b = [], []
+    short = np.flatnonzero((many <= SHORT) & (place > 0))
+    for back in range(1, SHORT):
+        mine = short[place[short] >= back]
+        a.append(mine)
+        b.append(mine - back)
+    pairs = sum(map(len, a))
+    long = np.flatnonzero((many > SHORT) & (place > 0))
+    to_first = 100 * n[head[long]] >= percent * n[long]
+    a.append(long)
+    b.append(np.where(to_first, head[long], long - 1))
+    a, b = np.concatenate(a), np.concatenate(b)
+    pair = np.arange(len(a)) < pairs
+    fit = (100 * n[b] >= percent * n[a]) & (node[a] != node[b])
+    return np.maximum(node[a], node[b])[fit], np.minimum(node[a], node[b])[fit], pair[fit]
+
+
 def _ties(percent: int):
-    """Edges of coarse groups from postings sorted by shingle and size."""
+    """Postings sorted by shingle, size and node -> distinct ties (a, b, pair); lists are kept whole across batches."""
+
+    def solve(held: list[pa.RecordBatch], whole: bool) -> tuple[pa.RecordBatch | None, list[pa.RecordBatch]]:
+        shingle, n, node = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(3))
+        end = len(shingle) if whole else int(np.searchsorted(shingle, shingle[-1]))
+        rest = [pa.RecordBatch.from_arrays([pa.array(shingle[end:]), pa.array(n[end:]), pa.array(node[end:])], names=["shingle", "n", "node"])] if end < len(shingle) else []
+        a, b, pair = list_ties(shingle[:end], n[:end], node[:end], percent)
+        if not len(a):
+            return None, rest
+        rows = np.unique(np.stack([a, b, pair.astype(np.int64)], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2] > 0)], names=["a", "b", "pair"]), rest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple | None = None  # shingle, then size and class of the list's first posting and of the one before
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            shingle, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
-            raw, _ = tx.string_parts(batch.column(2))
-            cls = np.frombuffer(raw.tobytes(), "V16")
-            begins = np.empty(len(n), bool)
-            begins[1:] = shingle[1:] != shingle[:-1]
-            begins[0] = last is None or last[0] != shingle[0]
-            pn, pc = np.empty_like(n), np.empty_like(cls)
-            pn[1:], pc[1:] = n[:-1], cls[:-1]
-            fn, fc = n.copy(), cls.copy()
-            head = np.maximum.accumulate(np.where(begins, np.arange(len(n)), -1))
-            own = head >= 0
-            fn[own], fc[own] = n[head[own]], cls[head[own]]
-            if last is not None:
-                pn[0], pc[0] = last[3], last[4]
-                fn[~own], fc[~own] = last[1], last[2]
-            last = (shingle[-1], fn[-1], fc[-1], n[-1], cls[-1])
-            inner = np.flatnonzero(~begins)
-            to_first = 100 * fn[inner] >= percent * n[inner]
-            to_last = ~to_first & (100 * pn[inner] >= percent * n[inner])
-            mine = np.concatenate([cls[inner[to_first]], cls[inner[to_last]]])
-            other = np.concatenate([fc[inner[to_first]], pc[inner[to_last]]])
-            differ = mine != other
-            if differ.any():
-                both = np.unique(np.stack([mine[differ], other[differ]], 1).view("V32").ravel())
-                pairs = np.frombuffer(both.tobytes(), "V16").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([_binary(pairs[:, 0]), _binary(pairs[:, 1])], names=["a", "b"])
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) > 200_000 and held[0].column(0)[0] != held[-1].column(0)[-1]:
+                out, held = solve(held, False)
+                if out is not None:
+                    yield out
+        if held and (out := solve(held, True)[0]) is not None:
+            yield out
 
     return run
 
 
-def _binary(values: np.ndarray) -> pa.Array:
-    raw = np.ascontiguousarray(values).tobytes()
-    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(np.arange(len(values) + 1, dtype=np.int32) * 16), pa.py_buffer(raw)])
+def bin_counts(shingles: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each set how many of its shingles fall into each of BINS bins, 255 at most."""
+    rows = len(offsets) - 1
+    slot = np.repeat(np.arange(rows), np.diff(offsets)) * BINS + (tx.mix(shingles ^ np.uint64(0x94D049BB133111EB)) % np.uint64(BINS)).astype(np.int64)
+    return np.minimum(np.bincount(slot, minlength=rows * BINS), 255).astype(np.uint8).reshape(rows, BINS)
+
+
+def _possible(percent: int):
+    """Pairs with both sizes and bin counts -> those that can link: counts differ by no more than linked sets do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [np.frombuffer(tx.string_parts(batch.column(k))[0].tobytes(), np.uint8).reshape(-1, BINS) for k in (4, 5)]
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            apart = np.abs(counts[0].astype(np.int16) - counts[1]).sum(1)
+            fit = pa.array((100 + percent) * apart <= (100 - percent) * n)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(fit), batch.column(1).filter(fit)], names=["a", "b"])
+
+    return run
 
 
 def _fetch(size: int):
@@ -295,25 +341,33 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
     never names a component that has another key. Shingles are compared by
     64-bit hashes, classes by 128 bits.
 
-    A coarse group of any size is worked on in cells of two blocks, so no task
-    holds more than 2 x ``block`` sets; counting the links of one class with
-    all others of a very large near-copy group takes the square of its blocks.
+    A coarse group of any size is worked on in cells of two blocks of about
+    ``block`` shingles, which bounds what a task holds; counting the links of
+    each class within a very large group takes the square of its blocks.
     """
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     docs = docs.select("doc_id", F.xxhash64(F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text"))).alias("row_key"), "text")
-    both = cut(docs.mapInArrow(_signatures(size), "doc_id long, row_key long, n long, cls binary, shingle long, times long"), "jaccard-signatures")
+    both = cut(docs.mapInArrow(_signatures(size), "doc_id long, row_key long, n long, cls binary, bins binary, shingle long, times long"), "jaccard-signatures")
     signed = both.filter("n IS NOT NULL").select("doc_id", "row_key", "n", "cls")
     top = both.filter("times IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "shingle").limit(FREQUENT).toPandas()
     frequent = top["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(frequent)
     frequent, times = frequent[order], top["times"].to_numpy(np.int64)[order]
-
-    postings = docs.select("text").mapInArrow(_prefixes(size, percent, frequent, times), "shingle long, n int, cls binary")
-    ties = postings.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(_ties(percent), "a binary, b binary")
-    coarse = cut(components(ties), "jaccard-coarse")
-    classes = cut(signed.filter("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.min("row_key").alias("row_key")), "jaccard-classes")
-    blocks = coarse.groupBy(F.col("root").alias("r")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    members = coarse.join(blocks, F.col("root") == F.col("r")).join(classes, F.col("node") == F.col("cls")).select("cls", "root", "blocks", "copies", "row_key", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
+    classes = cut(signed.filter("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), F.max("n").alias("n")), "jaccard-classes")
+
+    postings = docs.select("text").mapInArrow(_prefixes(size, percent, frequent, times), "shingle long, n int, node long")
+    ties = cut(postings.repartition("shingle").sortWithinPartitions("shingle", "n", "node").mapInArrow(_ties(percent), "a long, b long, pair boolean").distinct(), "jaccard-ties")
+    half = F.conv(F.hex(F.substring("cls", 1, 8)), 16, -10).cast("long")
+    pairs = ties.filter("pair")
+    counts = both.filter("n > 0").select(half.alias("node"), "n", "bins")
+    counts = counts.join(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), F.col("node") == F.col("w"), "left_semi").dropDuplicates(["node"])
+    counts = cut(counts, "jaccard-bins")
+    one, two = (counts.select(F.col("node").alias(f"node{k}"), F.col("n").alias(f"n{k}"), F.col("bins").alias(f"bins{k}")) for k in (1, 2))
+    beside = pairs.join(one, F.col("a") == F.col("node1")).join(two, F.col("b") == F.col("node2")).select("a", "b", "n1", "n2", "bins1", "bins2")
+    coarse = components(beside.mapInArrow(_possible(percent), "a long, b long").unionByName(ties.filter("NOT pair").select("a", "b")))
+    grouped = cut(classes.withColumn("half", half).join(coarse, F.col("half") == F.col("node")).select("cls", "root", "copies", "row_key", "n"), "jaccard-grouped")
+    blocks = grouped.groupBy(F.col("root").alias("r")).agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
+    members = grouped.join(blocks, F.col("root") == F.col("r")).select("cls", "root", "blocks", "copies", "row_key", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
     members = cut(members, "jaccard-members")
     wanted = members.select(F.col("row_key").alias("__wanted")).distinct()
     if members.count() <= BROADCAST_KEYS:

@@ -56,7 +56,7 @@ def near_copies(seed, n=120, words=40):
     return rows
 
 
-@pytest.mark.parametrize("seed,percent,size,block", [(1, 85, 4, 512), (2, 80, 5, 7), (3, 60, 2, 4), (4, 95, 3, 512)])
+@pytest.mark.parametrize("seed,percent,size,block", [(1, 85, 4, 1_000_000), (2, 80, 5, 100), (3, 60, 2, 60), (4, 95, 3, 500)])
 def test_links_and_components(spark, seed, percent, size, block):
     rows = near_copies(seed)
     got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), size, percent, block=block).collect()
@@ -84,3 +84,30 @@ def test_components_of_paths_stars_and_rings(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100), 200: 200, 201: 200, 202: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_lists_and_bins_keep_every_link_together():
+    rnd = np.random.default_rng(7)
+    for percent in (60, 85):
+        sizes = np.sort(rnd.integers(5, 200, 400))
+        shingle, node = np.sort(rnd.integers(0, 30, 400)), np.arange(400)
+        order = np.lexsort((node, sizes, shingle))
+        s, n, c = shingle[order], sizes[order], node[order]
+        a, b, _ = jaccard.list_ties(s, n, c, percent)
+        root = list(range(400))
+
+        def top(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            root[top(x)] = top(y)
+        for x in range(400):
+            for y in range(x):
+                if s[x] == s[y] and 100 * min(n[x], n[y]) >= percent * max(n[x], n[y]):
+                    assert top(int(c[x])) == top(int(c[y]))
+    whole = np.unique(rnd.integers(0, 2**63 - 1, 5000).astype(np.uint64))
+    other = np.unique(np.concatenate([whole[300:], rnd.integers(0, 2**63 - 1, 200).astype(np.uint64)]))
+    one, two = (jaccard.bin_counts(x, np.array([0, len(x)]))[0].astype(int) for x in (whole, other))
+    assert np.abs(one - two).sum() <= len(np.setxor1d(whole, other))
