@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.llm import text as tx
@@ -329,8 +329,13 @@ def _cells(percent: int):
     return run
 
 
+def row_key(key: Column, text: Column) -> Column:
+    """A 64-bit name of a row: repeated rows share it, and hardly any others."""
+    return F.xxhash64(key.cast("long"), text.cast("string"))
+
+
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """Per row of ``docs``: key (long), n_shingles, component_id, n_links.
+    """Per row of ``docs``: key (long), n_shingles, component_id, n_links, row_key, stays.
 
     Rows link where 100 x |intersection| >= ``percent`` x |union| of their sets
     of distinct ``size``-word shingles, A-Z lowered; a text of fewer words is
@@ -339,21 +344,23 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
     included, and ``n_links`` the number of rows it links to directly. Rows
     with equal sets are one class, so copies never become pairs. A null key
     never names a component that has another key. Shingles are compared by
-    64-bit hashes, classes by 128 bits.
+    64-bit hashes, classes by 128 bits. ``stays`` is true for the one row of each
+    component that names it (keyless rows come last) and for rows without
+    words; repeated rows share their ``row_key`` and stay or go together.
 
     A coarse group of any size is worked on in cells of two blocks of about
     ``block`` shingles, which bounds what a task holds; counting the links of
     each class within a very large group takes the square of its blocks.
     """
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    docs = docs.select("doc_id", F.xxhash64(F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text"))).alias("row_key"), "text")
+    docs = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text")
     both = cut(docs.mapInArrow(_signatures(size), "doc_id long, row_key long, n long, cls binary, bins binary, shingle long, times long"), "jaccard-signatures")
     signed = both.filter("n IS NOT NULL").select("doc_id", "row_key", "n", "cls")
     top = both.filter("times IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "shingle").limit(FREQUENT).toPandas()
     frequent = top["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(frequent)
     frequent, times = frequent[order], top["times"].to_numpy(np.int64)[order]
-    classes = cut(signed.filter("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), F.max("n").alias("n")), "jaccard-classes")
+    classes = cut(signed.filter("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("keyless"), "doc_id", "row_key")).alias("least"), F.min("row_key").alias("row_key"), F.max("n").alias("n")), "jaccard-classes")
 
     postings = docs.select("text").mapInArrow(_prefixes(size, percent, frequent, times), "shingle long, n int, node long")
     ties = cut(postings.repartition("shingle").sortWithinPartitions("shingle", "n", "node").mapInArrow(_ties(percent), "a long, b long, pair boolean").distinct(), "jaccard-ties")
@@ -380,7 +387,26 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
     linked = components(found.filter("other IS NOT NULL").select(F.col("cls").alias("a"), F.col("other").alias("b")))
     degrees = found.filter("links IS NOT NULL").groupBy(F.col("cls").alias("d")).agg(F.sum("links").alias("links"))
     named = classes.join(linked, F.col("cls") == F.col("node"), "left").join(degrees, F.col("cls") == F.col("d"), "left").select("cls", "copies", "least", F.coalesce("root", "cls").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-    names = named.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
-    named = named.join(names, F.col("root") == F.col("r")).select(F.col("cls").alias("c"), "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    some = signed.filter("n > 0").join(named, F.col("cls") == F.col("c")).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
-    return some.unionByName(signed.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")))
+    names = named.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("first"))
+    named = named.join(names, F.col("root") == F.col("r")).select(F.col("cls").alias("c"), F.col("first.doc_id").alias("component_id"), F.col("first.row_key").alias("first_key"), (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    some = signed.filter("n > 0").join(named, F.col("cls") == F.col("c")).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", "row_key", (F.col("row_key") == F.col("first_key")).alias("stays"))
+    return some.unionByName(signed.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), "row_key", F.lit(True).alias("stays")))
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of near duplicates, columns untouched.
+
+    The rows that go are told by their row keys, which are broadcast up to
+    BROADCAST_KEYS; texts that stay are not shuffled then. Of repeated rows one
+    stays: only rows known to be repeated are numbered for that.
+    """
+    found = cut(jaccard_components(docs, size, percent, key, text).select("row_key", "stays"), "jaccard-keep")
+    gone = found.filter("NOT stays").select(F.col("row_key").alias("__gone")).distinct()
+    again = found.filter("stays").groupBy(F.col("row_key").alias("__again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__again")
+    gone, again = cut(gone, "jaccard-gone"), cut(again, "jaccard-again")
+    side = lambda t: F.broadcast(t) if t.count() <= BROADCAST_KEYS else t
+    kept = docs.withColumn("__key", row_key(F.col(key), F.col(text))).join(side(gone), F.col("__key") == F.col("__gone"), "left_anti")
+    once = kept.join(side(again), F.col("__key") == F.col("__again"), "left_anti")
+    repeated = kept.join(side(again), F.col("__key") == F.col("__again"), "left_semi")
+    first = repeated.withColumn("__n", F.row_number().over(Window.partitionBy("__key").orderBy("__key"))).filter("__n = 1").drop("__n")
+    return once.unionByName(first).drop("__key")

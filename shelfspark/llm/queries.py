@@ -48,7 +48,7 @@ def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
