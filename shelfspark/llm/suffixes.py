@@ -31,8 +31,8 @@ SEGMENT = 1 << 20
 HOT = 4096
 #: Suffixes sorted at once, about.
 SORT_AT_ONCE = 500_000
-#: Texts with repeats are broadcast to the last scan up to this many runs; beyond, texts meet their runs by shuffle.
-BROADCAST_RUNS = 400_000
+#: Runs of repeats are broadcast to the last scan up to this many numbers; beyond, texts meet their runs by shuffle.
+BROADCAST_NUMBERS = 1_000_000
 
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -116,8 +116,8 @@ def _anchor_rows(span: int, gram: int):
 
 
 def _contexts(span: int):
-    """Rows (ref, text, list of anchors) -> one row per anchor with the bytes of all strings that it anchors."""
-    schema = pa.schema([("anchor", pa.int64()), ("hot", pa.bool_()), ("ref", pa.int64()), ("ahead", pa.int64()), ("begin", pa.int64()), ("bytes", pa.binary())])
+    """Rows (ref, text, list of anchors) -> the bytes of all strings that an anchor reaches, once per text with all their begins."""
+    schema = pa.schema([("anchor", pa.int64()), ("hot", pa.bool_()), ("ref", pa.int64()), ("ahead", pa.int64()), ("begins", pa.list_(pa.int64())), ("bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,16 +125,29 @@ def _contexts(span: int):
                 lists = tx.as_array(part.column(2))
                 flat, rows = lists.flatten(), np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
                 get = lambda name, flat=flat: flat.field(name).to_numpy(zero_copy_only=False)
-                begin, stop, pos = get("begin"), get("stop"), get("pos")
-                room = np.diff(at)[rows]
-                fit = (begin >= 0) & (stop + span - 1 <= room)
-                for lo in range(0, len(rows), 20_000):
-                    some = np.flatnonzero(fit[lo : lo + 20_000]) + lo
-                    lengths = stop[some] - begin[some] + span - 1
-                    raw = data[tx.ranges(at[rows[some]] + begin[some], lengths)]
-                    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                    bytes_ = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets), pa.py_buffer(raw.tobytes())])
-                    yield pa.RecordBatch.from_arrays([pa.array(get("anchor")[some]), pa.array(get("hot")[some]), pa.array(part.column(0).to_numpy()[rows[some]]), pa.array(pos[some] - begin[some]), pa.array(begin[some]), bytes_], schema=schema)
+                begin, stop, pos, anchor, hot = (get(k) for k in ("begin", "stop", "pos", "anchor", "hot"))
+                fit = (begin >= 0) & (stop + span - 1 <= np.diff(at)[rows])
+                begin, stop, pos, anchor, hot, rows = (x[fit] for x in (begin, stop, pos, anchor, hot, rows))
+                lo, hi = at[rows] + begin, at[rows] + stop + span - 1
+                inverse = tx.powers(len(data) + 1)[1]
+                one, two = (tx.mix((sums[hi] - sums[lo]) * inverse[lo]) for sums in (_prefix_sums(data, 31), _prefix_sums(data, 32)))
+                order = np.lexsort((begin, two, one, hi - lo, pos - begin, anchor, rows))
+                new = np.ones(len(order), bool)
+                same = np.ones(max(0, len(order) - 1), bool)
+                for k in (two, one, hi - lo, pos - begin, anchor, rows):
+                    same &= k[order][1:] == k[order][:-1]
+                new[1:] = ~same
+                first = np.flatnonzero(new)
+                ends = np.append(first, len(order))
+                sorted_begins = begin[order]
+                for k in range(0, len(first), 20_000):
+                    mine = order[first[k : k + 20_000]]
+                    raw = data[tx.ranges(lo[mine], hi[mine] - lo[mine])]
+                    offsets = np.concatenate([[0], np.cumsum(hi[mine] - lo[mine])]).astype(np.int32)
+                    bytes_ = pa.Array.from_buffers(pa.binary(), len(mine), [None, pa.py_buffer(offsets), pa.py_buffer(raw.tobytes())])
+                    edge = ends[k : k + len(mine) + 1]
+                    begins = pa.ListArray.from_arrays(pa.array((edge - edge[0]).astype(np.int32)), pa.array(sorted_begins[edge[0] : edge[-1]]))
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor[mine]), pa.array(hot[mine]), pa.array(part.column(0).to_numpy()[rows[mine]]), pa.array(pos[mine] - begin[mine]), begins, bytes_], schema=schema)
 
     return run
 
@@ -236,27 +249,33 @@ def runs_of(flags: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return block[begins], place[begins], place[ends] + 1
 
 
-_RUNS = pa.schema([("ref", pa.int64()), ("begin", pa.int64()), ("stop", pa.int64())])
+_RUNS = pa.schema([("ref", pa.int64()), ("begins", pa.list_(pa.int64())), ("los", pa.list_(pa.int64())), ("his", pa.list_(pa.int64()))])
 
 
 def _sort_groups(span: int):
-    """Contexts sorted by anchor -> runs of repeated bytes (ref, begin, stop)."""
+    """Contexts sorted by anchor -> per context its runs of repeated bytes, from each of its begins on."""
 
     def solve(batch: pa.RecordBatch) -> pa.RecordBatch:
-        anchor, ref, ahead, begin = (batch.column(k).to_numpy() for k in range(4))
+        anchor, ref, ahead = (batch.column(k).to_numpy() for k in range(3))
+        lists = tx.as_array(batch.column(3))
+        at = lists.offsets.to_numpy()
+        begin, times = lists.values.to_numpy()[at[:-1]], np.diff(at)
         data, offsets = tx.string_parts(tx.as_array(batch.column(4)))
         order = np.lexsort((ahead, begin, ref, anchor))
         same = np.zeros(len(order), bool)  # an occurrence that came twice counts once
         same[1:] = (anchor[order][1:] == anchor[order][:-1]) & (ref[order][1:] == ref[order][:-1]) & (begin[order][1:] == begin[order][:-1]) & (ahead[order][1:] == ahead[order][:-1])
         keep = np.sort(order[~same])
         lengths = np.diff(offsets)[keep]
-        data = data[tx.ranges(offsets[keep], lengths)] if len(keep) < len(order) else data
+        data = data[tx.ranges(offsets[keep], lengths)]
         offsets = np.concatenate([[0], np.cumsum(lengths)])
         _, group = np.unique(anchor[keep], return_inverse=True)
-        flags = repeated_starts(data, offsets, ahead[keep], group, span)
-        block, lo, hi = runs_of(flags, lengths - span + 1)
-        at = begin[keep][block]
-        return pa.RecordBatch.from_arrays([pa.array(ref[keep][block]), pa.array(at + lo), pa.array(at + hi - 1 + span)], schema=_RUNS)
+        counts = lengths - span + 1
+        flags = repeated_starts(data, offsets, ahead[keep], group, span) | np.repeat(times[keep] > 1, counts)
+        block, lo, hi = runs_of(flags, counts)
+        some, edge = np.unique(block, return_index=True)
+        edge = pa.array(np.append(edge, len(block)).astype(np.int32))
+        mine = pa.array(keep[some])
+        return pa.RecordBatch.from_arrays([batch.column(1).take(mine), lists.take(mine), pa.ListArray.from_arrays(edge, pa.array(lo.astype(np.int64))), pa.ListArray.from_arrays(edge, pa.array((hi - 1 + span).astype(np.int64)))], schema=_RUNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -315,17 +334,17 @@ def _string_digests(span: int):
 
 def _hot_runs(hot: DataFrame, span: int) -> DataFrame:
     """Runs of repeated bytes under hot anchors: equal contexts meet first, then the strings of different ones."""
-    named = hot.withColumn("context", F.xxhash64("anchor", "ahead", "bytes")).withColumn("occurrence", F.xxhash64("ref", "begin"))
+    named = hot.withColumn("context", F.xxhash64("anchor", "ahead", "bytes")).withColumn("occurrence", F.xxhash64("ref", F.col("begins")[0]))
     strings = (F.octet_length("bytes") - (span - 1)).cast("long")
-    facts = named.groupBy("context").agg(F.min("occurrence").alias("o1"), F.max("occurrence").alias("o2"))
+    facts = named.groupBy("context").agg(F.min("occurrence").alias("o1"), F.max("occurrence").alias("o2"), F.max(F.size("begins")).alias("times"))
     seen = named.groupBy("context").agg(F.min("bytes").alias("bytes"))
     digests = seen.mapInArrow(_string_digests(span), "w1 long, w2 long, context long, place long")
     met = digests.groupBy("w1", "w2").agg(F.min("context").alias("c1"), F.max("context").alias("c2"), F.min("place").alias("p1"), F.max("place").alias("p2")).filter("c1 <> c2 OR p1 <> p2").select(F.col("w1").alias("x1"), F.col("w2").alias("x2"))
     places = digests.join(met, (F.col("w1") == F.col("x1")) & (F.col("w2") == F.col("x2"))).groupBy("context").agg(F.array_sort(F.collect_set("place")).alias("places"))
-    whole = facts.filter("o1 <> o2").select(F.col("context").alias("c"))
-    full = named.join(whole, F.col("context") == F.col("c")).select("ref", "begin", (F.col("begin") + strings - 1 + span).alias("stop"))
-    part = named.join(whole, F.col("context") == F.col("c"), "left_anti").select("ref", "begin", "context").join(places.withColumnRenamed("context", "c"), F.col("context") == F.col("c"))
-    return full.unionByName(part.select("ref", F.explode("places").alias("place"), "begin").select("ref", (F.col("begin") + F.col("place")).alias("begin"), (F.col("begin") + F.col("place") + span).alias("stop")))
+    whole = facts.filter("o1 <> o2 OR times > 1").select(F.col("context").alias("c"))
+    full = named.join(whole, F.col("context") == F.col("c")).select("ref", "begins", F.array(F.lit(0).cast("long")).alias("los"), F.array(strings - 1 + span).alias("his"))
+    part = named.join(whole, F.col("context") == F.col("c"), "left_anti").join(places.withColumnRenamed("context", "c"), F.col("context") == F.col("c"))
+    return full.unionByName(part.select("ref", "begins", F.col("places").alias("los"), F.transform("places", lambda p: p + span).alias("his")))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -351,7 +370,7 @@ def _remove(keep: int, span: int):
                         cuts = [(0, len(raw))]
                     else:
                         got = runs[k].as_py()
-                        cuts = merged([(r["begin"], r["stop"]) for r in got]) if got else []
+                        cuts = merged([(b + lo, b + hi) for r in got for b in r["begins"] for lo, hi in zip(r["los"], r["his"], strict=True)]) if got else []
                     edges = [0, *[x for c in cuts for x in c], len(raw)]
                     left = b"".join(raw[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2], strict=True))
                     n.append(len(raw))
@@ -390,15 +409,16 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     lists = mine.groupBy("ref").agg(F.collect_list(F.struct("anchor", "hot", "pos", "begin", "stop")).alias("anchors"))
     wanted = lists.join(texts.select(F.col("ref").alias("r"), "row_key"), F.col("ref") == F.col("r")).select(F.col("row_key").alias("k"), "anchors").hint("shuffle_hash")
     located = source.select("ref", "text", row_key.alias("row_key")).filter(F.octet_length("text") >= span).join(wanted, F.col("row_key") == F.col("k")).select("ref", "text", "anchors")
-    contexts = cut(located.mapInArrow(_contexts(span), "anchor long, hot boolean, ref long, ahead long, begin long, bytes binary"), "repeats-contexts")
+    contexts = cut(located.mapInArrow(_contexts(span), "anchor long, hot boolean, ref long, ahead long, begins array<long>, bytes binary"), "repeats-contexts")
 
-    cold = contexts.filter("NOT hot").select("anchor", "ref", "ahead", "begin", "bytes").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_groups(span), "ref long, begin long, stop long")
+    cold = contexts.filter("NOT hot").select("anchor", "ref", "ahead", "begins", "bytes").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_groups(span), "ref long, begins array<long>, los array<long>, his array<long>")
     runs = cold.unionByName(_hot_runs(contexts.filter("hot"), span))
-    per_text = runs.groupBy("ref").agg(F.collect_list(F.struct("begin", "stop")).alias("runs"))
+    per_text = runs.groupBy("ref").agg(F.collect_list(F.struct("begins", "los", "his")).alias("runs"))
     facts = texts.filter(F.col("copies") > 1).select(F.col("ref").alias("r"), F.lit(True).alias("copied"))
     per_text = cut(per_text.join(facts, F.col("ref") == F.col("r"), "full").select(F.coalesce("ref", "r").alias("r"), F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied"), None).otherwise(F.col("runs")).alias("runs")), "repeats-runs")
     side = per_text
-    if (per_text.agg(F.sum(F.coalesce(F.size("runs"), F.lit(0)) + 1)).first()[0] or 0) <= BROADCAST_RUNS:
+    numbers = F.coalesce(F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + F.size(r["begins"]) + 2 * F.size(r["los"])), F.lit(0).cast("long")) + 1
+    if (per_text.agg(F.sum(numbers)).first()[0] or 0) <= BROADCAST_NUMBERS:
         side = F.broadcast(per_text)
     joined = source.join(side, F.col("ref") == F.col("r"), "left").select(*[F.col(f"`{k}`") for k in keep], F.coalesce("copied", F.lit(False)).alias("copied"), "runs", "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[: len(keep)])
