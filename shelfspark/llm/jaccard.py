@@ -33,6 +33,8 @@ FREQUENT_PER_TASK = 1 << 17
 SHORT = 16
 #: Bins of the counts by which pairs are ruled out.
 BINS = 128
+#: Classes of which one task compares bin counts at once, half of them with the other half.
+COUNTED = 2048
 #: Shingles of a block; a cell holds two blocks at most.
 BLOCK = 1_000_000
 #: Lists longer than so many times the query's median list are probed, not merged.
@@ -220,6 +222,81 @@ def _possible(percent: int):
     return run
 
 
+def _counted_cells(percent: int):
+    """Rows (root, band, i, j, node, n, bins, part) sorted by cell -> edges between nodes whose counts allow a link, no more than nodes."""
+
+    def solve(cell: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+        node = np.array([r[0] for r in rows], np.int64)
+        n = np.array([r[1] for r in rows], np.int64)
+        bins = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, BINS)
+        part = np.array([r[3] for r in rows])
+        order = np.argsort(n, kind="stable")
+        node, n, bins, part = node[order], n[order], bins[order].astype(np.int16), part[order]
+        root = list(range(len(node)))
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        edges = []
+        for k in range(1, len(node)):
+            lo = int(np.searchsorted(100 * n[:k], percent * n[k]))
+            apart = np.abs(bins[lo:k] - bins[k]).sum(1)
+            fit = ((100 + percent) * apart <= (100 - percent) * (n[lo:k] + n[k])) & (node[lo:k] != node[k])
+            if cell[2] != cell[3]:
+                fit &= part[lo:k] != part[k]
+            for f in (np.flatnonzero(fit) + lo).tolist():
+                if (a := top(k)) != (b := top(f)):
+                    root[a] = b
+                    edges.append((int(node[k]), int(node[f])))
+        return edges
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, rows = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if len(rows) > 1 and (edges := solve(cell, rows)):
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in edges], pa.int64()), pa.array([b for _, b in edges], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for row in zip(*columns, strict=True):
+                if row[:4] != cell:
+                    yield from done()
+                    cell, rows = row[:4], []
+                rows.append(row[4:])
+        yield from done()
+
+    return run
+
+
+def _part_large(grouped: DataFrame, percent: int, block: int) -> DataFrame:
+    """``grouped`` with new roots for the groups that don't fit into one block, from bin counts of their pairs.
+
+    Sizes go into bands so wide that linked sets are in one or two that follow
+    each other; each pair of bands is worked on in cells of bounded size.
+    """
+    sizes = grouped.groupBy(F.col("root").alias("r")).agg((F.sum("n") > block).alias("large"))
+    told = cut(grouped.join(sizes, F.col("root") == F.col("r")).drop("r"), "jaccard-told")
+    large = told.filter("large").withColumn("node", half_of(F.col("cls")))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
+    banded = large.select("root", "node", "n", "bins", F.explode(F.array(band - 1, band)).alias("band"))
+    parts = banded.groupBy(F.col("root").alias("r"), F.col("band").alias("b")).agg(F.ceil(F.count(F.lit(1)) / COUNTED).cast("int").alias("parts"))
+    placed = banded.join(parts, (F.col("root") == F.col("r")) & (F.col("band") == F.col("b"))).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = placed.select("root", "band", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "node", "n", "bins", "part")
+    edges = cells.repartition("root", "band", "i", "j").sortWithinPartitions("root", "band", "i", "j").mapInArrow(_counted_cells(percent), "a long, b long")
+    again = components(edges).select(F.col("node").alias("w"), F.col("root").alias("new_root"))
+    parted = large.join(again, F.col("node") == F.col("w")).select("cls", F.col("new_root").alias("root"), "copies", "row_key", "n")
+    return told.filter("NOT large").select("cls", "root", "copies", "row_key", "n").unionByName(parted)
+
+
+def half_of(cls: Column) -> Column:
+    """The node of a class: the first half of its digest as a number."""
+    return F.conv(F.hex(F.substring(cls, 1, 8)), 16, -10).cast("long")
+
+
 def _fetch(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -360,19 +437,15 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
     frequent = top["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(frequent)
     frequent, times = frequent[order], top["times"].to_numpy(np.int64)[order]
-    classes = cut(signed.filter("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("keyless"), "doc_id", "row_key")).alias("least"), F.min("row_key").alias("row_key"), F.max("n").alias("n")), "jaccard-classes")
+    classes = cut(both.filter("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("keyless"), "doc_id", "row_key")).alias("least"), F.min("row_key").alias("row_key"), F.max("n").alias("n"), F.min("bins").alias("bins")).withColumn("half", half_of(F.col("cls"))), "jaccard-classes")
 
     postings = docs.select("text").mapInArrow(_prefixes(size, percent, frequent, times), "shingle long, n int, node long")
     ties = cut(postings.repartition("shingle").sortWithinPartitions("shingle", "n", "node").mapInArrow(_ties(percent), "a long, b long, pair boolean").distinct(), "jaccard-ties")
-    half = F.conv(F.hex(F.substring("cls", 1, 8)), 16, -10).cast("long")
-    pairs = ties.filter("pair")
-    counts = both.filter("n > 0").select(half.alias("node"), "n", "bins")
-    counts = counts.join(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), F.col("node") == F.col("w"), "left_semi").dropDuplicates(["node"])
-    counts = cut(counts, "jaccard-bins")
-    one, two = (counts.select(F.col("node").alias(f"node{k}"), F.col("n").alias(f"n{k}"), F.col("bins").alias(f"bins{k}")) for k in (1, 2))
-    beside = pairs.join(one, F.col("a") == F.col("node1")).join(two, F.col("b") == F.col("node2")).select("a", "b", "n1", "n2", "bins1", "bins2")
+    one, two = (classes.select(F.col("half").alias(f"node{k}"), F.col("n").alias(f"n{k}"), F.col("bins").alias(f"bins{k}")) for k in (1, 2))
+    beside = ties.filter("pair").join(one, F.col("a") == F.col("node1")).join(two, F.col("b") == F.col("node2")).select("a", "b", "n1", "n2", "bins1", "bins2")
     coarse = components(beside.mapInArrow(_possible(percent), "a long, b long").unionByName(ties.filter("NOT pair").select("a", "b")))
-    grouped = cut(classes.withColumn("half", half).join(coarse, F.col("half") == F.col("node")).select("cls", "root", "copies", "row_key", "n"), "jaccard-grouped")
+    grouped = classes.join(coarse, F.col("half") == F.col("node")).select("cls", "root", "copies", "row_key", "n", "bins")
+    grouped = cut(_part_large(grouped, percent, block), "jaccard-grouped")
     blocks = grouped.groupBy(F.col("root").alias("r")).agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
     members = grouped.join(blocks, F.col("root") == F.col("r")).select("cls", "root", "blocks", "copies", "row_key", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
     members = cut(members, "jaccard-members")
@@ -386,7 +459,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
 
     linked = components(found.filter("other IS NOT NULL").select(F.col("cls").alias("a"), F.col("other").alias("b")))
     degrees = found.filter("links IS NOT NULL").groupBy(F.col("cls").alias("d")).agg(F.sum("links").alias("links"))
-    named = classes.join(linked, F.col("cls") == F.col("node"), "left").join(degrees, F.col("cls") == F.col("d"), "left").select("cls", "copies", "least", F.coalesce("root", "cls").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+    named = classes.drop("bins", "half", "row_key", "n").join(linked, F.col("cls") == F.col("node"), "left").join(degrees, F.col("cls") == F.col("d"), "left").select("cls", "copies", "least", F.coalesce("root", "cls").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     names = named.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("first"))
     named = named.join(names, F.col("root") == F.col("r")).select(F.col("cls").alias("c"), F.col("first.doc_id").alias("component_id"), F.col("first.row_key").alias("first_key"), (F.col("links") + F.col("copies") - 1).alias("n_links"))
     some = signed.filter("n > 0").join(named, F.col("cls") == F.col("c")).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", "row_key", (F.col("row_key") == F.col("first_key")).alias("stays"))
