@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Hosts that say nothing about an app, as they are and with all their subdomains.
 SKIPPED_EXACT = ("localhost", "127.0.0.1", "0.0.0.0", "example.com", "www.example.com", "example.org", "www.example.org", "schema.org", "w3.org", "www.w3.org", "github.com", "www.github.com", "gitlab.com", "codeberg.org", "xmlpull.org", "schemas.android.com", "www.apache.org", "apache.org", "pub.dev", "golang.org", "proxy.golang.org")
@@ -40,7 +41,7 @@ def raw_title(page: Column) -> Column:
     return F.trim(F.regexp_extract(head(page), r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for x in batches:
         yield x.map(html.unescape, na_action="ignore")
