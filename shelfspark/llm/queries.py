@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, jaccard, mixing, quality, secrets, sharding, suffixes, toxicity, warc
+from shelfspark.llm import decontaminate, jaccard, mixing, oracles, quality, secrets, sharding, suffixes, toxicity, warc
 from shelfspark.plans.lineage import scratch_path
 from shelfspark.registry import Query, table
 
@@ -74,4 +74,11 @@ QUERIES: dict[str, Query] = {
     "op10_warc_revisits": op10_warc_revisits,
 }
 
-ORACLES: dict[str, str] = {}
+#: Secrets need positions of matches, slots and shards xxHash blocks, scores and suffix arrays more than SQL has: tests hold those against brute force.
+ORACLES: dict[str, str] = {
+    "op5_mix_to_weights": oracles.MIX,
+    "op6_rule_ledger": oracles.LEDGER,
+    "op8_jaccard_join": oracles.JACCARD,
+    "op9_winnowing": oracles.WINNOW,
+    "op10_warc_revisits": oracles.WARC,
+}
