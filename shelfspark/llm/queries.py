@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, jaccard, mixing, oracles, quality, secrets, sharding, suffixes, toxicity, warc
+from shelfspark.llm import decontaminate, jaccard, licenses, mixing, oracles, quality, secrets, sharding, suffixes, toxicity, warc
 from shelfspark.plans.lineage import scratch_path
 from shelfspark.registry import Query, table
 
@@ -32,6 +32,13 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op4_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sure = F.filter("paragraphs", lambda p: p["confirmed"])
+    families = F.array_sort(F.array_distinct(F.transform(sure, lambda p: p["family"])))
+    return found.select("doc_id", F.size("paragraphs").cast("long").alias("n_paragraphs"), F.size(sure).cast("long").alias("n_confirmed"), F.array_join(families, ",").alias("families"), F.round(F.array_max(F.transform("paragraphs", lambda p: p["probability"])), 6).alias("probability"))
+
+
 def op5_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -66,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_deobfuscated_toxicity": op1_deobfuscated_toxicity,
     "op2_secret_ownership": op2_secret_ownership,
     "op3_jump_shards": op3_jump_shards,
+    "op4_license_paragraphs": op4_license_paragraphs,
     "op5_mix_to_weights": op5_mix_to_weights,
     "op6_rule_ledger": op6_rule_ledger,
     "op7_suffix_repeats": op7_suffix_repeats,
