@@ -232,25 +232,19 @@ def _counted_cells(percent: int):
         part = np.array([r[3] for r in rows])
         order = np.argsort(n, kind="stable")
         node, n, bins, part = node[order], n[order], bins[order].astype(np.int16), part[order]
-        root = list(range(len(node)))
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
+        label = np.arange(len(node))
         edges = []
         for k in range(1, len(node)):
             lo = int(np.searchsorted(100 * n[:k], percent * n[k]))
-            apart = np.abs(bins[lo:k] - bins[k]).sum(1)
-            fit = ((100 + percent) * apart <= (100 - percent) * (n[lo:k] + n[k])) & (node[lo:k] != node[k])
+            # What is in one component already need not be compared again.
+            open_ = np.flatnonzero(label[lo:k] != label[k]) + lo
             if cell[2] != cell[3]:
-                fit &= part[lo:k] != part[k]
-            for f in (np.flatnonzero(fit) + lo).tolist():
-                if (a := top(k)) != (b := top(f)):
-                    root[a] = b
-                    edges.append((int(node[k]), int(node[f])))
+                open_ = open_[part[open_] != part[k]]
+            apart = np.abs(bins[open_] - bins[k]).sum(1)
+            fit = open_[((100 + percent) * apart <= (100 - percent) * (n[open_] + n[k])) & (node[open_] != node[k])]
+            for old, f in zip(*np.unique(label[fit], return_index=True), strict=True):
+                label[label == old] = label[k]
+                edges.append((int(node[k]), int(node[fit[f]])))
         return edges
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
