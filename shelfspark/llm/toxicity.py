@@ -23,14 +23,17 @@ from shelfspark.llm import text as tx
 #: Look-alike signs and the letters they stand for. Fixed values.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c"}
 #: Signs that may have been put between letters.
-SEPARATORS = " .-_*"
-#: Costs of the channel, in nats: a look-alike, a dropped separator, a separator kept as a word break, a dropped repeat, a dropped look-alike, any other dropped sign.
-SWAP, DROP_SEPARATOR, BREAK, DROP_REPEAT, DROP_SIGN, DROP = 0.7, 0.5, 2.0, 0.3, 9.0, 4.0
-
-_S = "[0-9@$!|+(<]"
-#: What makes a text worth a closer look (RE2, over a whole Arrow batch), and the spans then decoded.
-DISTURBED = "|".join([*(c * 3 for c in "abcdefghijklmnopqrstuvwxyz"), f"[a-z]{_S}+[a-z]", "(^|[^a-z0-9])[0-9@$|+(<]+[a-z]", r"[a-z][-._*][a-z]", r"(^|[^a-z0-9])[a-z0-9@$!|](\x20[a-z0-9@$!|]){3}"])
-_SPANS = re.compile(r"(?<![^\s])[a-z0-9@$!|+(<](?: [a-z0-9@$!|+(<]){3,}(?![^\s])|\S*(?:([a-z])\1\1|[a-z][0-9@$!|+(<]+[a-z]|(?<![a-z0-9])[0-9@$|+(<]+[a-z]|[a-z][-._*][a-z])\S*")
+SEPARATORS = " .-_*/,"
+#: Costs of the channel, in nats: a look-alike, a dropped separator, a separator kept as a word break, a dropped repeat, a dropped sign of two alike, a dropped look-alike, any other dropped sign.
+SWAP, DROP_SEPARATOR, BREAK, DROP_REPEAT, DROP_DOUBLE, DROP_SIGN, DROP = 0.7, 0.5, 2.0, 0.3, 2.0, 9.0, 4.0
+
+_S, _LETTER, _SPACES = "[0-9@$!|+(<]", "[a-z0-9@$!|+(<]", r"\s\v\pZ\x{85}\x1c-\x1f"
+#: What makes a text worth a closer look (RE2, over a whole Arrow batch).
+DISTURBED = "|".join([*(c * 2 for c in "abcdefghijklmnopqrstuvwxyz"), f"[a-z]{_S}", f"{_S}[a-z]", r"[a-z][-._*/,]+[a-z]", rf"(^|[^a-z0-9]){_LETTER}([-._*/,{_SPACES}]+{_LETTER}){{2}}"])
+#: The spans then decoded: single letters with separators between them, and words with two letters alike, look-alikes or separators.
+_SPACED = re.compile(rf"(?<![a-z0-9]){_LETTER}(?:[-._*/,\s]+{_LETTER}){{2,}}(?![a-z0-9])")
+_ODD = re.compile(rf"(?<!\S)\S*?(?:([a-z])\1|[a-z]{_S}|(?<![a-z0-9@$!|+(<]){_S}+[a-z]|[a-z][-._*/,]+[a-z])\S*")
+_GAP, _STOP = re.compile(r"[-._*/,\s]+"), re.compile(r"[.,/]\s+")
 
 _CODE = {chr(97 + k): k + 1 for k in range(26)}
 _CODES = np.zeros(256, np.int32)
@@ -85,20 +88,22 @@ class CharModel:
         self.cost = (-np.log(np.maximum(three, 1e-12))).tolist()
 
     @staticmethod
-    def _repeat(token: str, k: int) -> bool:
-        """A later sign of three or more alike."""
-        return k > 0 and token[k - 1] == token[k] and token[k] in (token[k - 2 : k - 1], token[k + 1 : k + 2])
+    def _repeat(token: str, k: int) -> float | None:
+        """What it costs to drop the k-th sign as a repeat of the one before: less where three or more are alike."""
+        if not k or token[k - 1] != token[k]:
+            return None
+        return DROP_REPEAT if token[k] in (token[k - 2 : k - 1], token[k + 1 : k + 2]) else DROP_DOUBLE
 
     def options(self, token: str, k: int) -> list[tuple[str, float]]:
         """Readings of the k-th sign: what it stands for ('' for nothing, ' ' for a break), and the channel's cost."""
-        ch = token[k]
+        ch, again = token[k], self._repeat(token, k)
         if ch in _CODE or ch > "\x7f":
-            return [(ch, 0.0), ("", DROP_REPEAT)] if self._repeat(token, k) else [(ch, 0.0)]
+            return [(ch, 0.0)] if again is None else [(ch, 0.0), ("", again)]
         read = [(letter, SWAP * len(SIGNS[ch])) for letter in SIGNS.get(ch, "")]
         if ch in SEPARATORS:
             return [("", DROP_SEPARATOR), (" ", BREAK)]
         if read:
-            return [*read, ("", DROP_REPEAT if self._repeat(token, k) else DROP_SIGN)]
+            return [*read, ("", DROP_SIGN if again is None else again)]
         return [("", DROP), (" ", DROP)]
 
     def restore(self, token: str) -> str:
@@ -124,11 +129,30 @@ class CharModel:
         return "".join(reversed(out))
 
 
+def _forms(token: str) -> set[str]:
+    """A token with and without the signs at its ends, which may be letters or marks."""
+    left = token.lstrip("!$|(<+ ")
+    return {token, left, token.rstrip("!$|(< "), left.rstrip("!$|(< ")} - {""}
+
+
+def _spans(lower: str) -> Iterator[str]:
+    for m in _ODD.finditer(lower):
+        yield from _forms(m.group().strip("?.,;:\"'%&*#)>[]{}=/\\"))
+    for m in _SPACED.finditer(lower):
+        for part in {m.group(), *_STOP.split(m.group())}:
+            for token in _forms(_GAP.sub(" ", part)):
+                yield token
+                # A word of one letter may stand beside a spaced one.
+                if token[:2] in ("a ", "i "):
+                    yield token[2:]
+                if token[-2:] in (" a", " i"):
+                    yield token[:-2]
+
+
 def restored_words(lower: str, model: CharModel, memo: dict[str, str]) -> str:
     """Restored readings of all disturbed spans of a lower-case text, joined by spaces."""
     out = []
-    for m in _SPANS.finditer(lower):
-        token = m.group().strip("?.,;:\"'%&*#)>[]{}=/\\").rstrip("!$|(<")
+    for token in _spans(lower):
         if token not in memo:
             if len(memo) > 50_000:
                 memo.clear()

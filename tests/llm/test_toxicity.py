@@ -100,3 +100,30 @@ def test_op1_edges(edge, empty, store, spark):
 def test_features_ignore_case_and_slicing():
     rows, found = toxicity.features(*toxicity.tx.string_parts(pa.array(["Morons, MORONS", None, "moronic"])))
     assert set(found[rows == 0]) & set(found[rows == 2]) and not (rows == 1).any()
+
+
+FORMS = ["you i d i o t.", "i d i o t, go", '"i d i o t"', "(i d i o t)", "i d i o t!", "i  d  i  o  t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i - d - i - o - t", "i--d--i--o--t", "i/d/i/o/t", "i,d,i,o,t", "iiddiioott", "idi0+", "1d10t!", "(1d10t)", "!d10t", "i d i o t. a man", "you are a i d i o t", "id--iot", "i\xa0d\xa0i\xa0o\xa0t"]
+
+
+@pytest.mark.parametrize("seen", FORMS)
+def test_disguised_forms_are_decoded_in_texts(model, seen):
+    assert toxicity.pc.match_substring_regex(pa.array([seen]), toxicity.DISTURBED)[0].as_py()
+    assert any(w.startswith("idiot") for w in toxicity.restored_words(seen, model, {}).split())
+
+
+def test_short_words_and_word_ends(model):
+    for seen, meant in (("t h e.", "the"), ("o f, t h e", "the"), ("a riv3r", "river"), ("tabl3", "table"), ("light mooron", "moron"), ("w4ter+", "water")):
+        assert any(w.startswith(meant) for w in toxicity.restored_words(seen, model, {}).split()), seen
+    assert toxicity.restored_words("the green table.", model, {}) == ""
+
+
+def test_long_signs_and_words_take_linear_time(model):
+    assert toxicity.restored_words("(" * 200_000, model, {}) == "" and toxicity.restored_words("ab" * 200_000, model, {}) == ""
+
+
+def test_disguised_forms_score_as_the_word(spark):
+    docs, labels, _ = corpus(spark)
+    more = spark.createDataFrame([(10_000 + k, f"the water and stone {t} of light") for k, t in enumerate(["idiot", *FORMS, "paper"])], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in toxicity.score_toxicity(docs.unionByName(more), labels).filter("doc_id >= 10000").collect()}
+    assert score[10_000] >= 0.7 > score[10_001 + len(FORMS)]
+    assert [t for k, t in enumerate(FORMS) if score[10_001 + k] < 0.7] == []
