@@ -44,6 +44,10 @@ UNKNOWN = "unknown"
 SAMPLE = 300
 #: Words of an n-gram at most; a family counts from this probability and this part of a template's words on.
 GRAMS, LEAST_PROBABILITY, LEAST_OVERLAP = 3, 0.5, 0.6
+#: Wrapped lines are one piece up to a blank line or a line that ends with a sentence.
+PIECES = r"(?<=[\p{L}\p{N}][.!?])[^\p{L}\p{N}\n]*+\n|\n[^\p{L}\p{N}\n]*+(?=\n)"
+#: Words of a piece that are judged at once, and from one such window to the next: every run of STEP words is in one, and no template is longer.
+WINDOW, STEP = 60, 30
 
 
 def words_of(text: str) -> list[str]:
@@ -128,10 +132,10 @@ def cued(x: Column) -> Column:
     return out
 
 
-def _paragraphs(text: Column) -> Column:
-    """Lower-case lines that hold a cue; texts without any are not taken apart."""
+def _pieces(text: Column) -> Column:
+    """Lower-case pieces that hold a cue; texts without any are not taken apart."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    return F.when(cued(low), F.filter(F.split(low, "\n+"), cued)).otherwise(F.array().cast("array<string>"))
+    return F.when(cued(low), F.filter(F.split(F.regexp_replace(low, "\r\n?", "\n"), PIECES), cued)).otherwise(F.array().cast("array<string>"))
 
 
 def corpus_sample(docs: DataFrame, text: str = "text", most: int = SAMPLE) -> list[str]:
@@ -142,7 +146,12 @@ def corpus_sample(docs: DataFrame, text: str = "text", most: int = SAMPLE) -> li
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), model: Model | None = None) -> DataFrame:
-    """``keep`` columns, and ``paragraphs``: (paragraph, family, probability, overlap, confirmed) of each line that speaks of licences.
+    """``keep`` columns, and ``paragraphs``: (paragraph, family, probability, overlap, confirmed) of all that speaks of licences.
+
+    A piece of wrapped lines is judged joined, by windows of WINDOW words, and
+    line by line. Windows that confirm a family are given, the best of those
+    that overlap, and lines beside them only where they confirm another family
+    no worse. Where no window does, all lines with a cue are given.
 
     A family that has LEAST_PROBABILITY but less than LEAST_OVERLAP of the words
     of every template of its is not confirmed; lines whose best class is unknown
@@ -178,8 +187,16 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
         w = words(p)
         return F.struct(p.alias("paragraph"), F.array_distinct(w).alias("w"), scores(w).alias("z"))
 
+    def windows(p: Column) -> Column:
+        last = F.ceil(F.greatest(F.size(p) - WINDOW, F.lit(0)) / F.lit(STEP)).cast("int")
+        return F.filter(F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(p, i * STEP + 1, WINDOW), " ")), cued)
+
+    def readings(p: Column) -> Column:
+        several = F.contains(F.btrim(p, F.lit(" \t\n")), F.lit("\n"))
+        joined = F.when(several, F.flatten(F.transform(F.array(words(p)), windows))).otherwise(F.array().cast("array<string>"))
+        return F.struct(F.transform(joined, judge).alias("windows"), F.transform(F.filter(F.split(p, "\n+"), cued), judge).alias("lines"))
+
     names = F.array(*[F.lit(c) for c in model.classes])
-    judged = docs.select(*[F.col(f"`{c}`") for c in keep], F.transform(_paragraphs(F.col(text)), judge).alias("j"))
 
     def result(s: Column) -> Column:
         top = F.array_max(s["z"])
@@ -187,13 +204,30 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
         family = F.element_at(names, F.array_position(s["z"], top).cast("int"))
         return F.struct(s["paragraph"].alias("paragraph"), family.alias("family"), (F.lit(1.0) / total).alias("probability"), s["w"].alias("w"))
 
-    best = judged.withColumn("j", F.transform("j", result))
-
     def confirm(s: Column) -> Column:
         share = overlap(s["w"], s["family"])
         sure = (s["family"] != UNKNOWN) & (s["probability"] >= LEAST_PROBABILITY) & (share >= LEAST_OVERLAP)
         return F.struct(s["paragraph"].alias("paragraph"), s["family"].alias("family"), s["probability"].alias("probability"), share.alias("overlap"), sure.alias("confirmed"))
 
+    def best_windows(u: Column) -> Column:
+        def stays(x: Column, i: Column) -> Column:
+            before, after = F.get(u["windows"], i - 1), F.get(u["windows"], i + 1)
+            worse = (before["confirmed"] & ((before["overlap"] > x["overlap"]) | ((before["overlap"] == x["overlap"]) & (before["family"] == x["family"])))) | (after["confirmed"] & (after["overlap"] > x["overlap"]))
+            return x["confirmed"] & ~F.coalesce(worse, F.lit(False))
+
+        return F.struct(F.filter(u["windows"], stays).alias("windows"), u["lines"].alias("lines"))
+
+    def known(u: Column) -> Column:
+        return F.struct(u["windows"].alias("windows"), u["lines"].alias("lines"), F.array_max(F.transform(u["windows"], lambda x: x["overlap"])).alias("best"), F.transform(u["windows"], lambda x: x["family"]).alias("families"))
+
+    def given(u: Column) -> Column:
+        own = F.filter(u["lines"], lambda x: u["best"].isNull() | (x["confirmed"] & (x["overlap"] >= u["best"]) & ~F.array_contains(u["families"], x["family"])))
+        return F.concat(u["windows"], own)
+
     if k < 2:
         raise ValueError("a model needs families")
-    return best.select(*[F.col(f"`{c}`") for c in keep], F.transform("j", confirm).alias("paragraphs"))
+    found = F.transform(_pieces(F.col(text)), readings)
+    both = lambda step: lambda u: F.struct(*[F.transform(u[x], step).alias(x) for x in ("windows", "lines")])
+    for step in (both(result), both(confirm), best_windows, known, given):
+        found = F.transform(found, step)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.flatten(found).alias("paragraphs"))

@@ -32,3 +32,25 @@ def test_every_template_has_a_cue():
     for templates in licenses.TEMPLATES.values():
         for t in templates:
             assert any(c in t.lower() for c in licenses.CUES), t
+
+
+WRAPPED = {
+    "MIT": 'MIT License\n\nCopyright (c) 2020 A. Writer\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n',
+    "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n",
+    "Apache-2.0": '# Licensed under the Apache License,\r\n# Version 2.0 (the "License"); you may\r\n# not use this file except in\r\n# compliance with the License.\r\n# You may obtain a copy of the License at\r\n',
+    "GPL-3.0": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n",
+}
+
+
+def test_wrapped_notices(spark):
+    long = "\n".join(f"row {i} of a table with no stop" for i in range(400))
+    rows = [(f, t) for f, t in WRAPPED.items()] + [(f"{f} in", f"{long}\n{t}{long}") for f, t in WRAPPED.items()]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: {p.family for p in r.paragraphs if p.confirmed} for r in licenses.scan_licenses(docs, model=licenses.fit(CORPUS)).collect()}
+    assert got == {k: {k.split()[0]} for k, _ in rows}
+
+
+def test_two_notices_one_below_the_other(spark):
+    docs = spark.createDataFrame([(0, "Released under the MIT License\nLicensed under CC BY-NC 4.0\n")], "doc_id long, text string")
+    got = licenses.scan_licenses(docs, model=licenses.fit(CORPUS)).first().paragraphs
+    assert sorted(p.family for p in got if p.confirmed) == ["CC-BY-NC", "MIT"]
