@@ -37,8 +37,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 # Talk of licences that names none.
 NO_FAMILY = ("All rights reserved", "See the license file for details", "No license is granted by this text", "A driving license is required", "Copyright by the authors", "Please ask for permission before you copy this", "Licensed under the terms of the agreement", "This work is licensed under special terms", "Released under a private license", "The warranty is void", "Version 2.0 of this work was released", "The general public may use this")
-#: A paragraph without any of these is unknown: no template is without one. Fixed values, lower-case.
-CUES = ("licens", "licenc", "permission", "redistribution", "unencumbered", "public domain", "redistribute")
+#: Words that are not looked for, the commonest first, as far as a template's other words suffice. Fixed values.
+COMMON = "the of a to and in is v into for this with or any by it not you that are may from be as use except work person 3 2 29 4.0 1.0 2.0 project june january under version following terms conditions free public published charge copy purpose general files form forms without source code file hereby either associated deal met software subject provided documentation fee compliance dedicated domain".split()
+#: Names and words for licences that no template needs. Fixed values.
+NAMES = ("licens", "licenc", "lizenz", "licencia", "licença", "licenza", "apache", "gpl", "gplv2", "gplv3", "bsd", "mit", "mozilla", "mpl", "cc", "cc0", "cc-by", "isc", "gnu", "creative commons", "copyleft", "public domain", "unlicense")
 UNKNOWN = "unknown"
 #: Corpus paragraphs that the unknown class is learnt from at most: the first by a hash of their text.
 SAMPLE = 300
@@ -89,6 +91,21 @@ def _samples(corpus: list[str]) -> tuple[list[str], list[int]]:
     return texts, labels
 
 
+def _cues() -> tuple[str, ...]:
+    """NAMES and so many words of each template that the rest of it is less than LEAST_OVERLAP: what holds none can't be confirmed."""
+    out = set(NAMES)
+    for t in [t for ts in TEMPLATES.values() for t in ts]:
+        w = sorted(set(words_of(t)), key=lambda x: COMMON.index(x) if x in COMMON else len(COMMON))
+        out |= set(w[math.ceil(LEAST_OVERLAP * len(w)) - 1 :])
+    return tuple(sorted(c for c in out if not any(o != c and o in c and len(o) > SHORT for o in out)))
+
+
+#: Cues of so many signs at most count as whole words only.
+SHORT = 4
+#: A paragraph without any of these is not scored: no family could be confirmed.
+CUES = _cues()
+
+
 @lru_cache(8)
 def fit(corpus: tuple[str, ...], rounds: int = 300, l2: float = 1e-3) -> Model:
     """Softmax regression by gradient descent; every fifth sample is held out to set the temperature."""
@@ -128,8 +145,10 @@ def fit(corpus: tuple[str, ...], rounds: int = 300, l2: float = 1e-3) -> Model:
 def cued(x: Column) -> Column:
     out = F.lit(False)
     for c in CUES:
-        out = out | F.contains(x, F.lit(c))
-    return out
+        if len(c) > SHORT:
+            out = out | F.contains(x, F.lit(c))
+    short = "|".join(re.escape(c) for c in CUES if len(c) <= SHORT)
+    return out | F.rlike(x, F.lit(rf"(?<![a-z0-9])(?:{short})(?![a-z])"))
 
 
 def _pieces(text: Column) -> Column:
@@ -172,7 +191,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     zero = F.array(*[F.lit(b) for b in model.bias])
 
     def scores(w: Column) -> Column:
-        known = F.filter(F.transform(grams(w), lambda g: F.try_element_at(weights, g)), lambda v: v.isNotNull())
+        # A set of constants rules most n-grams out; a map is searched from its start.
+        known = F.transform(F.filter(grams(w), lambda g: g.isin(*model.grams)), lambda g: F.try_element_at(weights, g))
         return F.aggregate(known, zero, lambda z, v: F.zip_with(z, v, lambda a, b: a + b))
 
     def overlap(w: Column, family: Column) -> Column:

@@ -54,3 +54,19 @@ def test_two_notices_one_below_the_other(spark):
     docs = spark.createDataFrame([(0, "Released under the MIT License\nLicensed under CC BY-NC 4.0\n")], "doc_id long, text string")
     got = licenses.scan_licenses(docs, model=licenses.fit(CORPUS)).first().paragraphs
     assert sorted(p.family for p in got if p.confirmed) == ["CC-BY-NC", "MIT"]
+
+
+CUELESS_BEFORE = ["Distributed under CC BY-SA 4.0", "Available under the Apache 2.0 terms", "GPLv3 or later", "BSD 3-Clause", "CC0 1.0 Universal", "Lizenz: siehe Datei"]
+
+
+def test_lines_without_the_word_license_are_scored(spark):
+    docs = spark.createDataFrame(list(enumerate([*CUELESS_BEFORE, "the river runs past the old mill"])), "doc_id long, text string")
+    got = {r.doc_id: r.paragraphs for r in licenses.scan_licenses(docs, model=licenses.fit(CORPUS)).collect()}
+    assert [len(got[k]) for k in range(7)] == [1] * 6 + [0]
+    assert [p.family for p in got[0] if p.confirmed] == ["CC-BY-SA"]
+
+
+def test_what_holds_no_cue_cannot_be_confirmed():
+    for t in [t for ts in licenses.TEMPLATES.values() for t in ts]:
+        w = set(licenses.words_of(t))
+        assert len(w - set(licenses.CUES) - {x for x in w if any(c in x for c in licenses.CUES if len(c) > licenses.SHORT)}) < licenses.LEAST_OVERLAP * len(w), t
