@@ -29,6 +29,8 @@ KINDS: dict[str, tuple[re.Pattern, int, int]] = {
 MAYBE = r"(?i)password|passwd|secret|token|api_?key|akia|[0-9a-f]{24}"
 #: Owners from which on a value counts as copied widely.
 WIDE_OWNERS = 3
+#: Repositories from which on a value counts as copied widely, even if one owner has them all.
+WIDE_REPOSITORIES = 10
 #: Values of fewer different signs are fillers, whoever has them.
 FEW_SIGNS = 4
 
@@ -43,6 +45,11 @@ def find(text: str) -> list[tuple[str, int, int, str]]:
     return [(kind, start, end, value) for start, _, kind, end, value in sorted(found)]
 
 
+def plain(value: str) -> str:
+    """A value without the full stops of the sentence that it ends; spans keep them."""
+    return value.rstrip(".") or value
+
+
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value_sha", pa.string()), ("signs", pa.int32())])
 
 
@@ -53,7 +60,7 @@ def _scan(keep: int):
             maybe = pc.fill_null(pc.match_substring_regex(texts, MAYBE), False)
             spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for k in pc.indices_nonzero(maybe).to_pylist():
-                spans[k] = [{"kind": kind, "start": start, "end": end, "value_sha": hashlib.sha256(value.encode()).hexdigest(), "signs": len(set(value))} for kind, start, end, value in find(texts[k].as_py())]
+                spans[k] = [{"kind": kind, "start": start, "end": end, "value_sha": hashlib.sha256(plain(value).encode()).hexdigest(), "signs": len(set(plain(value)))} for kind, start, end, value in find(texts[k].as_py())]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(keep)], pa.array(spans, pa.list_(_SPAN))], names=[*batch.schema.names[:keep], "secrets"])
 
     return run
@@ -72,14 +79,15 @@ def ownership(found: DataFrame, repository: str = "doc_id", owner: str = "source
     Distinct counting goes in two steps, first to (value, owner) and (value,
     repository), so a value that a third of the corpus holds is summed where it
     is read. Verdicts: ``filler`` (hardly any different signs), ``example``
-    (WIDE_OWNERS or more), ``shared`` (in between), ``live`` (a single owner).
+    (WIDE_OWNERS or more, or WIDE_REPOSITORIES or more whoever owns them),
+    ``shared`` (in between), ``live`` (a single owner, few repositories).
     Null owners are one owner, null repositories one repository.
     """
     each = found.select(F.col(repository).cast("string").alias("repository"), F.col(owner).cast("string").alias("owner"), F.explode("secrets").alias("s"))
     pairs = each.select(F.col("s.value_sha").alias("value_sha"), F.col("s.signs").alias("signs"), "repository", "owner")
     by_owner = pairs.groupBy("value_sha", "signs", "owner").agg(F.count(F.lit(1)).alias("n")).groupBy("value_sha", "signs").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("copies"))
     by_repository = pairs.groupBy("value_sha", "repository").agg(F.lit(1).alias("one")).groupBy(F.col("value_sha").alias("v")).agg(F.count(F.lit(1)).alias("repositories"))
-    verdict = F.when(F.col("signs") < FEW_SIGNS, "filler").when(F.col("owners") >= WIDE_OWNERS, "example").when(F.col("owners") > 1, "shared").otherwise("live")
+    verdict = F.when(F.col("signs") < FEW_SIGNS, "filler").when((F.col("owners") >= WIDE_OWNERS) | (F.col("repositories") >= WIDE_REPOSITORIES), "example").when(F.col("owners") > 1, "shared").otherwise("live")
     return by_owner.join(by_repository, F.col("value_sha") == F.col("v")).select("value_sha", "owners", "repositories", "copies", verdict.alias("verdict"))
 
 

@@ -203,6 +203,18 @@ def test_ownership_tells_examples_from_live(spark):
     assert counts["example"] == (4, 8, 8) and counts["live"] == (1, 2, 2) and counts["shared"] == (2, 2, 2)
 
 
+def test_copies_in_many_repositories_of_one_owner_are_not_live(spark):
+    rows = [(k, "password=copied123", "hot") for k in range(secrets.WIDE_REPOSITORIES)] + [(90, "token=lonely123", "hot")]
+    got = {r.doc_id: (r.n_live, r.n_example) for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[0] == (0, 1) and got[90] == (1, 0)
+
+
+def test_a_full_stop_does_not_make_another_value(spark):
+    rows = [(1, "token=lonely123", "a"), (2, "The token=lonely123.", "b"), (3, "token=lonely123...", "c")]
+    got = {r.doc_id: (r.n_live, r.n_example) for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert set(got.values()) == {(0, 1)}
+
+
 PAGES = [(1, "http://a", "<p>x</p>"), (2, "http://b", "<p>x</p>"), (3, None, None), (4, "u\r\nX: y", ""), (None, "c", "<p>x</p>"), (7, "d", "WARC/1.1\r\nContent-Length: 3\r\n\r\né\r\n\r\n"), (7, "d", "WARC/1.1\r\nContent-Length: 3\r\n\r\né\r\n\r\n"), (8, "e", "z" * 200_000), (9, "f", "z" * 200_000)]
 
 
