@@ -11,11 +11,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _RUN = f"shelfspark-{uuid.uuid4().hex}"
 _MADE: set[str] = set()
+#: Paths of cut tables, by the DataFrame that reads them.
+_PATHS: dict[int, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -59,4 +62,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = path
+    weakref.finalize(out, _PATHS.pop, id(out), None)
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Remove the table of a ``cut`` that nothing reads any more; any other DataFrame is left alone."""
+    if path := _PATHS.pop(id(df), None):
+        _remove(df.sparkSession, path)
