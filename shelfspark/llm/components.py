@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.plans.lineage import cut
+from shelfspark.plans.lineage import cut, drop
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,8 +38,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if not state[0]:
             break
-        at = cut(_small_star(_large_star(at).filter(F.col("a") != F.col("b")).distinct()).filter(F.col("a") != F.col("b")).distinct(), "edges")
-        if (now := _state(at)) == state:
+        old, at = at, cut(_small_star(_large_star(at).filter(F.col("a") != F.col("b")).distinct()).filter(F.col("a") != F.col("b")).distinct(), "edges")
+        now = _state(at)
+        drop(old)
+        if now == state:
             break
         state = now
     else:

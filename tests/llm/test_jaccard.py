@@ -86,14 +86,11 @@ def test_components_of_paths_stars_and_rings(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_lists_and_bins_keep_every_link_together():
+def test_lists_keep_every_fitting_pair_together():
     rnd = np.random.default_rng(7)
-    for percent in (60, 85):
-        sizes = np.sort(rnd.integers(5, 200, 400))
-        shingle, node = np.sort(rnd.integers(0, 30, 400)), np.arange(400)
-        order = np.lexsort((node, sizes, shingle))
-        s, n, c = shingle[order], sizes[order], node[order]
-        a, b, _ = jaccard.list_ties(s, n, c, percent)
+    for percent, shingles in ((60, 30), (85, 30), (85, 3), (60, 2)):
+        n, shingle, node = rnd.integers(5, 200, 400), rnd.integers(0, shingles, 400), np.arange(400)
+        span = jaccard.span_of(n, n, 0)
         root = list(range(400))
 
         def top(x, root=root):
@@ -101,13 +98,48 @@ def test_lists_and_bins_keep_every_link_together():
                 x = root[x]
             return x
 
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            root[top(x)] = top(y)
+        # Two tasks gather what they read, a third joins what they send.
+        held, ties = [], []
+        for half in (slice(0, 250), slice(250, 400)):
+            order = np.lexsort((span[half], shingle[half]))
+            a, b, *rest = jaccard.gather(shingle[half][order], node[half][order], span[half][order], percent)
+            ties.append((a, b))
+            held.append(rest)
+        s, v, p = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((p, s))
+        a, b, s, v, p = jaccard.gather(s[order], v[order], p[order], percent)
+        ties.append((a, b))
+        plain = np.flatnonzero((p & 1) == 0)
+        a, b, times, _ = jaccard.list_pairs(s[plain], v[plain], p[plain], percent)
+        assert (times >= 1).all()
+        ties.append((a, b))
+        for a, b in ties:
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                root[top(x)] = top(y)
         for x in range(400):
             for y in range(x):
-                if s[x] == s[y] and 100 * min(n[x], n[y]) >= percent * max(n[x], n[y]):
-                    assert top(int(c[x])) == top(int(c[y]))
-    whole = np.unique(rnd.integers(0, 2**63 - 1, 5000).astype(np.uint64))
-    other = np.unique(np.concatenate([whole[300:], rnd.integers(0, 2**63 - 1, 200).astype(np.uint64)]))
-    one, two = (jaccard.bin_counts(x, np.array([0, len(x)]))[0].astype(int) for x in (whole, other))
-    assert np.abs(one - two).sum() <= len(np.setxor1d(whole, other))
+                if shingle[x] == shingle[y] and 100 * min(n[x], n[y]) >= percent * max(n[x], n[y]):
+                    assert top(x) == top(y)
+
+
+def test_cells_survive_packing():
+    cells = np.random.default_rng(3).integers(0, 1 << 32, 20_000).astype(np.uint32)
+    cells = np.concatenate([cells, cells[:50], np.array([0, (1 << 32) - 1], np.uint32)])
+    back = np.concatenate([jaccard.unpack_cells(b) + (r << 20) for r, b in jaccard.pack_cells(cells)])
+    assert np.array_equal(back, np.sort(cells).astype(np.int64))
+
+
+def test_frequent_cells_come_last_and_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LEAST_FREQUENT", 2)
+    monkeypatch.setattr(jaccard, "SHORT", 3)
+    monkeypatch.setattr(jaccard, "CELLS", 200)
+    rows = near_copies(9) + [(None, "a b c d e f"), (None, None), (500, ""), (500, "")]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 3, 70, block=90).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got) == brute(rows, 3, 70)
+
+
+def test_keep_one_by_text_keys_and_any_column_names(spark):
+    rows = [("b", "x y z w v u t", "1"), ("a", "x y z w v u t", "2"), ("a", "x y z w v u t", "1"), ("c", None, "3"), ("d", "q", "4")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, __key string").withColumnRenamed("doc_id", "__row")
+    got = jaccard.keep_one(docs, key="__row").collect()
+    assert sorted((r["__row"], r["__key"]) for r in got) == [("a", "1"), ("c", "3"), ("d", "4")]
