@@ -21,8 +21,10 @@ from shelfspark.plans.lineage import cut
 VERSION, PROFILE, RECORD_END = "WARC/1.1", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "\r\n\r\n"
 #: Digests that occur more than once are broadcast up to this many; beyond, they are joined by shuffle.
 BROADCAST_DIGESTS = 500_000
-#: Records of an archive file at most.
-RECORDS_PER_FILE = 2_000
+#: Records of an archive file at most, and its bytes, about.
+RECORDS_PER_FILE, FILE_BYTES = 2_000, 64 << 20
+#: Records are written by classes of size, each so many times the one before; a file of any class stays near FILE_BYTES.
+CLASS_STEP = 32
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -40,7 +42,9 @@ def resolve(pages: DataFrame, least_bytes: int = 0, key: str = "page_id", payloa
     all responses. Null payloads are empty. A null key is never the response
     while another row of its payload has a key. Rows that agree in payload and
     largest key (a repeated row) are all responses. Only digests and keys are
-    shuffled; texts stay where they are read.
+    shuffled; texts stay where they are read, whatever their length. Columns of
+    ``pages`` that are called like one of the four are replaced; an empty table
+    gives no rows.
     """
     raw = F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8")
     headed = pages.drop("payload_bytes", "payload_digest", "record_type", "refers_to").withColumn("payload_bytes", F.octet_length(raw).cast("long")).withColumn("payload_digest", base32_sha1(raw))
@@ -59,12 +63,15 @@ def record_id(key: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12)), F.lit(">"))
 
 
-def write_archives(resolved: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", date: str = "2024-01-01T00:00:00Z", per_file: int = RECORDS_PER_FILE, compression: str = "none") -> None:
+def write_archives(resolved: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", date: str = "2024-01-01T00:00:00Z", per_file: int = RECORDS_PER_FILE, compression: str = "none", file_bytes: int = FILE_BYTES) -> None:
     """Write a record for each row of ``resolve``'s result, revisits without their payload.
 
     The block of a response is an HTTP head and the payload; a revisit keeps the
     head alone and names the response's record and key. Line ends in urls are
-    dropped, as headers are lines.
+    dropped, as headers are lines. Records that are no longer than
+    ``file_bytes`` / ``per_file`` share files by ``per_file``; longer ones go to
+    files of fewer records, so that no file is much longer than ``file_bytes``
+    unless one record is. A table of no rows leaves an empty folder.
     """
     clean = F.regexp_replace(F.coalesce(F.col(url).cast("string"), F.lit("")), r"[\r\n]", "")
     is_new = F.col("record_type") == "response"
@@ -85,7 +92,15 @@ def write_archives(resolved: DataFrame, path: str, key: str = "page_id", url: st
         F.concat(F.lit("Content-Length: "), F.octet_length(F.encode(block, "UTF-8")).cast("string")),
     ]
     text = F.concat(F.concat_ws("\r\n", *fields), F.lit("\r\n\r\n"), block)
-    resolved.select(text.alias("value")).write.option("lineSep", RECORD_END).option("maxRecordsPerFile", per_file).option("compression", compression).text(path)
+    bounds = [max(1, file_bytes // per_file)]
+    while bounds[-1] < file_bytes:
+        bounds.append(bounds[-1] * CLASS_STEP)
+    size = F.when(is_new, F.col("payload_bytes")).otherwise(F.lit(0).cast("long"))
+    kind = sum((F.when(size > b, 1).otherwise(0) for b in bounds), F.lit(0))
+    kinds = sorted(r[0] for r in resolved.select(kind.alias("kind")).distinct().collect())  # a few numbers
+    for k in kinds or [0]:
+        most = max(1, file_bytes // bounds[k]) if k < len(bounds) else 1
+        resolved.filter(kind == k).select(text.alias("value")).write.mode("append").option("lineSep", RECORD_END).option("maxRecordsPerFile", most).option("compression", compression).text(path)
 
 
 def records(content: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
