@@ -20,8 +20,9 @@ def op1_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     n = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    spans = F.array_join(F.transform("secrets", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"), "n_live", "n_shared", "n_example", "n_filler")
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secrets.KINDS))
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(told(base), 256).alias("base_sha256"), told("secrets").alias("spans"), "n_live", "n_shared", "n_example", "n_filler")
 
 
 def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
