@@ -42,7 +42,7 @@ COMMON = "the of a to and in is v into for this with or any by it not you that a
 #: Names and words for licences that no template needs. Fixed values.
 NAMES = ("licens", "licenc", "lizenz", "licencia", "licença", "licenza", "apache", "gpl", "gplv2", "gplv3", "bsd", "mit", "mozilla", "mpl", "cc", "cc0", "cc-by", "isc", "gnu", "creative commons", "copyleft", "public domain", "unlicense")
 UNKNOWN = "unknown"
-#: Corpus paragraphs that the unknown class is learnt from at most: the first by a hash of their text.
+#: Windows of corpus lines that the unknown class is learnt from at most: the first by a hash.
 SAMPLE = 300
 #: Words of an n-gram at most; a family counts from this probability and this part of a template's words on.
 GRAMS, LEAST_PROBABILITY, LEAST_OVERLAP = 3, 0.5, 0.6
@@ -62,10 +62,10 @@ def grams_of(text: str) -> set[str]:
 
 
 class Model:
-    """n-gram weights per class (families, then unknown), biases, temperature."""
+    """n-gram weights per class (families, then unknown), biases, temperature, and the probability under which a family is unknown."""
 
-    def __init__(self, grams: dict[str, list[float]], bias: list[float], temperature: float):
-        self.grams, self.bias, self.temperature = grams, bias, temperature
+    def __init__(self, grams: dict[str, list[float]], bias: list[float], temperature: float, reject: float = 0.0):
+        self.grams, self.bias, self.temperature, self.reject = grams, bias, temperature, reject
         self.classes = [*TEMPLATES, UNKNOWN]
 
     def probabilities(self, text: str) -> list[float]:
@@ -75,20 +75,23 @@ class Model:
         return [x / sum(e) for x in e]
 
 
-def _samples(corpus: list[str]) -> tuple[list[str], list[int]]:
+def _samples(corpus: list[str]) -> tuple[list[str], list[int], list[bool]]:
+    """Texts, their classes, and which are held out: every second template of a family with all its forms, and every fifth text of no family."""
     classes = [*TEMPLATES, UNKNOWN]
-    texts, labels = [], []
+    texts, labels, held = [], [], []
     for family, templates in TEMPLATES.items():
-        for t in templates:
+        for nth, t in enumerate(templates):
             w = t.split()
             forms = [t, t.upper(), t + ".", "We note: " + t, *[f"{c} {t} {c}" for c in corpus[:3]]]
             forms += [" ".join(w[:k]) for k in range(max(6, len(w) - 4), len(w))]
             texts += forms
             labels += [classes.index(family)] * len(forms)
-    for t in (*NO_FAMILY, *corpus):
+            held += [nth % 2 == 1] * len(forms)
+    for nth, t in enumerate((*NO_FAMILY, *corpus)):
         texts.append(t)
         labels.append(len(classes) - 1)
-    return texts, labels
+        held.append(nth % 5 == 4)
+    return texts, labels, held
 
 
 def _cues() -> tuple[str, ...]:
@@ -106,10 +109,32 @@ SHORT = 4
 CUES = _cues()
 
 
+def _descend(x: np.ndarray, y: np.ndarray, rounds: int, l2: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and biases of a softmax regression by gradient descent; classes count alike."""
+    k = y.shape[1]
+    weight = (y @ (1 / np.maximum(1, y.sum(0))))[:, None]
+    w, b = np.zeros((x.shape[1], k)), np.zeros(k)
+    for _ in range(rounds):
+        z = x @ w + b
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        g = (p - y) * weight
+        w -= 2.0 * (x.T @ g / k * 4 + l2 * w)
+        b -= 2.0 * g.sum(0) / k
+    return w, b
+
+
 @lru_cache(8)
 def fit(corpus: tuple[str, ...], rounds: int = 300, l2: float = 1e-3) -> Model:
-    """Softmax regression by gradient descent; every fifth sample is held out to set the temperature."""
-    texts, labels = _samples([" ".join(words_of(c)[:60]) for c in corpus])
+    """Softmax regression by gradient descent, temperature and rejection set on templates that it has not seen.
+
+    A first model learns without the held-out templates and corpus windows; the
+    temperature is that under which it gives those the highest likelihood, and
+    ``reject`` the least probability above which at most one in a hundred of the
+    held-out texts without a licence is given a family. The model that is used
+    learns from all.
+    """
+    texts, labels, out = _samples(list(corpus))
     known = sorted(set().union(*[grams_of(t) for ts in TEMPLATES.values() for t in ts], *[grams_of(t) for t in NO_FAMILY]))
     place = {g: k for k, g in enumerate(known)}
     x = np.zeros((len(texts), len(known)))
@@ -117,29 +142,20 @@ def fit(corpus: tuple[str, ...], rounds: int = 300, l2: float = 1e-3) -> Model:
         for g in grams_of(t):
             if g in place:
                 x[r, place[g]] = 1
-    k = len(TEMPLATES) + 1
-    y = np.eye(k)[labels]
-    held = np.arange(len(texts)) % 5 == 4
-    balance = 1 / np.maximum(1, y[~held].sum(0))
-    weight = (y[~held] @ balance)[:, None]
-    w, b = np.zeros((len(known), k)), np.zeros(k)
-    for _ in range(rounds):
-        z = x[~held] @ w + b
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        g = (p - y[~held]) * weight
-        w -= 2.0 * (x[~held].T @ g / k * 4 + l2 * w)
-        b -= 2.0 * g.sum(0) / k
+    y, held = np.eye(len(TEMPLATES) + 1)[labels], np.array(out)
+    w, b = _descend(x[~held], y[~held], rounds, l2)
     z = x[held] @ w + b
 
-    def loss(t: float) -> float:
-        s = z / t
-        m = s.max(1, keepdims=True)
-        return float(-(s - m - np.log(np.exp(s - m).sum(1, keepdims=True)))[y[held] > 0].mean())
+    def chances(t: float) -> np.ndarray:
+        e = np.exp((z - z.max(1, keepdims=True)) / t)
+        return e / e.sum(1, keepdims=True)
 
-    temperature = min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0), key=loss)
+    temperature = min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0), key=lambda t: -np.log(np.maximum(chances(t)[y[held] > 0], 1e-12)).mean())
+    none = chances(temperature)[y[held][:, -1] > 0, :-1].max(1)
+    reject = float(np.clip(np.quantile(none, 0.99), 1 / (len(TEMPLATES) + 1), LEAST_PROBABILITY)) if len(none) else LEAST_PROBABILITY
+    w, b = _descend(x, y, rounds, l2)
     used = np.flatnonzero(np.abs(w).max(1) > 1e-3)
-    return Model({known[i]: [round(float(v), 6) for v in w[i]] for i in used}, [round(float(v), 6) for v in b], temperature)
+    return Model({known[i]: [round(float(v), 6) for v in w[i]] for i in used}, [round(float(v), 6) for v in b], temperature, round(reject, 6))
 
 
 def cued(x: Column) -> Column:
@@ -151,6 +167,16 @@ def cued(x: Column) -> Column:
     return out | F.rlike(x, F.lit(rf"(?<![a-z0-9])(?:{short})(?![a-z])"))
 
 
+def names_a_licence(x: Column) -> Column:
+    """Does a lower-case line hold a template, as far as words go? Other talk of licences is of the unknown class."""
+    w = F.regexp_extract_all(x, F.lit(r"[a-z0-9.\-]*[a-z0-9]"), 0)
+    out = F.lit(False)
+    for t in [t for ts in TEMPLATES.values() for t in ts]:
+        parts = sorted(set(words_of(t)))
+        out = out | (F.size(F.array_intersect(w, F.array(*[F.lit(p) for p in parts]))) >= LEAST_OVERLAP * len(parts))
+    return cued(x) & out
+
+
 def _pieces(text: Column) -> Column:
     """Lower-case pieces that hold a cue; texts without any are not taken apart."""
     low = F.lower(F.coalesce(text, F.lit("")))
@@ -158,10 +184,21 @@ def _pieces(text: Column) -> Column:
 
 
 def corpus_sample(docs: DataFrame, text: str = "text", most: int = SAMPLE) -> list[str]:
-    """Cueless paragraphs by least hash: a bounded sample, the same however the table is split."""
-    lines = docs.select(F.explode(F.slice(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "\n+"), 1, 1)).alias("p")).filter(~cued(F.col("p")) & (F.length("p") > 20))
-    got = lines.select("p", F.xxhash64("p").alias("h")).orderBy("h", "p").limit(most).collect()
-    return sorted({r.p[:2000] for r in got})
+    """Windows of at most WINDOW words from lines of all texts, ``most`` of them: those of least hash, the same however the table is split.
+
+    Lines are drawn by a hash of theirs, from all lines of more than twenty
+    signs that name no licence of ours; the window starts at a word that the
+    hash says. What is drawn first is so many lines by a bound on the hash that
+    ``most`` are among them, so no task or driver sees more than some of them.
+    """
+    rows = docs.count()
+    bound = min((1 << 63) - 1, (20 * most << 63) // max(1, rows))
+    lines = docs.select(F.explode(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "\n+")).alias("p")).filter(F.length("p") > 20)
+    drawn = lines.select("p", F.abs(F.xxhash64("p").bitwiseOR(F.lit(1))).alias("h")).filter((F.col("h") <= bound) & ~names_a_licence(F.col("p")))
+    w = F.regexp_extract_all("p", F.lit(r"[a-z0-9.\-]*[a-z0-9]"), 0)
+    at = F.pmod(F.col("h"), F.greatest(F.size("w") - WINDOW, F.lit(0)) + 1).cast("int") + 1
+    windows = drawn.select("h", w.alias("w")).select("h", F.array_join(F.slice("w", at, WINDOW), " ").alias("p")).distinct()
+    return sorted({r.p for r in windows.orderBy("h", "p").limit(most).collect() if r.p})
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), model: Model | None = None) -> DataFrame:
@@ -173,9 +210,12 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     no worse. Where no window does, all lines with a cue are given.
 
     A family that has LEAST_PROBABILITY but less than LEAST_OVERLAP of the words
-    of every template of its is not confirmed; lines whose best class is unknown
-    have that family. Null and empty texts have no such lines. Repeated rows are
-    kept as they are. Lines are scored whole, whatever their length.
+    of every template of its is not confirmed; lines whose best class is unknown,
+    or has less than the model's ``reject``, are of the family unknown. Null and
+    empty texts have no such lines. Repeated rows are kept as they are, and of
+    classes of equal score the first named is given. Lines are scored whole,
+    whatever their length; an empty table gives no rows. Columns other than
+    ``keep`` go, and one of ``keep`` called ``paragraphs`` is replaced.
     """
     model = model or fit(tuple(corpus_sample(docs, text)))
     k = len(model.classes)
@@ -221,7 +261,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     def result(s: Column) -> Column:
         top = F.array_max(s["z"])
         total = F.aggregate(s["z"], F.lit(0.0), lambda acc, z: acc + F.exp((z - top) / F.lit(model.temperature)))
-        family = F.element_at(names, F.array_position(s["z"], top).cast("int"))
+        family = F.when(F.lit(1.0) / total < F.lit(model.reject), F.lit(UNKNOWN)).otherwise(F.element_at(names, F.array_position(s["z"], top).cast("int")))
         return F.struct(s["paragraph"].alias("paragraph"), family.alias("family"), (F.lit(1.0) / total).alias("probability"), s["w"].alias("w"))
 
     def confirm(s: Column) -> Column:
@@ -250,4 +290,4 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     both = lambda step: lambda u: F.struct(*[F.transform(u[x], step).alias(x) for x in ("windows", "lines")])
     for step in (both(result), both(confirm), best_windows, known, given):
         found = F.transform(found, step)
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.flatten(found).alias("paragraphs"))
+    return docs.select(*[F.col(f"`{c}`") for c in keep if c != "paragraphs"], F.flatten(found).alias("paragraphs"))

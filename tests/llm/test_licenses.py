@@ -19,7 +19,8 @@ def test_column_scores_match_plain_python(spark):
     for r in licenses.scan_licenses(docs, model=model).collect():
         for p in r.paragraphs:
             want = model.probabilities(p.paragraph)
-            assert abs(p.probability - max(want)) < 1e-6 and p.family == model.classes[want.index(max(want))]
+            assert abs(p.probability - max(want)) < 1e-6
+            assert p.family == (model.classes[want.index(max(want))] if max(want) >= model.reject else licenses.UNKNOWN)
 
 
 def test_op4_edges(edge, empty, store, spark):
@@ -70,3 +71,28 @@ def test_what_holds_no_cue_cannot_be_confirmed():
     for t in [t for ts in licenses.TEMPLATES.values() for t in ts]:
         w = set(licenses.words_of(t))
         assert len(w - set(licenses.CUES) - {x for x in w if any(c in x for c in licenses.CUES if len(c) > licenses.SHORT)}) < licenses.LEAST_OVERLAP * len(w), t
+
+
+def test_licences_without_a_template_are_unknown(spark):
+    foreign = ["Licensed under the European Union Public Licence 1.2", "Distributed under the Artistic License 2.0", "This font is under the SIL Open Font License", "a fishing licence for the whole family"]
+    docs = spark.createDataFrame(list(enumerate(foreign)), "doc_id long, text string")
+    model = licenses.fit(CORPUS)
+    assert 0 < model.reject <= licenses.LEAST_PROBABILITY
+    for r in licenses.scan_licenses(docs, model=model).collect():
+        assert r.paragraphs and not any(p.confirmed for p in r.paragraphs), r
+        assert all(p.family == "unknown" or p.probability < 0.9 for p in r.paragraphs), r
+
+
+def test_sample_takes_lines_from_everywhere(spark):
+    docs = spark.createDataFrame([(k, "first line of the text here\n" + f"line {k} is told far below and names no licence\n" + "Released under the MIT License") for k in range(50)], "doc_id long, text string")
+    got = licenses.corpus_sample(docs, most=30)
+    assert len(got) == 30 and got == licenses.corpus_sample(docs.repartition(7), most=30)
+    assert sum("far below" in p for p in got) >= 28 and not any("mit license" in p for p in got)
+    long = spark.createDataFrame([(1, "word " * 50_000)], "doc_id long, text string")
+    assert [len(p.split()) for p in licenses.corpus_sample(long)] == [licenses.WINDOW]
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([("x", "Released under the MIT License", "y")], "j string, text string, paragraphs string")
+    got = licenses.scan_licenses(docs, keep=("j", "text", "paragraphs"), model=licenses.fit(CORPUS)).first()
+    assert got.j == "x" and [p.family for p in got.paragraphs if p.confirmed] == ["MIT"]
