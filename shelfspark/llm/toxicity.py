@@ -287,7 +287,9 @@ def train(docs: DataFrame, labels: DataFrame, counts: DataFrame, key: str = "doc
     """Character model from ``counts`` and scorer from a bounded sample of the labels that may be learnt.
 
     The sample is the first ``most_toxic`` and ``most_clean`` labelled ids by a
-    hash of the id, so it is the same on every run; equal texts count once.
+    hash of the id, so it is the same on every run. An id that occurs more than
+    once gives one of its texts, the first by SHA-256, picked where rows are
+    read; equal texts count once.
     """
     tri = counts.toPandas()
     table = np.zeros(1 << 15)
@@ -296,7 +298,8 @@ def train(docs: DataFrame, labels: DataFrame, counts: DataFrame, key: str = "doc
     known = labels.filter(F.col(key).isNotNull() & ~held_out(key)).groupBy(F.col(key).alias("__id")).agg(F.max(F.col(label)).cast("int").alias("toxic"))
     pick = lambda value, most: known.filter(F.col("toxic") == value).orderBy(F.xxhash64("__id"), "__id").limit(most)
     sample = pick(1, most_toxic).unionByName(pick(0, most_clean))
-    rows = docs.join(F.broadcast(sample), F.col(key) == F.col("__id")).select("toxic", F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("sha"), F.col(text).cast("string").alias("t"))
+    texts = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t")).join(F.broadcast(sample), F.col("id") == F.col("__id"))
+    rows = texts.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min(F.struct(F.sha2(F.coalesce("t", F.lit("")), 256).alias("sha"), "t")).alias("one")).select("toxic", "one.sha", "one.t")
     got = rows.mapInArrow(_training(model), "toxic int, sha string, features binary").toPandas().sort_values(["sha", "toxic"]).drop_duplicates("sha", keep="last")
     return model, fit([np.frombuffer(x, np.int32).astype(np.int64) for x in got["features"]], got["toxic"].to_numpy(float))
 
@@ -306,7 +309,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
     Null and empty texts score by the bias alone, which is low. Without labels
     of both kinds to learn from, every row gets the same score: high if all are
-    toxic, else low. Repeated rows score alike.
+    toxic, else low. Repeated rows score alike, and an id with several labels
+    is toxic if one of them says so. Texts and words of any length are read and
+    decoded whole, in time that grows with their length. An empty table gives
+    no rows. Columns of ``docs`` other than ``keep`` go; one of ``keep`` that is
+    called ``score`` is replaced by the score.
     """
     model, scorer = train(docs, labels, corpus_trigrams(docs, text), key, text, label)
     source = docs.select(*[F.col(f"`{k}`") for k in keep if k != "score"], F.col(text).cast("string").alias("t"))

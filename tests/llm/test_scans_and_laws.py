@@ -215,6 +215,37 @@ def test_a_full_stop_does_not_make_another_value(spark):
     assert set(got.values()) == {(0, 1)}
 
 
+def test_values_given_away_elsewhere_and_further_kinds_are_added(spark):
+    rows = [
+        (1, "password=hunter2x9", "a"),
+        (2, "quoted bare: hunter2x9, and hunter2x9.", "b"),
+        (3, "nothing like hunter2x8 here", "c"),
+        (4, "-----BEGIN RSA PRIVATE KEY-----\nMIIEabcdefghijklmnop\n-----END RSA PRIVATE KEY-----", "d"),
+        (5, "see ftp://me:s3cretpw@host/x and ghp_abcdefghijklmnop1234", "e"),
+    ]
+    got = {r.doc_id: r for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    spans = {k: [(s.kind, rows[k - 1][1][s.start : s.end]) for s in r.secrets] for k, r in got.items()}
+    assert spans[1] == [("assign", "password=hunter2x9")] and spans[2] == [("known", "hunter2x9")] * 2 and spans[3] == []
+    assert [k for k, _ in spans[4]] == ["block"] and spans[5] == [("login", "ftp://me:s3cretpw@"), ("prefixed", "ghp_abcdefghijklmnop1234")]
+    assert (got[1].n_shared, got[2].n_shared) == (1, 2)
+
+
+def test_few_unequal_documents_meet_their_target(spark):
+    rows = [(k, "w " * n, s) for s in "abc" for k, n in enumerate((900, 1, 40, 3, 500, 77, 10, 2, 250, 60), 100 * ord(s))]
+    for df in (spark.createDataFrame(rows, "doc_id long, text string, source string"),):
+        per = mixing.mix(df).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max(F.col("copies")).alias("c")).collect()
+        assert all(abs(r.taken - r.target) <= 450 and r.c <= 2 for r in per)
+    clash = spark.createDataFrame([(1, "a b", "s", 7)], "doc_id long, text string, source string, __copy int")
+    assert mixing.mixed_documents(clash).columns == clash.columns
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_targets_of_the_tables(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    per = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max(F.col("size")).alias("largest")).collect()
+    assert all(abs(r.taken - r.target) <= max(0.05 * r.target, r.largest / 2 + 1) for r in per)
+
+
 PAGES = [(1, "http://a", "<p>x</p>"), (2, "http://b", "<p>x</p>"), (3, None, None), (4, "u\r\nX: y", ""), (None, "c", "<p>x</p>"), (7, "d", "WARC/1.1\r\nContent-Length: 3\r\n\r\né\r\n\r\n"), (7, "d", "WARC/1.1\r\nContent-Length: 3\r\n\r\né\r\n\r\n"), (8, "e", "z" * 200_000), (9, "f", "z" * 200_000)]
 
 
@@ -234,6 +265,16 @@ def test_op10_round_trip(spark, tmp_path, least):
     assert got == want
 
 
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    sizes = {k: 3_000_000 if k < 4 else 50_000 if k < 12 else 100 for k in range(60)}
+    pages = spark.createDataFrame([(k, "u", f"{k} " + "z" * n) for k, n in sizes.items()], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(warc.resolve(pages), f"{tmp_path}/a", per_file=40, file_bytes=1 << 20)
+    files = sorted(p.stat().st_size for p in (tmp_path / "a").glob("part-*"))
+    assert files[-1] < 3_001_000 and files[-5] < 1_500_000 and len(files) >= 6
+    got = warc.resolved_records(spark, f"{tmp_path}/a").collect()
+    assert {r.page_id: r.payload_bytes for r in got} == {k: len(f"{k} ") + n for k, n in sizes.items()}
+
+
 def test_op10_empty(spark, store):
     none = spark.createDataFrame([], T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType())]))
     assert queries.op10_warc_revisits(spark, store(pages=none)).count() == 0

@@ -127,3 +127,22 @@ def test_disguised_forms_score_as_the_word(spark):
     score = {r.doc_id: r.score for r in toxicity.score_toxicity(docs.unionByName(more), labels).filter("doc_id >= 10000").collect()}
     assert score[10_000] >= 0.7 > score[10_001 + len(FORMS)]
     assert [t for k, t in enumerate(FORMS) if score[10_001 + k] < 0.7] == []
+
+
+def test_a_megabyte_without_a_match_and_with_one():
+    model = toxicity.CharModel(np.zeros(1 << 15))
+    for token, restored in (("xyzabc" * 170_000, 0), ("1" * 1_000_000, 0), ("abba" * 250_000, 1)):
+        assert bool(toxicity.restored_words(token, model, {})) == bool(restored)
+
+
+def test_an_id_that_occurs_often_is_one_labelled_row(spark):
+    docs = spark.range(3000).selectExpr("id % 3 AS doc_id", "concat('text ', id) AS text")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    counts = toxicity.corpus_trigrams(docs)
+    seen = []
+    real, toxicity.fit = toxicity.fit, lambda sets, toxic: seen.append(len(sets)) or real(sets, toxic)
+    try:
+        toxicity.train(docs, labels, counts)
+    finally:
+        toxicity.fit = real
+    assert seen[0] <= 3
