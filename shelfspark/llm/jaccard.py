@@ -45,7 +45,7 @@ COMMON = 4
 #: Postings lists of up to so many classes give their pairs.
 SHORT = 64
 #: Shingles of a block; a cell holds two blocks at most.
-BLOCK = 1_000_000
+BLOCK = 1 << 18
 #: Row keys of classes to be fetched are broadcast up to this many; beyond, texts meet them by shuffle.
 BROADCAST_KEYS = 1_000_000
 
