@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-_EDGE = r"(?:(?<=[0-9A-Za-z_])(?![0-9A-Za-z_])|(?<![0-9A-Za-z_])(?=[0-9A-Za-z_]))"
+#: ASCII \\b, as RE2 has it.
+EDGE = r"(?:(?<=[0-9A-Za-z_])(?![0-9A-Za-z_])|(?<![0-9A-Za-z_])(?=[0-9A-Za-z_]))"
 _REFUSED = re.compile(r"\\[CGKXRQZ]|\(\?[=!<](?!P)|\(\?>|\*\+|\+\+|\?\+")
 
 
@@ -24,7 +25,7 @@ def re2_to_java(pattern: str) -> str:
     while k < len(body):
         two = body[k : k + 2]
         if two[:1] == "\\" and len(two) == 2:
-            named = {"\\b": _EDGE, "\\z": "\\z"}.get(two) if not in_class else None
+            named = {"\\b": EDGE, "\\z": "\\z"}.get(two) if not in_class else None
             out.append(named or two)
             k += 2
             continue

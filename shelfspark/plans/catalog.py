@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from shelfspark.plans import eval_queries, relational_queries, state_queries, stream_queries, text_queries, tree_queries  # noqa: F401
+from shelfspark.plans import eval_queries, relational_queries, reply_queries, scan_queries, state_queries, stream_queries, text_queries, tree_queries  # noqa: F401
