@@ -35,16 +35,18 @@ def by_tag(results: DataFrame, tags: str, passes: Column) -> DataFrame:
 
 def rate_text(n: Column, total: Column) -> Column:
     """`` 50.0% (1/2)``, or a dash without any."""
-    return F.when(total == 0, "-").otherwise(F.format_string("%5.1f%% (%d/%d)", n * 100.0 / total, n, total))
+    return F.when(total == 0, "   -   (0)").otherwise(F.format_string("%5.1f%% (%d/%d)", n * 100.0 / total, n, total))
 
 
-def trap_rewrite(results: DataFrame, wrong: Column, replied: Column, kept: Column) -> DataFrame:
-    """Counts of wrong candidates that were kept, of right ones that were rewritten, and their totals; missing replies don't count."""
-    return results.agg(F.count_if(replied & wrong & kept).alias("trapped"), F.count_if(replied & wrong).alias("traps"), F.count_if(replied & ~wrong & ~kept).alias("rewritten"), F.count_if(replied & ~wrong).alias("good"))
+def trap_rewrite(results: DataFrame, replied: Column, wrong: Column, want_keep: Column, kept: Column) -> DataFrame:
+    """Counts of wrong descriptions that were offered (traps) and kept, and of cases labelled keep (good) that were rewritten; missing replies don't count."""
+    return results.agg(F.count_if(replied & wrong & kept).alias("trapped"), F.count_if(replied & wrong).alias("traps"), F.count_if(replied & want_keep & ~kept).alias("rewritten"), F.count_if(replied & want_keep).alias("good"))
 
 
-def missed_extra(results: DataFrame, wanted: Column, given: Column) -> DataFrame:
-    return results.agg(F.count_if(wanted & ~given).alias("missed"), F.count_if(wanted).alias("wanted"), F.count_if(~wanted & given).alias("extra"), F.count_if(~wanted).alias("unwanted"))
+def missed_extra(results: DataFrame, replied: Column, wanted: Column, given: Column) -> DataFrame:
+    """Counts of warnings missed and of needless ones; results without a reply or without a label (``wanted`` null) don't count."""
+    said = F.coalesce(given, F.lit(False))
+    return results.agg(F.count_if(replied & wanted & ~said).alias("missed"), F.count_if(replied & wanted).alias("wanted"), F.count_if(replied & ~wanted & said).alias("extra"), F.count_if(replied & ~wanted).alias("unwanted"))
 
 
 def repeats(cases: DataFrame, n: int) -> DataFrame:

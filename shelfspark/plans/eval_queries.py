@@ -45,14 +45,16 @@ def eval_report_by_tag(spark, sf_dir):
     return evals.by_tag(_scored(spark, sf_dir).withColumn("tags", tags), "tags", evals.passed(F.col("fails")))
 
 
-@query("eval_trap_rewrite", f"{_SCORED} SELECT CAST(count(*) FILTER (doc_id % 5 <> 0 AND quality = 0 AND NOT f_length) AS BIGINT) AS trapped, CAST(count(*) FILTER (doc_id % 5 <> 0 AND quality = 0) AS BIGINT) AS traps, CAST(count(*) FILTER (doc_id % 5 <> 0 AND quality <> 0 AND f_length) AS BIGINT) AS rewritten, CAST(count(*) FILTER (doc_id % 5 <> 0 AND quality <> 0) AS BIGINT) AS good FROM x")
+@query("eval_trap_rewrite", f"{_SCORED}, r AS (SELECT doc_id % 5 <> 0 AS replied, doc_id % 3 <> 0 AND quality = 0 AS wrong, toxic = 0 AS keep, NOT f_length AS kept FROM x) SELECT CAST(sum(CASE WHEN replied AND wrong AND kept THEN 1 ELSE 0 END) AS BIGINT) AS trapped, CAST(sum(CASE WHEN replied AND wrong THEN 1 ELSE 0 END) AS BIGINT) AS traps, CAST(sum(CASE WHEN replied AND keep AND NOT kept THEN 1 ELSE 0 END) AS BIGINT) AS rewritten, CAST(sum(CASE WHEN replied AND keep THEN 1 ELSE 0 END) AS BIGINT) AS good FROM r")
 def eval_trap_rewrite(spark, sf_dir):
-    return evals.trap_rewrite(_scored(spark, sf_dir), F.col("quality") == 0, F.col("doc_id") % 5 != 0, ~F.array_contains(F.map_keys("fails"), "length"))
+    """Cases with a doc_id divisible by 5 got no reply, those divisible by 3 offer no description; the label is keep where toxic is 0."""
+    return evals.trap_rewrite(_scored(spark, sf_dir), F.col("doc_id") % 5 != 0, (F.col("doc_id") % 3 != 0) & (F.col("quality") == 0), F.col("toxic") == 0, ~F.array_contains(F.map_keys("fails"), "length"))
 
 
-@query("eval_missed_extra", "SELECT CAST(count(*) FILTER (toxic = 1 AND quality = 1) AS BIGINT) AS missed, CAST(count(*) FILTER (toxic = 1) AS BIGINT) AS wanted, CAST(count(*) FILTER (toxic <> 1 AND quality <> 1) AS BIGINT) AS extra, CAST(count(*) FILTER (toxic <> 1) AS BIGINT) AS unwanted FROM labels")
+@query("eval_missed_extra", "WITH r AS (SELECT CASE WHEN doc_id % 4 <> 0 THEN toxic = 1 END AS want, quality <> 1 AS warned FROM labels WHERE doc_id % 5 <> 0) SELECT CAST(count(*) FILTER (want AND NOT warned) AS BIGINT) AS missed, CAST(count(*) FILTER (want) AS BIGINT) AS wanted, CAST(count(*) FILTER (NOT want AND warned) AS BIGINT) AS extra, CAST(count(*) FILTER (NOT want) AS BIGINT) AS unwanted FROM r")
 def eval_missed_extra(spark, sf_dir):
-    return evals.missed_extra(table(spark, sf_dir, "labels"), F.col("toxic") == 1, F.col("quality") != 1)
+    """Cases with a doc_id divisible by 5 got no reply; those divisible by 4 don't say whether they want a warning."""
+    return evals.missed_extra(table(spark, sf_dir, "labels"), F.col("doc_id") % 5 != 0, F.when(F.col("doc_id") % 4 != 0, F.col("toxic") == 1), F.col("quality") != 1)
 
 
 @query("eval_rate_lines", "SELECT quality, printf('%5.1f%% (%d/%d)', 100.0 * sum(toxic) / count(*), CAST(sum(toxic) AS BIGINT), count(*)) AS line FROM labels GROUP BY quality")
