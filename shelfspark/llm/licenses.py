@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -40,12 +42,15 @@ NO_FAMILY = ("All rights reserved", "See the license file for details", "No lice
 #: Words that are not looked for, the commonest first, as far as a template's other words suffice. Fixed values.
 COMMON = "the of a to and in is v into for this with or any by it not you that are may from be as use except work person 3 2 29 4.0 1.0 2.0 project june january under version following terms conditions free public published charge copy purpose general files form forms without source code file hereby either associated deal met software subject provided documentation fee compliance dedicated domain".split()
 #: Names and words for licences that no template needs. Fixed values.
-NAMES = ("licens", "licenc", "lizenz", "licencia", "licença", "licenza", "apache", "gpl", "gplv2", "gplv3", "bsd", "mit", "mozilla", "mpl", "cc", "cc0", "cc-by", "isc", "gnu", "creative commons", "copyleft", "public domain", "unlicense")
+STEMS = ("licens", "licenc", "lizenz", "licença")
+NAMES = ("apache", "gpl", "gplv2", "gplv3", "lgpl", "lgplv2", "lgplv3", "agpl", "agplv3", "bsd", "mit", "mozilla", "mpl", "cc", "cc0", "cc-by", "isc", "gnu", "creative", "copyleft", "domain")
 UNKNOWN = "unknown"
 #: Windows of corpus lines that the unknown class is learnt from at most: the first by a hash.
 SAMPLE = 300
 #: Words of an n-gram at most; a family counts from this probability and this part of a template's words on.
 GRAMS, LEAST_PROBABILITY, LEAST_OVERLAP = 3, 0.5, 0.6
+#: Small maps that the weights are dealt to.
+BUCKETS = 256
 #: Wrapped lines are one piece up to a blank line or a line that ends with a sentence.
 PIECES = r"(?<=[\p{L}\p{N}][.!?])[^\p{L}\p{N}\n]*+\n|\n[^\p{L}\p{N}\n]*+(?=\n)"
 #: Words of a piece that are judged at once, and from one such window to the next: every run of STEP words is in one, and no template is longer.
@@ -95,20 +100,26 @@ def _samples(corpus: list[str]) -> tuple[list[str], list[int], list[bool]]:
 
 
 def _cues() -> tuple[str, ...]:
-    """NAMES and so many words of each template that the rest of it is less than LEAST_OVERLAP: what holds none can't be confirmed."""
+    """NAMES and so many words of each template that the rest of it is less than LEAST_OVERLAP: what holds none, nor a stem, can't be confirmed."""
     out = set(NAMES)
     for t in [t for ts in TEMPLATES.values() for t in ts]:
         w = sorted(set(words_of(t)), key=lambda x: COMMON.index(x) if x in COMMON else len(COMMON))
         out |= set(w[math.ceil(LEAST_OVERLAP * len(w)) - 1 :])
-    return tuple(sorted(c for c in out if not any(o != c and o in c and len(o) > SHORT for o in out)))
+    return tuple(sorted(c for c in out if not any(s in c for s in STEMS)))
 
 
-#: Cues of so many signs at most count as whole words only.
-SHORT = 4
-#: A paragraph without any of these is not scored: no family could be confirmed.
+#: A paragraph without any of these as a word, and without any of STEMS, is not scored: no family could be confirmed.
 CUES = _cues()
 
 
+def _any_word(words: tuple[str, ...]) -> str:
+    """A pattern of any of the words at a word's start, grouped by first letter so that most places fail at once."""
+    first: dict[str, list[str]] = {}
+    for w in words:
+        first.setdefault(w[0], []).append(re.escape(w[1:]))
+    return "(?<![a-z0-9])(?:" + "|".join(re.escape(c) + "(?:" + "|".join(rest) + ")" for c, rest in first.items()) + ")(?![a-z])"
+
+
 def _descend(x: np.ndarray, y: np.ndarray, rounds: int, l2: float) -> tuple[np.ndarray, np.ndarray]:
     """Weights and biases of a softmax regression by gradient descent; classes count alike."""
     k = y.shape[1]
@@ -158,29 +169,35 @@ def fit(corpus: tuple[str, ...], rounds: int = 300, l2: float = 1e-3) -> Model:
     return Model({known[i]: [round(float(v), 6) for v in w[i]] for i in used}, [round(float(v), 6) for v in b], temperature, round(reject, 6))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def cued(x: Column) -> Column:
-    out = F.lit(False)
-    for c in CUES:
-        if len(c) > SHORT:
-            out = out | F.contains(x, F.lit(c))
-    short = "|".join(re.escape(c) for c in CUES if len(c) <= SHORT)
-    return out | F.rlike(x, F.lit(rf"(?<![a-z0-9])(?:{short})(?![a-z])"))
+    out = F.rlike(x, F.lit(_any_word(CUES)))
+    for c in STEMS:
+        out = out | F.contains(x, F.lit(c))
+    return out
 
 
 def names_a_licence(x: Column) -> Column:
     """Does a lower-case line hold a template, as far as words go? Other talk of licences is of the unknown class."""
-    w = F.regexp_extract_all(x, F.lit(r"[a-z0-9.\-]*[a-z0-9]"), 0)
-    out = F.lit(False)
-    for t in [t for ts in TEMPLATES.values() for t in ts]:
-        parts = sorted(set(words_of(t)))
-        out = out | (F.size(F.array_intersect(w, F.array(*[F.lit(p) for p in parts]))) >= LEAST_OVERLAP * len(parts))
-    return cued(x) & out
+
+    def held(w: Column) -> Column:
+        out = F.lit(False)
+        for t in [t for ts in TEMPLATES.values() for t in ts]:
+            parts = sorted(set(words_of(t)))
+            out = out | (F.size(F.array_intersect(w, F.array(*[F.lit(p) for p in parts]))) >= LEAST_OVERLAP * len(parts))
+        return out
+
+    return cued(x) & let(F.regexp_extract_all(x, F.lit(r"[a-z0-9.\-]*[a-z0-9]"), 0), held)
 
 
 def _pieces(text: Column) -> Column:
     """Lower-case pieces that hold a cue; texts without any are not taken apart."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.when(cued(low), F.filter(F.split(F.regexp_replace(low, "\r\n?", "\n"), PIECES), cued)).otherwise(F.array().cast("array<string>"))
+    parts = lambda low: F.when(cued(low), F.filter(F.split(F.regexp_replace(low, "\r\n?", "\n"), PIECES), cued)).otherwise(F.array().cast("array<string>"))
+    return let(F.lower(F.coalesce(text, F.lit(""))), parts)
 
 
 def corpus_sample(docs: DataFrame, text: str = "text", most: int = SAMPLE) -> list[str]:
@@ -219,7 +236,11 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     """
     model = model or fit(tuple(corpus_sample(docs, text)))
     k = len(model.classes)
-    weights = F.create_map(*[x for g, w in model.grams.items() for x in (F.lit(g), F.array(*[F.lit(v) for v in w]))])
+    # Weights by a hash of the n-gram: a map is searched from its start, so there are many small ones.
+    buckets: list[list[tuple[str, list[float]]]] = [[("", [0.0] * k)] for _ in range(BUCKETS)]
+    for g, w in model.grams.items():
+        buckets[zlib.crc32(g.encode()) % BUCKETS].append((g, w))
+    weights = F.array(*[F.create_map(*[x for g, w in b for x in (F.lit(g), F.array(*[F.lit(v) for v in w]))]) for b in buckets])
     words = lambda p: F.regexp_extract_all(p, F.lit(r"[a-z0-9.\-]*[a-z0-9]"), 0)
 
     def grams(w: Column) -> Column:
@@ -231,8 +252,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     zero = F.array(*[F.lit(b) for b in model.bias])
 
     def scores(w: Column) -> Column:
-        # A set of constants rules most n-grams out; a map is searched from its start.
-        known = F.transform(F.filter(grams(w), lambda g: g.isin(*model.grams)), lambda g: F.try_element_at(weights, g))
+        lookup = lambda g: F.try_element_at(F.element_at(weights, (F.crc32(g.cast("binary")) % BUCKETS + 1).cast("int")), g)
+        known = F.filter(F.transform(grams(w), lookup), lambda v: v.isNotNull())
         return F.aggregate(known, zero, lambda z, v: F.zip_with(z, v, lambda a, b: a + b))
 
     def overlap(w: Column, family: Column) -> Column:
@@ -244,8 +265,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
         return out
 
     def judge(p: Column) -> Column:
-        w = words(p)
-        return F.struct(p.alias("paragraph"), F.array_distinct(w).alias("w"), scores(w).alias("z"))
+        return let(words(p), lambda w: F.struct(p.alias("paragraph"), F.array_distinct(w).alias("w"), scores(w).alias("z")))
 
     def windows(p: Column) -> Column:
         last = F.ceil(F.greatest(F.size(p) - WINDOW, F.lit(0)) / F.lit(STEP)).cast("int")
