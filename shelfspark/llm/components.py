@@ -26,6 +26,10 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
+#: Edges of a file of a round's table, about: a table is written in no more files than its edges need.
+FILE_EDGES = 250_000
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b): root is the component's least node, itself included.
 
@@ -38,7 +42,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if not state[0]:
             break
-        old, at = at, cut(_small_star(_large_star(at).filter(F.col("a") != F.col("b")).distinct()).filter(F.col("a") != F.col("b")).distinct(), "edges")
+        small = _small_star(_large_star(at).filter(F.col("a") != F.col("b")).distinct()).filter(F.col("a") != F.col("b")).distinct()
+        old, at = at, cut(small.coalesce(8 + state[0] // FILE_EDGES), "edges")
         now = _state(at)
         drop(old)
         if now == state:

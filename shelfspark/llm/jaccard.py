@@ -563,9 +563,9 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
     coarse = components(met.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("least").alias("least")).filter("times >= least").select("a", "b"))
     grouped = cut(classes.join(coarse, F.col("half") == F.col("node")).select("cls", "root", "copies", "row_key", "n"), "jaccard-grouped")
     blocks = grouped.groupBy(F.col("root").alias("r")).agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
-    members = cut(grouped.join(blocks, F.col("root") == F.col("r")).select("cls", "root", "blocks", "copies", "row_key", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block")), "jaccard-members")
-    wanted = members.select(F.col("row_key").alias("__wanted")).distinct()
-    if members.count() <= BROADCAST_KEYS:
+    members = grouped.join(blocks, F.col("root") == F.col("r")).select("cls", "root", "blocks", "copies", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
+    wanted = grouped.select(F.col("row_key").alias("__wanted")).distinct()
+    if grouped.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
     sets = docs.join(wanted, F.col("row_key") == F.col("__wanted"), "left_semi").select("text").mapInArrow(_fetch(size), "cls binary, shingles binary")
     placed = sets.withColumnRenamed("cls", "c").join(members, F.col("c") == F.col("cls")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
