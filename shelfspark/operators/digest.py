@@ -55,19 +55,51 @@ def needle_hits(lines: DataFrame, needles: list[tuple[str, str, str]], tree: str
     return capped.withColumn("n", F.row_number().over(Window.partitionBy(tree).orderBy(path, "line", "fact"))).filter(F.col("n") <= OVERALL).drop("n")
 
 
-def keep_path(path: Column, denied: tuple[str, ...] = ("node_modules", ".git", "build", "vendor", "third_party", "dist"), allowed: tuple[str, ...] = ("kt", "java", "js", "ts", "dart", "xml", "gradle", "kts", "md", "txt", "json", "toml", "yaml", "yml", "py", "go", "rs", "swift", "c", "cc", "cpp", "h")) -> Column:
-    """Is a file of a tree worth reading: no denied folder, a known ending or a licence or readme, a path of 240 signs at most."""
-    parts = F.split(F.lower(path), "/")
+# Folders that never say what an app does, file names and endings worth reading, endings of generated files.
+SKIPPED_FOLDERS = (
+    ".git", "node_modules", "build", ".gradle", "pods", "generated",
+    "test", "tests", "androidtest", "testdata", "fixtures", "__tests__", "e2e", "spec",
+    "docs", "doc", "examples", "example", "samples", "sample", "benchmark", "benchmarks",
+    "assets", "raw", "font", "fonts", "screenshots", "images", "img", "media",
+    "vendor", "third_party", "thirdparty", "third-party", "3party", "3rdparty", "external", "extern", "deps", "submodules",
+    "ios", "macos", "windows", "linux", "iosapp", "desktopapp", "web", "src-tauri",
+    ".github", ".idea", ".vscode", "dist", "out", "coverage",
+)
+KEPT_NAMES = (
+    "androidmanifest.xml", "readme.md", "pubspec.yaml", "go.mod", "cargo.toml",
+    "package.json", "gradle.properties", "version.properties", "libs.versions.toml",
+    "capacitor.config.json", "tauri.conf.json", "app.json", "google-services.json",
+    "license", "license.md", "license.txt", "copying", "copying.md", "copying.txt", "licence", "licence.md",
+)
+KEPT_ENDINGS = ("kt", "java", "dart", "xml", "gradle", "kts", "aidl", "go", "rs", "swift", "c", "cc", "cpp", "h", "hpp", "js", "jsx", "ts", "tsx", "py", "rb", "proto", "scala")
+GENERATED = r"\.(?:g\.dart|freezed\.dart|min\.js|spec\.ts|test\.ts|test\.js)\z"
+LONGEST_PATH = 240
+
+
+def keep_path(path: Column) -> Column:
+    """Is a file of a tree worth reading? By folder, name, ending and length; plain texts only as store metadata."""
+    low = F.lower(path)
+    parts = F.split(low, "/")
     name = F.element_at(parts, -1)
     folders = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
-    known = F.element_at(F.split(name, r"\."), -1).isin(*allowed) | name.rlike(r"^(licen[cs]e|copying|readme|notice)(\.|\z)")
-    return (F.length(path) <= 240) & ~F.arrays_overlap(folders, F.array(*[F.lit(d) for d in denied])) & known
+    ending = F.when(F.contains(name, F.lit(".")), F.element_at(F.split(name, r"\."), -1)).otherwise("")
+    denied = F.arrays_overlap(folders, F.array(*[F.lit(d) for d in SKIPPED_FOLDERS])) | F.exists(folders, lambda d: d.startswith("drawable") | d.startswith("mipmap"))
+    known = name.isin(*KEPT_NAMES) | ending.isin(*KEPT_ENDINGS) | ((ending == "txt") & F.contains(low, F.lit("metadata/")))
+    return (path != "") & (F.octet_length(path) <= LONGEST_PATH) & ~F.contains(path, F.lit("..")) & ~denied & ~name.rlike(GENERATED) & known
+
+
+# Files that hold application ids or versions, beside gradle files.
+BUILD_FILES = ("androidmanifest.xml", "pubspec.yaml", "package.json", "capacitor.config.json", "capacitor.config.ts", "tauri.conf.json", "app.json", "cargo.toml", "gradle.properties", "version.properties", "libs.versions.toml")
+
+
+def is_build_file(base: Column) -> Column:
+    return base.isin(*BUILD_FILES) | base.rlike(r"\.(gradle|kts)\z")
 
 
 def path_rank(path: Column) -> Column:
-    """0 for manifests, licences and readmes, 1 for code, 2 for the rest."""
-    low = F.lower(path)
-    return F.when(low.rlike(r"(^|/)(androidmanifest\.xml|readme[^/]*|licen[cs]e[^/]*|copying)\z"), 0).when(low.rlike(r"\.(kt|java|js|ts|dart|py|go|rs|swift)\z"), 1).otherwise(2)
+    """0 for root and build files, 1 for the app's own code, 2 for the rest."""
+    own = F.contains(path, F.lit("/src/main/")) | path.rlike("^(android|app|lib)/")
+    return F.when(~F.contains(path, F.lit("/")) | is_build_file(F.lower(F.element_at(F.split(path, "/"), -1))), 0).when(own, 1).otherwise(2)
 
 
 def best_readme(files: DataFrame, tree: str = "tree_id") -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfspark.functions.formats import fixed1
+
 
 def fails(checks: dict[str, Column]) -> Column:
     """Map of check -> reason of the checks that fail; a check is a reason or null."""
@@ -35,7 +37,7 @@ def by_tag(results: DataFrame, tags: str, passes: Column) -> DataFrame:
 
 def rate_text(n: Column, total: Column) -> Column:
     """`` 50.0% (1/2)``, or a dash without any."""
-    return F.when(total == 0, "   -   (0)").otherwise(F.format_string("%5.1f%% (%d/%d)", n * 100.0 / total, n, total))
+    return F.when(total == 0, "   -   (0)").otherwise(F.concat(F.lpad(fixed1(n * 100.0 / total), 5, " "), F.format_string("%% (%d/%d)", n, total)))
 
 
 def trap_rewrite(results: DataFrame, replied: Column, wrong: Column, want_keep: Column, kept: Column) -> DataFrame:
