@@ -23,6 +23,14 @@ def wordpiece_lengths(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.size(tokens.wordpiece(F.col("text"), LETTERS)).alias("n_tokens"))
 
 
+_TOKENS = "regexp_extract_all(lower(regexp_replace(text, '[\\x00-\\x08\\x0e-\\x1f\\x7f-\\x84\\x86-\\x9f]', '', 'g')), '[\\p{Han}\\x{3040}-\\x{30ff}]|[\\p{P}\\p{S}]|[^\\s\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x0b\\p{P}\\p{S}\\p{Han}\\x{3040}-\\x{30ff}]+')"
+
+
+@query("basic_token_counts", f"WITH t AS (SELECT doc_id, {_TOKENS} AS ts FROM documents) SELECT doc_id, CAST(len(ts) AS BIGINT) AS tokens, CAST(coalesce(list_sum(list_transform(ts, lambda x: len(x))), 0) AS BIGINT) AS signs FROM t")
+def basic_token_counts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", tokens.basic_token_counts(F.col("text")).alias("c")).select("doc_id", "c.tokens", "c.signs")
+
+
 NEEDLES = [("privacy", "secret", "password="), ("privacy", "key", "akia"), ("legal", "license", "license"), ("legal", "license", "gnu general")]
 
 
