@@ -164,9 +164,13 @@ def at_boundary(corpus: Column, phrase: Column) -> Column:
     return F.regexp_like(corpus, F.concat(F.lit(r"(?<![a-z0-9])\Q"), phrase, F.lit(r"\E(?![a-z0-9])")))
 
 
+# Keywords that say nothing.
+DROPPED_KEYWORDS = ("app", "android", "free", "open source", "privacy", "secure")
+
+
 def keyword_ok(k: Column) -> Column:
-    """One to three words of a-z, 0-9 and hyphens, none of hyphens only."""
-    return k.rlike(r"^(?!-+(?: |\z))[a-z0-9-]+(?: (?!-+(?: |\z))[a-z0-9-]+){0,2}\z")
+    """One to three words of a-z, 0-9 and hyphens, none of hyphens only, and not one that says nothing."""
+    return ~k.isin(*DROPPED_KEYWORDS) & k.rlike(r"^(?!-+(?: |\z))[a-z0-9-]+(?: (?!-+(?: |\z))[a-z0-9-]+){0,2}\z")
 
 
 def accept_keywords(raw: Column, corpus: Column, most: int = 8) -> Column:

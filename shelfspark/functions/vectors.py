@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # One quantisation step is LIMIT / STEPS.
@@ -47,14 +51,57 @@ def vector_key(document: Column, model: str = MODEL) -> Column:
     return F.sha2(F.concat(F.unhex(F.sha2(document, 256)), F.encode(F.lit(model), "UTF-8")), 256)
 
 
-def top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """Exact (query, rank, vec_id, dot) by byte dot product, ties by id. ``queries`` (query, q) is a small stated set and is broadcast.
-
-    Every item meets every query once, in place; each task keeps its best k of
-    a query before anything is shuffled.
+#: Query vectors that meet all items at once; more of them go through block by block.
+QUERY_BLOCK = 4096
+
+
+def _best_of_block(queries: np.ndarray, k: int):
+    """Batches of (vec_id, v) -> the best k items of each query that this task has seen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = queries.shape[1]
+        # Products of bytes add up exactly in 32-bit floats up to 1,040 of them; beyond, 64 bits do.
+        kind = np.float32 if width <= 1040 else np.float64
+        matrix = queries.astype(kind)
+        q, dots, ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        least = np.full(len(queries), np.iinfo(np.int32).min, np.int32)
+        for batch in batches:
+            flat = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False)).astype(kind)
+            if len(flat) != width * batch.num_rows:
+                raise ValueError(f"vectors of other lengths than {width}")
+            names = batch.column(0).to_numpy()
+            for lo in range(0, batch.num_rows, 1024):
+                got = (matrix @ flat[lo * width : (lo + 1024) * width].reshape(-1, width).T).astype(np.int32)
+                new, which = np.nonzero(got >= least[:, None])
+                q, dots, ids = np.concatenate([q, new]), np.concatenate([dots, got[new, which]]), np.concatenate([ids, names[lo + which]])
+                order = np.lexsort((ids, -dots, q))
+                q, dots, ids = q[order], dots[order], ids[order]
+                place = np.arange(len(q)) - np.searchsorted(q, q)
+                last = place == k - 1
+                least[q[last]] = dots[last]
+                q, dots, ids = q[place < k], dots[place < k], ids[place < k]
+        if len(q):
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(ids), pa.array(dots)], names=["q", "vec_id", "dot"])
+
+    return run
+
+
+def top_k(queries: DataFrame, items: DataFrame, k: int, block: int = QUERY_BLOCK) -> DataFrame:
+    """Exact (query, rank, vec_id, dot) by byte dot product, ties by id, of (query, q) against (vec_id, v).
+
+    Queries go to the tasks in blocks of ``block``, in order of their id; each
+    task keeps its best k per query, so k rows per query and task are shuffled.
     """
-    scored = items.join(F.broadcast(queries)).select("query", "vec_id", dot(F.col("q"), F.col("v")).alias("dot"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("dot")).alias("d"), F.col("vec_id")))), 1, k)
-    part = scored.withColumn("__part", F.pmod(F.xxhash64("vec_id"), F.lit(64))).groupBy("query", "__part").agg(best.alias("best"))
-    whole = part.groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
-    return whole.select("query", F.posexplode("best").alias("pos", "b")).select("query", (F.col("pos") + 1).alias("rank"), "b.vec_id", (-F.col("b.d")).alias("dot"))
+    spark = items.sparkSession
+    ids = [r[0] for r in queries.select("query").orderBy("query").toLocalIterator()]
+    out = None
+    for lo in range(0, len(ids), block):
+        some = ids[lo : lo + block]
+        rows = queries.filter(F.col("query").between(some[0], some[-1])).select("query", "q").toPandas().sort_values("query")
+        matrix = np.array(rows["q"].tolist(), np.int8)
+        names = spark.createDataFrame([(k_, int(q)) for k_, q in enumerate(rows["query"])], "q long, query long")
+        found = items.select("vec_id", "v").mapInArrow(_best_of_block(matrix, k), "q long, vec_id long, dot int")
+        best = found.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("dot"), "vec_id"))).filter(F.col("rank") <= k)
+        part = best.join(F.broadcast(names), "q").select("query", "rank", "vec_id", "dot")  # ``block`` rows
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else items.sparkSession.createDataFrame([], "query long, rank int, vec_id long, dot int")

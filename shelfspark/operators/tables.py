@@ -96,9 +96,20 @@ def next_memo(prev: Column, new: Column, done: Column, version: int = GENERATION
     return F.struct(F.lit(version).alias("version"), keep("apk", checked), keep("facts", checked), keep("about", done["about"]), keep("feature", done["about"] & done["vector"] & done["feature"]), keep("icon", done["icon"]))
 
 
-def run_outcome(marks: DataFrame, key: str) -> DataFrame:
-    """(key, quality) from stage marks (kind ok, degraded or failed): the worst one counts."""
-    return marks.groupBy(key).agg(F.when(F.bool_or(F.col("kind") == "failed"), "failed").when(F.bool_or(F.col("kind") == "degraded"), "degraded").otherwise("ok").alias("quality"))
+def run_outcome(marks: DataFrame, plans: DataFrame, key: str) -> DataFrame:
+    """(key, quality, missed) from stage marks (key, stage, kind ok, degraded or failed) and plans (key, stages).
+
+    A failed stage fails the run, and so does a planned one that neither failed
+    nor finished (``missed``); else a degraded one degrades it. A stage that
+    ended degraded has finished.
+    """
+    some = lambda kind: F.collect_set(F.when(F.col("kind").isin(*kind), F.col("stage")))
+    seen = marks.groupBy(F.col(key).alias("__k")).agg(some(["failed"]).alias("bad"), some(["degraded"]).alias("fallback"), some(["ok", "degraded"]).alias("done"))
+    none = F.array().cast("array<string>")
+    both = plans.join(seen, F.col(key) == F.col("__k"), "full_outer").select(F.coalesce(F.col(key), F.col("__k")).alias(key), *[F.coalesce(c, none).alias(c) for c in ("stages", "bad", "fallback", "done")])
+    missed = F.array_except("stages", F.array_union("bad", "done"))
+    quality = F.when((F.size("bad") > 0) | (F.size(missed) > 0), "failed").when(F.size("fallback") > 0, "degraded").otherwise("ok")
+    return both.select(key, quality.alias("quality"), F.array_sort(missed).alias("missed"))
 
 
 def planned_not_done(plan: Column, *done: Column) -> Column:

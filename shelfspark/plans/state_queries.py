@@ -160,18 +160,30 @@ def next_memo(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(k, tables.next_memo(prev, new, done).alias("m")).select("o_orderkey", "m.*")
 
 
-_OUTCOME = "SELECT user_id, CASE WHEN bool_or(event_type = 'error' AND value > 90) THEN 'failed' WHEN bool_or(event_type = 'error') THEN 'degraded' ELSE 'ok' END AS quality FROM events GROUP BY user_id"
+# Runs of users: their events are marks of stages, those of every second user planned two stages beside.
+_OUTCOME = """WITH m AS (SELECT user_id, event_type AS stage, CASE WHEN event_type = 'error' AND value > 90 THEN 'failed' WHEN event_type IN ('error', 'view') THEN 'degraded' ELSE 'ok' END AS kind FROM events WHERE user_id % 7 <> 0),
+s AS (SELECT user_id, list(DISTINCT stage) FILTER (kind = 'failed') AS bad, list(DISTINCT stage) FILTER (kind = 'degraded') AS fallback, list(DISTINCT stage) FILTER (kind <> 'failed') AS done FROM m GROUP BY 1),
+p AS (SELECT user_id, CASE WHEN user_id % 2 = 0 THEN ['purchase', 'click'] ELSE []::VARCHAR[] END AS plan FROM (SELECT DISTINCT user_id FROM events)),
+j AS (SELECT user_id, coalesce(bad, []) AS bad, coalesce(fallback, []) AS fallback, list_sort(list_filter(plan, lambda x: NOT list_contains(coalesce(bad, []), x) AND NOT list_contains(coalesce(done, []), x))) AS missed FROM p LEFT JOIN s USING (user_id))
+SELECT user_id, CASE WHEN len(bad) > 0 OR len(missed) > 0 THEN 'failed' WHEN len(fallback) > 0 THEN 'degraded' ELSE 'ok' END AS quality, array_to_string(missed, ',') AS missed FROM j"""
+
+
+def _outcome(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    kind = F.when((F.col("event_type") == "error") & (F.col("value") > 90), "failed").when(F.col("event_type").isin("error", "view"), "degraded").otherwise("ok")
+    marks = e.filter("user_id % 7 <> 0").select("user_id", F.col("event_type").alias("stage"), kind.alias("kind"))
+    planned = F.when(F.col("user_id") % 2 == 0, F.array(F.lit("purchase"), F.lit("click"))).otherwise(F.array().cast("array<string>"))
+    return tables.run_outcome(marks, e.select("user_id").distinct().select("user_id", planned.alias("stages")), "user_id")
 
 
 @query("run_outcome", _OUTCOME)
 def run_outcome(spark, sf_dir):
-    kind = F.when((F.col("event_type") == "error") & (F.col("value") > 90), "failed").when(F.col("event_type") == "error", "degraded").otherwise("ok")
-    return tables.run_outcome(table(spark, sf_dir, "events").select("user_id", kind.alias("kind")), "user_id")
+    return _outcome(spark, sf_dir).withColumn("missed", F.array_join("missed", ","))
 
 
 @query("run_summary", f"WITH q AS ({_OUTCOME}) SELECT CAST(count(*) FILTER (quality = 'ok') AS BIGINT) AS ok, CAST(count(*) FILTER (quality = 'degraded') AS BIGINT) AS degraded, CAST(count(*) FILTER (quality = 'failed') AS BIGINT) AS failed FROM q")
 def run_summary(spark, sf_dir):
-    return tables.run_summary(run_outcome(spark, sf_dir))
+    return tables.run_summary(_outcome(spark, sf_dir))
 
 
 @query("review_state", "SELECT user_id, CASE arg_max(event_type, event_id) WHEN 'purchase' THEN 'approved' WHEN 'error' THEN 'rejected' ELSE 'pending' END AS status FROM events GROUP BY user_id")
@@ -206,7 +218,8 @@ def mean_pool_by_label(spark, sf_dir):
 _Q = "SELECT vec_id, list_transform(embedding, lambda x: CAST(greatest(-127, least(127, round(CAST(x AS DOUBLE) / (0.3::DOUBLE / 127)))) AS INTEGER)) AS v FROM embeddings"
 
 
-@query("topk_int8_dot", f"WITH v AS ({_Q}), d AS (SELECT a.vec_id AS query, b.vec_id, CAST(list_sum(list_transform(range(1, 65), lambda i: a.v[i] * b.v[i])) AS INTEGER) AS dot FROM v a, v b WHERE a.vec_id < 8) SELECT query, CAST(rank AS INTEGER) AS rank, vec_id, dot FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY dot DESC, vec_id) AS rank FROM d) WHERE rank <= 10")
+# Queries are the vectors whose id is divisible by 20, against all.
+@query("topk_int8_dot", f"WITH v AS ({_Q}), d AS (SELECT a.vec_id AS query, b.vec_id, CAST(list_sum(list_transform(range(1, 65), lambda i: a.v[i] * b.v[i])) AS INTEGER) AS dot FROM v a, v b WHERE a.vec_id % 20 = 0) SELECT query, CAST(rank AS INTEGER) AS rank, vec_id, dot FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY dot DESC, vec_id) AS rank FROM d) WHERE rank <= 10")
 def topk_int8_dot(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings").select("vec_id", vectors.quantize(F.col("embedding")).alias("v"))
-    return vectors.top_k(v.filter("vec_id < 8").select(F.col("vec_id").alias("query"), F.col("v").alias("q")), v, 10)
+    return vectors.top_k(v.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("v").alias("q")), v, 10)

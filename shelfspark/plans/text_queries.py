@@ -113,20 +113,22 @@ def boundary_keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("keyword"), F.col(f"k{n}").alias("docs")) for n, k in enumerate(KEYWORDS)])).alias("r")).select("r.*")
 
 
-_PROPOSED = "list_transform(string_split(text, ' '), lambda w: lower(w))[1:40]"
-
-
-@query("keyword_accept_topk", f"WITH p AS (SELECT doc_id, lower(text) AS low, list_filter(list_distinct(list_transform(string_split(text, ' ')[1:40], lambda w: lower(w))), lambda w: regexp_matches(w, '^[a-z0-9-]+$') AND NOT regexp_matches(w, '^-+$')) AS ks FROM documents) SELECT doc_id, array_to_string(list_sort(list_filter(ks, lambda k: regexp_matches(low, '(^|[^a-z0-9])' || regexp_escape(k) || '($|[^a-z0-9])')))[1:8], ',') AS keywords FROM p")
+# All words of a text are proposed.
+@query("keyword_accept_topk", f"WITH p AS (SELECT doc_id, lower(text) AS low, list_filter(list_distinct(list_transform(list_filter(string_split_regex(text, '[\\s\\x{{85}}\\x{{a0}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{3000}}]+'), lambda w: w <> ''), lambda w: lower(w))), lambda w: regexp_matches(w, '^[a-z0-9-]+$') AND NOT regexp_matches(w, '^-+$') AND w NOT IN ('app', 'android', 'free', 'privacy', 'secure')) AS ks FROM documents) SELECT doc_id, array_to_string(list_sort(list_filter(ks, lambda k: regexp_matches(low, '(^|[^a-z0-9])' || regexp_escape(k) || '($|[^a-z0-9])')))[1:8], ',') AS keywords FROM p")
 def keyword_accept_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.array_join(tx.accept_keywords(F.slice(F.split("text", " "), 1, 40), F.col("text")), ",").alias("keywords"))
+    return d.select("doc_id", F.array_join(tx.accept_keywords(F.array_distinct(tx.fields(F.col("text"))), F.col("text")), ",").alias("keywords"))
+
+
+# Whole turns and, as proposals of their own, the sentences of each.
+_TURN = "array_to_string(list_filter(string_split_regex(text, '[\\s\\x{85}\\x{a0}\\x{2028}\\x{2029}\\x{202f}\\x{3000}]+'), lambda w: w <> ''), ' ')"
 
 
-@query("query_lines_accept", "WITH l AS (SELECT conv_id, turn, lower(array_to_string(string_split(array_to_string(list_filter(string_split_regex(text, '[\\s\\x{85}\\x{a0}]+'), lambda w: w <> ''), ' '), ' ')[1:4], ' ')) AS q FROM conversations), k AS (SELECT conv_id, q, min(turn) AS t FROM l WHERE len(string_split(q, ' ')) BETWEEN 2 AND 6 GROUP BY 1, 2), n AS (SELECT conv_id, least(count(*), 10) AS n FROM k GROUP BY 1) SELECT DISTINCT c.conv_id, CAST(CASE WHEN n.n >= 2 THEN n.n END AS BIGINT) AS n FROM conversations c LEFT JOIN n USING (conv_id)")
+@query("query_lines_accept", f"WITH l AS (SELECT conv_id, turn, unnest(string_split(regexp_replace({_TURN}, '([.!?]) ', '\\1' || chr(1), 'g'), chr(1))) AS q FROM conversations), k AS (SELECT DISTINCT conv_id, lower(q) AS q FROM l WHERE len(string_split(q, ' ')) BETWEEN 2 AND 6 AND NOT regexp_matches(lower(q), '(^|[^a-z0-9])the($|[^a-z0-9])')), n AS (SELECT conv_id, least(count(*), 10) AS n FROM k GROUP BY 1) SELECT DISTINCT c.conv_id, CAST(CASE WHEN n.n >= 2 THEN n.n END AS BIGINT) AS n FROM conversations c LEFT JOIN n USING (conv_id)")
 def query_lines_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(F.slice(F.split(tx.one_line(F.col("text")), " "), 1, 4), " ").alias("q"))
-    lines = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "q"))), lambda s: s["q"]).alias("lines"))
-    return lines.select("conv_id", F.size(tx.accept_queries(F.col("lines"), F.lit(""), least=2)).cast("long").alias("n")).withColumn("n", F.when(F.col("n") >= 0, F.col("n")))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.split(tx.one_line(F.col("text")), "(?<=[.!?]) ").alias("parts"))
+    lines = c.groupBy("conv_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", "parts"))), lambda s: s["parts"])).alias("lines"))
+    return lines.select("conv_id", F.size(tx.accept_queries(F.col("lines"), F.lit("The"), least=2)).cast("long").alias("n")).withColumn("n", F.when(F.col("n") >= 0, F.col("n")))
 
 
 @query("html_title", "SELECT page_id, trim(regexp_extract(string_split_regex(html, '(?i)</head>')[1], '(?is)<title[^>]*>(.*?)</title>', 1)) AS title FROM pages")
