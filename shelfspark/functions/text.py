@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfspark.functions.regex import re2_to_java
+
 # Words that are frequent in English prose and interface labels.
 COMMON_WORDS = "a about above account add after again all also an and any app are as at back be because been before being below between both but by can cancel change clear close connect copy could create delete did do does done down download each edit enable enter error every file find first for from get go has have help here his how if in into is it its keep last let like list load loading login logout make many may me more most move my name new next no not now of off on once one only open or other our out over password please privacy profile remove reply retry save search see select send set settings share show sign so some start stop such than that the their them then there these they this those through to try under up update use user using very view want was we were what when where which while who will with without would yes you your".split()
 # Words that carry no claim.
@@ -143,12 +145,25 @@ def doubled_word(x: Column) -> Column:
     return F.exists(pairs, lambda p: p)
 
 
+def _telling(part: str) -> str:
+    """A word that every text with this wording has."""
+    return "licen" if "licen" in part else max(part.replace(",", "").split(), key=len)
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def license_of(x: Column) -> Column:
-    """Struct (id, free) of a licence text; its title, the first 400 bytes, decides before the rest."""
-    full = F.lower(F.array_join(fields(x), " "))
+    """Struct (id, free) of a licence text; its title, the first 400 bytes, decides before the rest.
+
+    Texts without any of the words that the wordings need are not put in one line.
+    """
+    none = F.lit(None).cast("struct<id:string,free:boolean>")
 
     def found(text: Column) -> Column:
-        out = F.lit(None).cast("struct<id:string,free:boolean>")
+        out = none
         for parts, name, free in reversed(LICENSES):
             hit = F.lit(True)
             for part in parts:
@@ -156,7 +171,14 @@ def license_of(x: Column) -> Column:
             out = F.when(hit, F.struct(F.lit(name).alias("id"), F.lit(free).alias("free"))).otherwise(out)
         return out
 
-    return F.coalesce(found(clip_bytes(full, LICENSE_HEAD_BYTES)), found(full))
+    def judge(low: Column) -> Column:
+        maybe = F.lit(False)
+        for word in sorted({_telling(parts[0]) for parts, _, _ in LICENSES}):
+            maybe = maybe | low.contains(word)
+        line = let(F.array_join(fields(low), " "), lambda full: F.coalesce(found(clip_bytes(full, LICENSE_HEAD_BYTES)), found(full)))
+        return F.when(maybe, line).otherwise(none)
+
+    return let(F.lower(x), judge)
 
 
 def at_boundary(corpus: Column, phrase: Column) -> Column:
@@ -188,10 +210,16 @@ def accept_queries(lines: Column, app_name: Column, least: int = 5, most: int =
     return F.when(F.size(kept) >= least, kept)
 
 
+# Fixed values (RE2): talk of another build or store, and what is a list, a heading, a link or a quote rather than a paragraph.
+OTHER_BUILD = r"(?i)\b(?:foss|variant|flavou?r)\b|standard builds?|open[- ]source|f-droid|obtainium|play store"
+NOT_PROSE = r"•|(?:^|\s)\d+\.(?:\s|$).*\s\d+\.(?:\s|$)|\b[A-Z]{2,}(?:[\s-]+[A-Z]{2,}){2,}\b|(?:^|\s)@\w|https?://|^[^.!?]{1,40}:\s"
+
+
 def fits_about(x: Column) -> Column:
-    """Is the one-lined text as long as an about text and not known to be other than English?"""
+    """Is the one-lined text a paragraph of English, as long as an about text, about this build?"""
     line = one_line(visible(x))
-    return F.length(line).between(*ABOUT_LENGTH) & F.coalesce(prose(language_stats(line)), F.lit(True))
+    paragraph = ~line.rlike(re2_to_java(OTHER_BUILD)) & ~line.rlike(re2_to_java(NOT_PROSE))
+    return F.when(F.length(line).between(*ABOUT_LENGTH), paragraph & F.coalesce(prose(language_stats(line)), F.lit(False))).otherwise(F.lit(False))
 
 
 def longest_lead(x: Column, most: int = ABOUT_LENGTH[1]) -> Column:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.functions import arrow_text
+
 #: A side given as "small" is broadcast up to this many rows; beyond, Spark joins as it sees fit.
 SMALL_ROWS = 100_000
 
@@ -30,39 +35,75 @@ def longest_prefix(df: DataFrame, rules: DataFrame, path: str, prefix: str, keys
 
 
 def first_regex_rule(df: DataFrame, rules: list[tuple[str, str]], column: str) -> DataFrame:
-    """``rule``: the first by name of the rules whose Java pattern finds something; one pass, no cross join."""
-    return df.withColumn("rule", F.coalesce(*[F.when(F.col(column).rlike(p), F.lit(n)) for n, p in sorted(rules)]))
+    """``rule``: the first by name of the rules whose RE2 pattern finds something; one pass, no cross join."""
+    return df.withColumn("rule", arrow_text.first_match(F.col(column), rules))
+
+
+#: Bytes of phrases that are searched for at once; beyond, texts and phrases meet by their word runs.
+SMALL_BYTES = 64 << 20
+
+
+def _occurrences(rows: list, kind: str):
+    """Batches of (key, text) -> (key, phrase's key) for each phrase in a text, by one automaton of all phrases."""
+    import ahocorasick
+
+    by_text: dict[str, list] = {}
+    for key, phrase in rows:
+        by_text.setdefault(phrase, []).append(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = ahocorasick.Automaton()
+        for phrase, keys in by_text.items():
+            machine.add_word(phrase, keys)
+        machine.make_automaton()
+        for batch in batches:
+            at, found = [], []
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                met = {id(keys): keys for _, keys in machine.iter(text)} if text else {}
+                for keys in met.values():
+                    at += [k] * len(keys)
+                    found += keys
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(found, kind)], names=["l", "r"])
+
+    return run
 
 
 def contains_join(left: DataFrame, right: DataFrame, text: str, phrase: str, left_key: str, right_key: str, grams: int = 4) -> DataFrame:
-    """(left_key, right_key) where the text contains the phrase.
+    """(left_key, right_key) where the text contains the phrase; null texts and phrases meet nothing, an empty phrase every text.
 
-    A phrase's longest inner word run gives a key of ``grams`` whole words
-    (fewer if it has fewer), and the texts' runs of as many words meet it by
-    equality; only what meets is searched. Phrases without an inner word are
-    few and are searched for everywhere.
+    Up to SMALL_ROWS phrases of SMALL_BYTES together, all are searched for in
+    one pass. Beyond, a phrase's inner words give a key of ``grams`` whole words
+    (fewer if it has fewer); the texts' runs of as many words meet it by their
+    hashes alone, and only texts that meet a phrase are fetched and searched.
+    Phrases without an inner word are few and are searched for by the automaton.
     """
-    words = lambda c: F.split(c, r"\s+")
-    inner = F.filter(words(F.col(phrase)), lambda w: w != "")
+    p = right.filter(F.col(phrase).isNotNull()).select(F.col(right_key).alias("__rk"), F.col(phrase).alias("__phrase"))
+    docs = left.filter(F.col(text).isNotNull()).select(F.col(left_key).alias("__lk"), F.col(text).alias("__text"))
+    names = f"`{left_key}` {left.schema[left_key].dataType.simpleString()}, `{right_key}` {right.schema[right_key].dataType.simpleString()}"
+    arrow = right.select(right_key).limit(0).toArrow().schema.field(0).type
+
+    def search(phrases: DataFrame) -> DataFrame:
+        empty = phrases.filter("__phrase = ''").select("__rk").collect()
+        rows = [(r["__rk"], r["__phrase"]) for r in phrases.filter("__phrase <> ''").collect()]
+        found = docs.mapInArrow(_occurrences(rows, arrow), names.replace(f"`{left_key}`", "l", 1).replace(f"`{right_key}`", "r", 1) if left_key != right_key else names)
+        found = found.toDF(left_key, right_key)
+        for r in empty:
+            found = found.unionByName(docs.select(F.col("__lk").alias(left_key), F.lit(r["__rk"]).alias(right_key)))
+        return found
+
+    n, size = p.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("__phrase").cast("long")), F.lit(0))).first()
+    if n <= SMALL_ROWS and size <= SMALL_BYTES:
+        return search(p)
+    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    inner = words(F.col("__phrase"))
     inner = F.slice(inner, 2, F.greatest(F.size(inner) - 2, F.lit(0)))
-    p = right.select(F.col(right_key), F.col(phrase).alias("__phrase"), F.slice(inner, 1, grams).alias("__inner"))
-    keyed = p.filter(F.size("__inner") > 0).select(right_key, "__phrase", F.size("__inner").alias("__n"), F.xxhash64("__inner").alias("__key"))
-    lengths = [r[0] for r in keyed.select("__n").distinct().collect()]  # at most ``grams`` numbers
-    tokens = left.select(left_key, F.col(text).alias("__text"), words(F.col(text)).alias("__w"))
-    found = None
-
-    def runs(n: int) -> Column:
-        at = F.sequence(F.lit(1), F.greatest(F.size("__w") - (n - 1), F.lit(1)))
-        return F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.slice("__w", i, n))))
-
-    for n in lengths:
-        met = tokens.withColumn("__run", F.explode(runs(n))).join(small(keyed.filter(F.col("__n") == n)), F.col("__run") == F.col("__key")).filter(F.contains("__text", F.col("__phrase"))).select(left_key, right_key)
-        found = met if found is None else found.unionByName(met)
-    rest = p.filter(F.size("__inner") == 0).select(right_key, "__phrase")
-    if rest.limit(1).count():
-        more = left.join(small(rest), F.contains(F.col(text), F.col("__phrase"))).select(left_key, right_key)
-        found = more if found is None else found.unionByName(more)
-    return found if found is not None else left.select(left_key).limit(0).crossJoin(right.select(right_key).limit(0))
+    cut = p.select("__rk", "__phrase", F.slice(inner, 1, grams).alias("__inner"))
+    keyed = cut.filter(F.size("__inner") > 0).select("__rk", F.xxhash64(F.size("__inner"), "__inner").alias("__key"))
+    runs = lambda w, n: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.lit(n), F.slice(w, i, n)))).otherwise(F.array().cast("array<bigint>"))
+    each = docs.select("__lk", words(F.col("__text")).alias("__w")).select("__lk", F.explode(F.array_distinct(F.concat(*[runs(F.col("__w"), n) for n in range(1, grams + 1)]))).alias("__run"))
+    pairs = each.join(keyed, F.col("__run") == F.col("__key")).select("__lk", "__rk").distinct()
+    met = pairs.join(docs, "__lk").join(p, "__rk").filter(F.contains("__text", F.col("__phrase"))).select(F.col("__lk").alias(left_key), F.col("__rk").alias(right_key))
+    return met.unionByName(search(cut.filter(F.size("__inner") == 0).select("__rk", "__phrase")))
 
 
 def mentions(df: DataFrame, text: str, tokens: list[str]) -> DataFrame:

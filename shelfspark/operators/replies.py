@@ -19,7 +19,7 @@ LINK = r"\S*(?:://|www\.|\.com/|\.org/)\S*"
 LOWER_START = r"(\S*)[.!?]\s+[a-z]"
 ABBREVIATION = r"(?i)^(?:e\.g|i\.e|etc|vs|approx|incl)[.!?]\s+[a-z]$"
 STRAY = r"\s[,.;:!?]|,\s*,|\(\s*\)"
-OTHER_BUILD = r"(?i)\b(?:foss|variant|flavou?r)\b|standard builds?|open[- ]source|f-droid|obtainium|play store"
+OTHER_BUILD = tx.OTHER_BUILD
 PITCH = r"(?i)\b(?:allows?|lets|enables?|helps?) (?:users|people|anyone)\b|\bdecentrali[sz]ed\b|\bbuilt (?:on|with|using)\b|\bwithout relying on\b|\bintermediar(?:y|ies)\b|(?:\b(?:is|as) |(?:^|[.!?]\s+))an? (?:[\w-]+ ){0,3}(?:app|application|platform|client|tool|game|network|service)\b"
 GOOGLE = r"(?i)\bgoogle\b|firebase|play[- ]services|\bfcm\b|\bgms\b"
 TRACKER = r"(?i)analytics|telemetry|crash report|tracking (?:library|libraries|sdk|code)|(?:third-party|usage) trackers?"

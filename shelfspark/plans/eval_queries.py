@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfspark.functions import arrow_text
 from shelfspark.functions import text as tx
 from shelfspark.operators import evals, ordered
 from shelfspark.plans.text_queries import _STATS
@@ -19,7 +20,7 @@ def _scored(spark, sf_dir):
     groups = F.array(F.array(F.lit("The"), F.lit("die")), F.array(F.lit("of")))
     checks = {
         "length": F.when(F.length(t) < 400, F.concat(F.lit("only "), F.length(t).cast("string"))),
-        "english": F.when(~F.coalesce(tx.prose(tx.language_stats(t)), F.lit(True)), "not English"),
+        "english": F.when(~F.coalesce(tx.prose(arrow_text.language_stats(t)), F.lit(True)), "not English"),
         "must": F.when(~tx.contains_all_groups(t, groups), "a phrase is missing"),
         "banned": F.when(t.rlike("[%#]{3}"), "banned signs"),
     }

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfspark.functions import arrow_text, urls, vectors
 from shelfspark.functions import text as tx
-from shelfspark.functions import urls, vectors
-from shelfspark.functions.regex import re2_to_java
 from shelfspark.operators import joins, ordered
 from shelfspark.registry import query, table
 
@@ -28,13 +27,13 @@ judged AS (SELECT *, CASE WHEN other > latin THEN false WHEN words < 6 THEN NULL
 
 @query("lang_verdict_by_lang", f"WITH {_STATS} SELECT lang, CAST(count(*) FILTER (english) AS BIGINT) AS english, CAST(count(*) FILTER (english IS NULL) AS BIGINT) AS undecided, CAST(count(*) FILTER (NOT english) AS BIGINT) AS not_english FROM judged GROUP BY lang")
 def lang_verdict_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("lang", tx.prose(tx.language_stats(F.col("text"))).alias("e"))
+    d = table(spark, sf_dir, "documents").select("lang", tx.prose(arrow_text.language_stats(F.col("text"))).alias("e"))
     return d.groupBy("lang").agg(F.count_if(F.col("e")).alias("english"), F.count_if(F.col("e").isNull()).alias("undecided"), F.count_if(~F.col("e")).alias("not_english"))
 
 
 @query("word_stats", f"WITH {_STATS} SELECT doc_id, CAST(words AS BIGINT) AS words, CAST(common AS BIGINT) AS common, CAST(latin AS BIGINT) AS latin, CAST(other AS BIGINT) AS other FROM counted")
 def word_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", tx.language_stats(F.col("text")).alias("s")).select("doc_id", "s.words", "s.common", "s.latin", "s.other")
+    return table(spark, sf_dir, "documents").select("doc_id", arrow_text.language_stats(F.col("text")).alias("s")).select("doc_id", "s.words", "s.common", "s.latin", "s.other")
 
 
 @query("exact_dedupe_keep_first", "SELECT min(doc_id) AS doc_id, sha256(text) AS sha FROM documents GROUP BY text")
@@ -61,7 +60,7 @@ def license_wording(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINE = "array_to_string(list_filter(string_split_regex(text, '[\\s\\x{85}\\x{a0}\\x{2028}\\x{2029}\\x{202f}\\x{3000}]+'), lambda w: w <> ''), ' ')"
 
 
-@query("fits_candidates", f"WITH {_STATS}, l AS (SELECT *, {_LINE} AS line FROM judged) SELECT doc_id, CAST(len(line) AS BIGINT) AS n_chars FROM l WHERE len(line) BETWEEN 100 AND 300 AND coalesce(english, true)")
+@query("fits_candidates", f"WITH {_STATS}, l AS (SELECT *, {_LINE} AS line FROM judged) SELECT doc_id, CAST(len(line) AS BIGINT) AS n_chars FROM l WHERE len(line) BETWEEN 100 AND 300 AND english AND NOT regexp_matches(line, '{tx.OTHER_BUILD}') AND NOT regexp_matches(line, '{tx.NOT_PROSE}')")
 def fits_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.filter(tx.fits_about(F.col("text"))).select("doc_id", F.length(tx.one_line(F.col("text"))).cast("long").alias("n_chars"))
@@ -167,7 +166,7 @@ REGEX_RULES = [("a-secret", r"(?i)\b(password|token)\b\s*[:=]"), ("b-license", r
 
 @query("regex_theta_first_rule", "WITH r(rule, pattern) AS (VALUES " + ", ".join(f"('{n}', '{p}')" for n, p in REGEX_RULES) + ") SELECT doc_id, min(rule) AS rule FROM documents, r WHERE regexp_matches(text, pattern) GROUP BY doc_id")
 def regex_theta_first_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.first_regex_rule(table(spark, sf_dir, "documents"), [(n, re2_to_java(p)) for n, p in REGEX_RULES], "text").select("doc_id", "rule").filter("rule IS NOT NULL")
+    return joins.first_regex_rule(table(spark, sf_dir, "documents"), REGEX_RULES, "text").select("doc_id", "rule").filter("rule IS NOT NULL")
 
 
 TOKENS = ["firebase", "password", "license", "appsflyer", "lic", "zzzz"]
