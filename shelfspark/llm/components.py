@@ -30,14 +30,16 @@ def _state(edges: DataFrame) -> tuple:
 FILE_EDGES = 250_000
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, about: int | None = None, most_rounds: int = 60) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b): root is the component's least node, itself included.
 
     Self-loops and repeated edges do no harm; an empty table gives no rows. Node
     ids can be of any orderable type. Each round is cut in the shared folder;
-    rounds grow with the logarithm of the longest path.
+    rounds grow with the logarithm of the longest path. ``about`` is how many
+    edges there may be, if that is known: files are few where edges are few.
     """
-    at = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(F.col("a") != F.col("b")).distinct(), "edges")
+    first = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(F.col("a") != F.col("b")).distinct()
+    at = cut(first if about is None else first.coalesce(8 + about // FILE_EDGES), "edges")
     state = _state(at)
     for _ in range(most_rounds):
         if not state[0]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import text as tx
-from shelfspark.llm.components import components
+from shelfspark.llm.components import FILE_EDGES, components
 from shelfspark.plans.lineage import cut
 
 #: Cells that come last in the order of prefixes, at most: what is broadcast. Only the order depends on them, never the result.
@@ -556,23 +556,24 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
     both = cut(dealt.mapInArrow(_add_cells(second), f"{signed}, cell long, level int"), "jaccard-signatures")
     signed = both.filter("n IS NOT NULL").drop("cell", "level")
     cells, levels = frequent_cells(both.filter("cell IS NOT NULL").select("cell", "level"))
-    classes = cut(signed.filter("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("keyless"), "doc_id", "row_key")).alias("least"), F.min("row_key").alias("row_key"), F.max("n").alias("n")).withColumn("half", half_of(F.col("cls"))), "jaccard-classes")
+    classes = signed.filter("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("keyless"), "doc_id", "row_key")).alias("least"), F.min("row_key").alias("row_key"), F.max("n").alias("n")).withColumn("half", half_of(F.col("cls")))
 
     postings = docs.select("text").mapInArrow(_prefixes(size, percent, cells, levels), "shingle long, node long, span long")
     met = postings.repartition("shingle").sortWithinPartitions("shingle", "span").mapInArrow(_ties(percent), "a long, b long, times long, least long")
     coarse = components(met.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("least").alias("least")).filter("times >= least").select("a", "b"))
-    grouped = cut(classes.join(coarse, F.col("half") == F.col("node")).select("cls", "root", "copies", "row_key", "n"), "jaccard-grouped")
+    several = coarse.count()
+    grouped = cut(classes.join(coarse, F.col("half") == F.col("node")).select("cls", "root", "copies", "row_key", "n").coalesce(8 + several // FILE_EDGES), "jaccard-grouped")
     blocks = grouped.groupBy(F.col("root").alias("r")).agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
     members = grouped.join(blocks, F.col("root") == F.col("r")).select("cls", "root", "blocks", "copies", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
     wanted = grouped.select(F.col("row_key").alias("__wanted")).distinct()
-    if grouped.count() <= BROADCAST_KEYS:
+    if several <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
     sets = docs.join(wanted, F.col("row_key") == F.col("__wanted"), "left_semi").select("text").mapInArrow(_fetch(size), "cls binary, shingles binary")
     placed = sets.withColumnRenamed("cls", "c").join(members, F.col("c") == F.col("cls")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     in_cells = placed.select("root", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "cls", "shingles", "copies", "block")
     found = cut(in_cells.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(_cells(percent), "cls binary, other binary, links long"), "jaccard-links")
 
-    linked = components(found.filter("other IS NOT NULL").select(F.col("cls").alias("a"), F.col("other").alias("b")))
+    linked = components(found.filter("other IS NOT NULL").select(F.col("cls").alias("a"), F.col("other").alias("b")), several)
     degrees = found.filter("links IS NOT NULL").groupBy(F.col("cls").alias("d")).agg(F.sum("links").alias("links"))
     named = classes.select("cls", "copies", "least").join(linked, F.col("cls") == F.col("node"), "left").join(degrees, F.col("cls") == F.col("d"), "left").select("cls", "copies", "least", F.coalesce("root", "cls").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     names = named.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("first"))
