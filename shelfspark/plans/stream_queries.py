@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfspark.plans.lineage import scratch_path
 from shelfspark.plans.state_queries import BACKOFF_SQL
 from shelfspark.registry import query, table
 from shelfspark.streaming import stateful
@@ -26,3 +27,34 @@ def stream_tumbling_counts(spark, sf_dir):
     e = _stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
     rows = stateful.run_to_end(stateful.windowed_counts(e, "ts", "event_type", "1 day", late="400 days"), "update", "tumbling")
     return rows.groupBy(F.unix_timestamp("w.start").alias("start_s"), "event_type").agg(F.max_by("n", "__batch").alias("n"))
+
+
+@query("stream_newest_wins", "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id")
+def stream_newest_wins(spark, sf_dir):
+    e = _stream(spark, sf_dir).select("user_id", F.struct("ts", "event_id").alias("at"), "event_id")
+    rows = stateful.run_to_end(stateful.newest_wins(e, "user_id", "at"), "update", "newest")
+    return rows.groupBy("user_id").agg(F.max_by("event_id", "__batch").alias("event_id"))
+
+
+@query("stream_pauses", "SELECT event_type AS provider, arg_max(event_id + 60, event_id) AS until FROM events GROUP BY 1")
+def stream_pauses(spark, sf_dir):
+    e = _stream(spark, sf_dir).select(F.col("event_type").alias("provider"), F.col("event_id").alias("at"), F.lit(60).alias("pause"))
+    rows = stateful.run_to_end(stateful.pauses(e), "update", "pauses")
+    return rows.groupBy("provider").agg(F.max_by("until", "__batch").alias("until"))
+
+
+@query("stream_merged_table", "SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id")
+def stream_merged_table(spark, sf_dir):
+    """The events as a stream, merged twice into one table: the second start finds its checkpoint and nothing new."""
+    path = scratch_path(spark, "merged")
+    for _ in range(2):
+        e = _stream(spark, sf_dir).select("user_id", "event_type", "event_id")
+        stateful.merge_stream(e, path, "user_id", "event_id", "merge", compact_every=1).awaitTermination()
+    return stateful.merged(spark, path, "user_id", "event_id").select("user_id", "event_type", "event_id")
+
+
+@query("changed_rows", "SELECT user_id FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1) WHERE n % 2 = 1 OR user_id % 3 = 0")
+def changed_rows(spark, sf_dir):
+    now = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("h"))
+    stored = now.filter("user_id % 3 <> 0").select("user_id", F.when(F.col("h") % 2 == 1, F.col("h") + 1).otherwise(F.col("h")).alias("h"))
+    return stateful.changed(now, stored, "user_id", "h").select("user_id")

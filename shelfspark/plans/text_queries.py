@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.functions import arrow_text, urls, vectors
+from shelfspark.functions import arrow_text, prompts, urls, vectors
 from shelfspark.functions import text as tx
 from shelfspark.operators import joins, ordered
 from shelfspark.registry import query, table
@@ -185,3 +185,37 @@ def files_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("html_hosts_clipped", "SELECT page_id, CASE WHEN strlen(url) <= 24 THEN url ELSE left(url, 24) END AS clipped, strlen(url) AS n_bytes FROM pages")
 def html_hosts_clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", tx.clip_bytes(F.col("url"), 24).alias("clipped"), F.octet_length("url").cast("long").alias("n_bytes"))
+
+
+_TAGS = ['<meta content="og &amp; co" property="og:description"><meta name="Description" content=" plain  text ">', "<meta name='description' content=''><meta property='og:description' content='og'>", "<meta name=description content=bare><meta name='twitter:description' content='tw'>", '<meta name="keywords" content="x">']
+
+
+@query("page_metas", "SELECT page_id, ['plain text', 'og', 'tw', ''][page_id % 4 + 1] AS description FROM pages")
+def page_metas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages get meta tags by page_id % 4: an order, an empty one, one without quotes, none that counts."""
+    page = F.replace(F.col("html"), F.lit("<head>"), F.concat(F.lit("<head>"), F.element_at(F.array(*[F.lit(t) for t in _TAGS]), (F.col("page_id") % 4 + 1).cast("int"))))
+    return table(spark, sf_dir, "pages").select("page_id", urls.page_meta(page)["description"].alias("description"))
+
+
+ADDRESSES = ["https://acme.io/x?y", "http://acme.io", "https://u@acme.io/", "https://172.20.1.1/", "https://[fd00::1]/", "https://172.40.1.1/", "https://[2001:db8::1]:8443/", "https://LOCALHOST", "https://2130706433/", "https://a%2eb/", "https://10.acme.io/"]
+
+
+@query("public_addresses", "SELECT page_id, [true, false, false, false, false, true, true, false, false, false, false][page_id % 11 + 1] AS public FROM pages")
+def public_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.element_at(F.array(*[F.lit(a) for a in ADDRESSES]), (F.col("page_id") % 11 + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", urls.public_https(url).alias("public"))
+
+
+@query("about_records", f"WITH d AS (SELECT doc_id, source, lang, left({_LINE}, 60) AS line FROM documents) SELECT doc_id, 'Listing:' || chr(10) || '# ' || source || chr(10) || chr(10) || lang || chr(10) || CASE WHEN trim(line) <> '' THEN chr(10) || trim(line) || chr(10) ELSE '' END || 'Tags: a, b' || chr(10) || 'License: MIT' || chr(10) || '---' || chr(10) || 'Description:' || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'kept' || chr(10) ELSE 'none: the listing description is empty, too short, too long, or not English. Write the about.' || chr(10) END || CASE WHEN doc_id % 3 = 0 THEN '---' || chr(10) || 'Other developer text:' || chr(10) || 'web: x y' || chr(10) ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN '---' || chr(10) || 'README:' || chr(10) || 'read me' || chr(10) ELSE '' END AS record FROM d")
+def about_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id")
+    app = {"id": F.lit("i"), "name": F.col("source"), "summary": F.col("lang"), "content": F.substring(tx.one_line(F.col("text")), 1, 60), "tags": F.array(F.lit("a"), F.lit("b")), "website": F.lit(""), "license": F.lit(" MIT "), "repository": F.lit(None).cast("string")}
+    others = F.when(k % 3 == 0, F.array(F.struct(F.lit("web").alias("source"), F.lit(" x  y ").alias("text")))).otherwise(F.array(F.struct(F.lit("no").alias("source"), F.lit(" ").alias("text"))))
+    return table(spark, sf_dir, "documents").select("doc_id", prompts.about_record(app, F.when(k % 2 == 0, " kept ").otherwise(""), others, F.when(k % 5 == 0, " read me ").otherwise("")).alias("record"))
+
+
+@query("security_records", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Current:' || chr(10) || '{\"security\":\"old\"}' || chr(10) ELSE 'security: write the summary. no-change is invalid.' || chr(10) END || '---' || chr(10) || 'Scan:' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '\"camera\",\"yes\",\"\"' || chr(10) ELSE '\"fact\",\"value\",\"notes\"' || chr(10) END || '---' || chr(10) || 'Listing:' || chr(10) || '# ' || source || chr(10) || CASE WHEN doc_id % 5 = 0 THEN '---' || chr(10) || 'Source:' || chr(10) || 'code' || chr(10) ELSE '' END AS record FROM documents")
+def security_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, none = F.col("doc_id"), F.lit("")
+    app = {"id": none, "name": F.col("source"), "summary": none, "content": none, "tags": F.array(), "website": none, "license": none, "repository": none}
+    return table(spark, sf_dir, "documents").select("doc_id", prompts.security_record(app, F.when(k % 2 == 0, "old").otherwise(" "), F.when(k % 3 == 0, '"camera","yes",""\n').otherwise(""), F.when(k % 5 == 0, "code").otherwise("")).alias("record"))
