@@ -24,28 +24,52 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule of the default policy rejects."""
+    """Documents that no rule of the default policy rejects, columns untouched whatever they are called.
+
+    Null and empty texts have no words and go. Repeated rows stay or go
+    together, each counted as a row; texts of any length are measured whole. An
+    empty table gives an empty one.
+    """
     return quality.ledger(_rows(docs), keep=("__row",)).filter(quality.verdict()).select("__row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that five-word shingles link at a Jaccard similarity of 0.8 or more."""
+    """One document of each group that five-word shingles link at a Jaccard similarity of 0.8 or more, columns untouched.
+
+    Of a group the least doc_id stays, rows without one come last; of rows equal
+    in doc_id and text one stays, the least by its columns. Documents without
+    words link with nothing and stay. Texts of any length are read whole; an
+    empty table gives an empty one.
+    """
     return jaccard.keep_one(docs, size=5, percent=80)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item, columns untouched.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together.
+    An empty benchmark takes nothing away, an empty table gives an empty one.
+    """
     found = decontaminate.find_benchmark(_rows(docs), table(spark, sf_dir, "benchmark"), keep=("__row",))
     return found.filter(F.size("hit_words") == 0).select("__row.*")
 
 
 def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it, none, once or twice, columns untouched.
+
+    Null sources are one source. Documents without words have size 0; they are
+    taken as their draw says, and count for nothing. Repeated rows draw equally.
+    An empty table gives an empty one.
+    """
     return mixing.mixed_documents(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard, slot, and the shard it would be in with one more."""
+    """Every row with its shard, slot, and the shard it would be in with one more; columns of those names are replaced.
+
+    A null doc_id is key 0. Copies of a document follow each other in one
+    shard's slots. An empty table gives an empty one.
+    """
     return sharding.shard(docs, SHARDS, text=None)
 
 
