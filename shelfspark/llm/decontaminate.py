@@ -139,27 +139,36 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", ke
     The benchmark is a stated set that is small beside the corpus. Its size is
     counted first: up to ``block_words`` words its index (8 bytes a word and
     fingerprint) goes to every task; beyond, it goes through in blocks of items,
-    each read against all rows, and the hits of a row are united.
+    each read against all rows, and the hits of a text are united. Texts of any
+    length are read whole, repeated rows get equal results, and an empty table
+    gives no rows. Columns of ``keep`` called like one of the results are
+    replaced, other columns go.
     """
     items = benchmark.select(F.col(item).cast("string").alias("id"), F.col(item_text).cast("string").alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
     n = items.agg(F.sum(F.length("text") / 2 + 1)).first()[0] or 0
     blocks = int(n // block_words) + 1
     keep = tuple(k for k in keep if k not in ("n_words", "hit_words", "items"))
-    columns = [F.col(f"`{k}`") for k in keep]
-    if blocks > 1:  # rows meet again by their text as well
-        columns.append(F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), 256).alias("__digest"))
-    source = docs.select(*columns, F.col(f"`{text}`").cast("string").alias("__text"))
-    held = source.columns[:-1]
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-    names = [*held, "n_words", "hit_words", "items"]
-    out = None
-    for b in range(blocks):
-        mine = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
-        rows = mine.collect()
-        index = Index([r.id for r in rows], [r.text for r in rows], window, gram)
-        got = source.mapInArrow(_scan(index, len(held), names), ", ".join([*schema, "n_words long", "hit_words array<int>", "items array<string>"]))
-        out = got if out is None else out.unionByName(got)
+    source = docs.select(*[F.col(f"`{k}`") for k in keep], F.col(f"`{text}`").cast("string").alias("__text"))
+    found = "n_words long, hit_words array<int>, items array<string>"
+
+    def scan(rows: DataFrame, block: DataFrame) -> DataFrame:
+        stated = block.collect()
+        index = Index([r.id for r in stated], [r.text for r in stated], window, gram)
+        held = rows.schema.fields[:-1]
+        return rows.mapInArrow(_scan(index, len(held), [*[f.name for f in held], "n_words", "hit_words", "items"]), ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in held], found]))
+
     if blocks == 1:
-        return out
-    united = out.groupBy(*[F.col(f"`{k}`") for k in held], "n_words").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), (F.count(F.lit(1)) / blocks).cast("int").alias("__n"))
-    return united.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__n")))).select(*keep, "n_words", "hit_words", "items")
+        return scan(source, items)
+    # Hits depend on the text alone, so blocks meet again by its digest; only texts with a hit are sent.
+    named = source.select(*[F.col(f"`{k}`") for k in keep], F.sha2(F.coalesce("__text", F.lit("")), 256).alias("__digest"), "__text")
+    block = [items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b) for b in range(blocks)]
+    first = scan(named, block[0])
+    more = None
+    for b in block[1:]:
+        got = scan(named.select("__digest", "__text"), b).filter(F.size("hit_words") > 0).drop("n_words")
+        more = got if more is None else more.unionByName(got)
+    each = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(f"__{c}")
+    others = more.groupBy(F.col("__digest").alias("__other")).agg(each("hit_words"), each("items"))
+    both = first.join(others, F.col("__digest") == F.col("__other"), "left")
+    united = lambda c: F.when(F.col(f"__{c}").isNull(), F.col(c)).otherwise(F.array_sort(F.array_union(c, f"__{c}"))).alias(c)
+    return both.select(*[F.col(f"`{k}`") for k in keep], "n_words", united("hit_words"), united("items"))
