@@ -36,6 +36,9 @@ m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(array
 b AS (SELECT *, CAST({_BITS} AS BIGINT) AS failed_rules FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_rules & {quality.mask_of(quality.POLICIES["base-1"])} <> 0 AS base_failed, failed_rules & {quality.mask_of(quality.POLICIES[quality.DEFAULT_POLICY])} = 0 AS kept, failed_rules FROM b"""
 
+_MASKED = f"failed_rules & {quality.mask_of(quality.POLICIES[quality.DEFAULT_POLICY])}"
+ABLATION = f"WITH l AS ({LEDGER}), r(rule, bit) AS (VALUES {', '.join(f"('{rule}', {quality.mask_of((rule,))})" for rule in quality.POLICIES[quality.DEFAULT_POLICY])}) SELECT rule, CAST(sum(CASE WHEN failed_rules & bit <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS failing, CAST(sum(CASE WHEN {_MASKED} = bit THEN 1 ELSE 0 END) AS BIGINT) AS rejected_alone, CAST(sum(CASE WHEN {_MASKED} = 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept, CAST(sum(CASE WHEN {_MASKED} IN (0, bit) THEN 1 ELSE 0 END) AS BIGINT) AS kept_without FROM l, r GROUP BY rule"
+
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SIGNED = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 

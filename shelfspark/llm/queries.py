@@ -50,7 +50,7 @@ def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["begin"])
     return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
 
@@ -70,6 +70,11 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved_records(spark, path)
 
 
+def rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the default policy rejects, alone and beside the others."""
+    return quality.ablation(quality.ledger(table(spark, sf_dir, "documents"))).drop("masks_seen")
+
+
 QUERIES: dict[str, Query] = {
     "op1_deobfuscated_toxicity": op1_deobfuscated_toxicity,
     "op2_secret_ownership": op2_secret_ownership,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_winnowing": op9_winnowing,
     "op10_warc_revisits": op10_warc_revisits,
+    "rule_ablation": rule_ablation,
 }
 
 #: Secrets need positions of matches, slots and shards xxHash blocks, scores and suffix arrays more than SQL has: tests hold those against brute force.
@@ -90,4 +96,5 @@ ORACLES: dict[str, str] = {
     "op8_jaccard_join": oracles.JACCARD,
     "op9_winnowing": oracles.WINNOW,
     "op10_warc_revisits": oracles.WARC,
+    "rule_ablation": oracles.ABLATION,
 }

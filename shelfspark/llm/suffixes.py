@@ -358,7 +358,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _remove(keep: int, span: int):
+def _remove(keep: int, span: int, with_kept: bool = True):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, at in tx.slices(batch, "text"):
@@ -375,14 +375,14 @@ def _remove(keep: int, span: int):
                     left = b"".join(raw[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2], strict=True))
                     n.append(len(raw))
                     removed.append([{"begin": a, "stop": b} for a, b in cuts])
-                    left_over.append(left)
+                    left_over.append(left if with_kept else None)
                     shas.append(hashlib.sha256(left).hexdigest())
                 yield pa.RecordBatch.from_arrays([*[part.column(k) for k in range(keep)], pa.array(n, pa.int64()), pa.array(removed, pa.list_(pa.struct([("begin", pa.int64()), ("stop", pa.int64())]))), pa.array(left_over, pa.binary()), pa.array(shas, pa.string())], names=[*part.schema.names[:keep], "n_bytes", "removed", "kept", "kept_sha256"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: str = "text", keep: tuple[str, ...] = ("doc_id",), hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: str = "text", keep: tuple[str, ...] = ("doc_id",), hot: int = HOT, with_kept: bool = True) -> DataFrame:
     """``keep`` columns of each row, n_bytes, removed (maximal runs of bytes), kept (bytes left) and kept_sha256.
 
     Removed is every byte covered by a string of ``span`` bytes that starts
@@ -391,17 +391,30 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     or more is removed whole if it has ``span`` bytes. Kept bytes can end inside
     a UTF-8 character, as strings are bytes.
 
-    Equal texts are known by 64-bit hash of the text and length; strings under
+    Equal texts are known by 128 bits; strings under
     anchors of up to ``hot`` occurrences are compared byte by byte, under hotter
-    ones by 128 bits, as those are spread over all tasks.
+    ones by 128 bits, as those are spread over all tasks. Without ``with_kept``
+    the bytes left are null, their hash is given all the same. Texts of any
+    length are read whole, repeated rows get equal results, and an empty table
+    gives no rows. Columns of ``keep`` called like one of the results are
+    replaced, other columns go.
     """
     if not gram < span <= 1000:
         raise ValueError("gram < span <= 1000 is needed")
     keep = tuple(k for k in keep if k not in ("n_bytes", "removed", "kept", "kept_sha256"))
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     source = docs.select(*[F.col(f"`{k}`") for k in keep], body.alias("text")).withColumn("ref", F.xxhash64("text", F.octet_length("text")))
-    row_key = F.xxhash64("ref", *[F.col(f"`{k}`").cast("string") for k in keep[:1]])
-    texts = cut(source.select("ref", row_key.alias("row_key"), F.octet_length("text").alias("size")).groupBy("ref").agg(F.count(F.lit(1)).alias("copies"), F.min("row_key").alias("row_key"), F.max("size").alias("size")), "repeats-texts")
+    row_key = F.unhex(F.md5(F.concat_ws(":", F.col("ref").cast("string"), *[F.col(f"`{k}`").cast("string") for k in keep[:1]])))
+
+    def known(rows: DataFrame) -> DataFrame:
+        return rows.select("ref", row_key.alias("row_key"), F.octet_length("text").alias("size"), F.md5("text").alias("digest")).groupBy("ref").agg(F.count(F.lit(1)).alias("copies"), F.min("row_key").alias("row_key"), F.max("size").alias("size"), F.min("digest").alias("d1"), F.max("digest").alias("d2"))
+
+    texts = cut(known(source), "repeats-texts")
+    # Different texts under one 64-bit name are few, if any; they get names from their 128-bit digest.
+    odd = texts.filter("d1 <> d2").select(F.col("ref").alias("odd"))
+    if odd.limit(1).count():
+        source = source.join(odd, F.col("ref") == F.col("odd"), "left").withColumn("ref", F.when(F.col("odd").isNull(), F.col("ref")).otherwise(F.xxhash64(F.lit("again"), F.md5("text")))).drop("odd")
+        texts = cut(known(source), "repeats-texts")
 
     found = source.select("ref", "text").filter(F.octet_length("text") >= span).mapInArrow(_anchor_rows(span, gram), "anchor long, occurrence long, ref long, pos long, begin long, stop long")
     repeated = cut(found.select("anchor", "occurrence").groupBy("anchor").agg(F.min("occurrence").alias("o1"), F.max("occurrence").alias("o2"), F.count(F.lit(1)).alias("n")).filter("o1 <> o2").select(F.col("anchor").alias("again"), (F.col("n") > hot).alias("hot")), "repeats-anchors")
@@ -422,4 +435,4 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
         side = F.broadcast(per_text)
     joined = source.join(side, F.col("ref") == F.col("r"), "left").select(*[F.col(f"`{k}`") for k in keep], F.coalesce("copied", F.lit(False)).alias("copied"), "runs", "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[: len(keep)])
-    return joined.mapInArrow(_remove(len(keep), span), ", ".join([*([schema] if schema else []), "n_bytes long, removed array<struct<begin:bigint,stop:bigint>>, kept binary, kept_sha256 string"]))
+    return joined.mapInArrow(_remove(len(keep), span, with_kept), ", ".join([*([schema] if schema else []), "n_bytes long, removed array<struct<begin:bigint,stop:bigint>>, kept binary, kept_sha256 string"]))

@@ -286,3 +286,35 @@ def test_damaged_archives_are_refused():
     for bad in (good[:-1], good + b"x", good.replace(b": 2", b": 1")):
         with pytest.raises(ValueError):
             list(warc.records(bad))
+
+
+def test_clashing_names_are_replaced_and_long_texts_read_whole(spark):
+    from shelfspark.llm import suffixes, toxicity
+
+    text = " ".join(f"w{k}" for k in range(60_000)) + " password=abcdef123 " + PASSAGE
+    names = ["n_words", "hit_words", "items", "secrets", "bare", "score", "removed", "kept", "n_bytes", "kept_sha256", "failed_x", "text"]
+    docs = spark.createDataFrame([tuple("v" for _ in names[:-1]) + (text,)], ", ".join(f"`{n}` string" for n in names))
+    keep = tuple(n for n in names if n != "text")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    measured = quality.measure(docs, keep=keep).first()
+    assert measured.n_words == 60_021 and measured.items == "v"
+    found = decontaminate.find_benchmark(docs, bench, keep=keep).first()
+    assert found.n_words == 60_022 and len(found.hit_words) == 20 and found.score == "v"
+    held = secrets.find_secrets(docs, keep=keep).first()
+    assert [s.kind for s in held.secrets] == ["assign"] and held.n_words == "v"
+    left = suffixes.remove_repeats(docs, keep=("n_words", "kept", "removed")).first()
+    assert left.n_words == "v" and left.n_bytes == len(text) and left.removed == []
+    labels = spark.createDataFrame([("v", 1)], "n_words string, toxic int")
+    scored = toxicity.score_toxicity(docs, labels, key="n_words", keep=keep).first()
+    assert isinstance(scored.score, float) and scored.kept == "v"
+
+
+def test_ablation_query_equals_its_twin(spark, store, edge):
+    import duckdb
+
+    d = store(documents=edge)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{d}/documents.parquet/*.parquet')")
+    cursor = con.execute(queries.ORACLES["rule_ablation"])
+    names = [c[0] for c in cursor.description]
+    assert sorted(cursor.fetchall()) == sorted(tuple(r[n] for n in names) for r in queries.QUERIES["rule_ablation"](spark, d).collect())

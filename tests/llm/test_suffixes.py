@@ -89,3 +89,16 @@ def test_op7_edges(edge, empty, store, spark):
     got = queries.op7_suffix_repeats(spark, store(documents=small)).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute([r for r in rows if r[0] != 10], 200) + Counter([(10, 70_000, 70_000, 1, hashlib.sha256(b"").hexdigest())])
     assert queries.op7_suffix_repeats(spark, store(documents=empty)).count() == 0
+
+
+def test_texts_under_one_name_stay_apart(spark, monkeypatch):
+    real = F.xxhash64
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(7).cast("long") if isinstance(c[0], str) and c[0] == "text" else real(*c))
+    rows = shared_passages(6, n=12, span=30)
+    assert digest(suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 30, 8)) == brute(rows, 30)
+
+
+def test_without_kept_bytes(spark):
+    df = spark.createDataFrame([(1, "abc")], "doc_id long, text string")
+    row = suffixes.remove_repeats(df, with_kept=False).first()
+    assert row.kept is None and row.kept_sha256 == hashlib.sha256(b"abc").hexdigest()
