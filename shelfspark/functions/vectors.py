@@ -46,6 +46,15 @@ def mean_pool(df: DataFrame, key: str, vector: str, mask: str | None = None) ->
     return rows.select(key, F.posexplode(vector).alias("pos", "x")).groupBy(key, "pos").agg(F.avg(F.col("x").cast("double")).alias("mean"))
 
 
+def masked_mean(hidden: Column, mask: Column) -> Column:
+    """Mean of the token vectors whose mask isn't 0, as 32-bit floats; zeros of the same length if none is."""
+    kept = F.filter(F.arrays_zip(hidden.alias("v"), mask.alias("m")), lambda t: t["m"] != 0)
+    zero = F.transform(F.get(hidden, F.lit(0)), lambda x: F.lit(0.0).cast("float"))
+    total = F.aggregate(kept, zero, lambda acc, t: F.zip_with(acc, t["v"], lambda a, b: (a + b).cast("float")))
+    n = F.size(kept).cast("float")
+    return F.when(F.size(kept) > 0, F.transform(total, lambda x: (x / n).cast("float"))).otherwise(total)
+
+
 def vector_key(document: Column, model: str = MODEL) -> Column:
     """Hex key of a document's vector: SHA-256 over the document's SHA-256 and the model's name."""
     return F.sha2(F.concat(F.unhex(F.sha2(document, 256)), F.encode(F.lit(model), "UTF-8")), 256)

@@ -109,6 +109,12 @@ def best_readme(files: DataFrame, tree: str = "tree_id") -> DataFrame:
     return named.groupBy(tree).agg(F.trim(F.min_by("body", F.struct(depth.alias("d"), F.col("path")))).alias("readme"))
 
 
+def shortest_path(files: DataFrame, name: str, tree: str = "tree_id") -> DataFrame:
+    """(tree, path, body) of the file of a name with the shortest path; of equally short ones the first by path."""
+    named = files.filter(F.lower(F.element_at(F.split("path", "/"), -1)) == name)
+    return named.groupBy(tree).agg(F.min_by(F.struct("path", "body"), F.struct(F.octet_length("path").alias("n"), F.col("path"))).alias("f")).select(tree, "f.path", "f.body")
+
+
 def manifest(body: Column) -> Column:
     """Struct of permissions (24 at most), components (15 at most) and cleartext of an AndroidManifest."""
     perms = F.regexp_extract_all(body, F.lit(r'(?s)<uses-permission\b.{0,300}?android:name="([^"]+)"'), 1)

@@ -45,10 +45,11 @@ def cap_then_limit(df: DataFrame, keys: list[str], order: list[str], per_key: in
     return capped.orderBy(*order).limit(overall)
 
 
-def frame(df: DataFrame, keys: list[str], line: str, value: str, before: int, after: int, name: str = "context") -> DataFrame:
-    """Each row with the values of the rows around it."""
+def frame(df: DataFrame, keys: list[str], line: str, value: str, before: int, after: int, name: str = "context", only: Column | None = None) -> DataFrame:
+    """Each row with the values of the rows around it; of those only where ``only`` holds, the frame counts all."""
     w = Window.partitionBy(*keys).orderBy(line).rowsBetween(-before, after)
-    return df.withColumn(name, F.collect_list(F.struct(line, value)).over(w))
+    pair = F.struct(line, value)
+    return df.withColumn(name, F.collect_list(pair if only is None else F.when(only, pair)).over(w))
 
 
 def islands(df: DataFrame, keys: list[str], begin: str, stop: str, most: int | None = None) -> DataFrame:
@@ -60,10 +61,18 @@ def islands(df: DataFrame, keys: list[str], begin: str, stop: str, most: int | N
     return out if most is None else out.withColumn(stop, F.least(F.col(stop), F.col(begin) + most))
 
 
-def evict(df: DataFrame, keys: list[str], used: str, size: str, most_bytes: int, oldest: int) -> DataFrame:
-    """``evicted``: last used before ``oldest``, or beyond the budget when counted from the most recently used."""
-    w = Window.partitionBy(*keys).orderBy(F.col(used).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("evicted", (F.col(used) < oldest) | (F.sum(size).over(w) > most_bytes))
+def evict(df: DataFrame, keys: list[str], used: str, size: str, most_bytes: int, oldest: int, tie: str | None = None, broken: str | None = None, grace: int | None = None) -> DataFrame:
+    """``evicted``: last used before ``oldest``, or beyond the budget when counted from the most recently used.
+
+    Of rows used at once those of lesser ``tie`` go first. Rows that are
+    ``broken`` have no size; they go if last used before ``grace``.
+    """
+    bad = F.coalesce(F.col(broken), F.lit(False)) if broken else F.lit(False)
+    order = [F.col(used).desc(), *([F.col(tie).desc()] if tie else [])]
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum(F.when(bad, 0).otherwise(F.col(size))).over(w)
+    whole = (F.col(used) < oldest) | (total > most_bytes)
+    return df.withColumn("evicted", F.when(bad, F.col(used) < (oldest if grace is None else grace)).otherwise(whole))
 
 
 def spread_sample(df: DataFrame, key: str, n: int, salt: str = "") -> DataFrame:

@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.functions import about, markdown
 from shelfspark.functions.regex import re2_to_java
-from shelfspark.operators import evals, replies, scan
+from shelfspark.operators import evals, listing, replies, scan
 
 # Patterns of what a note must not say (RE2), and things that may be called private.
 HEDGE = r"(?i)\b(?:may|might|could|potentially|possibly)\b|can be a risk"
@@ -264,6 +265,25 @@ def case_fails(id_: Column, split: Column, action: Column, about: Column, descri
     )
 
 
+def select_cases(cases: DataFrame, split: str = "", tag: str = "", has: DataFrame | None = None, key: str = "id") -> DataFrame:
+    """Cases of a split and with a tag, if given, without those that ``has`` lists."""
+    got = cases if not split else cases.filter(F.col("split") == split)
+    got = got if not tag else got.filter(F.array_contains("tags", tag))
+    return got if has is None else got.join(has.select(key).distinct(), key, "left_anti")
+
+
+def mined_cases(events: DataFrame, kind: int = 32267) -> DataFrame:
+    """Unlabelled cases (id, tags, listing, note) from listing events (kind, tags, content): of repeated tags the last counts, events without an id or content give none."""
+    t = F.col("tags")
+    last = lambda name: F.coalesce(F.try_element_at(listing.values(t, name), F.lit(-1)), F.lit(""))
+    e = events.filter((F.col("kind") == kind) & (F.trim("content") != "")).withColumn("id", last("d")).filter("id <> ''")
+    name = last("name")
+    e = e.withColumn("candidate", about.offered(F.col("id"), name, F.col("content")))
+    tags = mine_tags(markdown.paragraphs_of(F.col("content")), markdown.lead_of(F.col("content")), F.col("content"), F.col("candidate"))
+    text = F.struct(name.alias("name"), last("summary").alias("summary"), F.col("content").alias("content"), listing.values(t, "t").alias("tags"), last("url").alias("website"), last("repository").alias("repository"), last("license").alias("license"))
+    return e.select("id", tags.alias("tags"), text.alias("listing"), F.concat(F.lit("candidate: "), "candidate").alias("note"))
+
+
 def candidate_state(must: Column, must_not: Column, candidate: Column, action: Column) -> Column:
     """Struct (state, bad): ok, wrong or none, and whether a keep label is bad for it."""
     state = F.when(candidate == "", "none").when(candidate_ok(must, must_not, candidate), "ok").otherwise("wrong")
