@@ -27,7 +27,7 @@ def _state(edges: DataFrame) -> tuple:
 
 
 #: Edges of a file of a round's table, about: a table is written in no more files than its edges need.
-FILE_EDGES = 250_000
+FILE_EDGES = 25_000
 
 
 def components(edges: DataFrame, about: int | None = None, most_rounds: int = 60) -> DataFrame:

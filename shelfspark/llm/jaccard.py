@@ -560,7 +560,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
 
     postings = docs.select("text").mapInArrow(_prefixes(size, percent, cells, levels), "shingle long, node long, span long")
     met = postings.repartition("shingle").sortWithinPartitions("shingle", "span").mapInArrow(_ties(percent), "a long, b long, times long, least long")
-    coarse = components(met.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("least").alias("least")).filter("times >= least").select("a", "b"))
+    coarse = components(met.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("least").alias("least")).filter("times >= least").select("a", "b"), signed.count())
     several = coarse.count()
     grouped = cut(classes.join(coarse, F.col("half") == F.col("node")).select("cls", "root", "copies", "row_key", "n").coalesce(8 + several // FILE_EDGES), "jaccard-grouped")
     blocks = grouped.groupBy(F.col("root").alias("r")).agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))

@@ -27,6 +27,8 @@ SPAN, GRAM = 200, 32
 SHALLOW = 2
 #: Bytes of a text whose strings are anchored at once.
 SEGMENT = 1 << 20
+#: Texts whose facts one task writes.
+TASK_ROWS = 25_000
 #: Anchors with more occurrences are counted by digests of whole strings, spread over all tasks.
 HOT = 4096
 #: Suffixes sorted at once, about.
@@ -406,8 +408,11 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     source = docs.select(*[F.col(f"`{k}`") for k in keep], body.alias("text")).withColumn("ref", F.xxhash64("text", F.octet_length("text")))
     row_key = F.unhex(F.md5(F.concat_ws(":", F.col("ref").cast("string"), *[F.col(f"`{k}`").cast("string") for k in keep[:1]])))
 
+    tasks = 8 + docs.count() // TASK_ROWS
+
     def known(rows: DataFrame) -> DataFrame:
-        return rows.select("ref", row_key.alias("row_key"), F.octet_length("text").alias("size"), F.md5("text").alias("digest")).groupBy("ref").agg(F.count(F.lit(1)).alias("copies"), F.min("row_key").alias("row_key"), F.max("size").alias("size"), F.min("digest").alias("d1"), F.max("digest").alias("d2"))
+        # Few files for few rows: a table of facts is written by so many tasks as its rows need.
+        return rows.select("ref", row_key.alias("row_key"), F.octet_length("text").alias("size"), F.md5("text").alias("digest")).groupBy("ref").agg(F.count(F.lit(1)).alias("copies"), F.min("row_key").alias("row_key"), F.max("size").alias("size"), F.min("digest").alias("d1"), F.max("digest").alias("d2")).coalesce(tasks)
 
     texts = cut(known(source), "repeats-texts")
     # Different texts under one 64-bit name are few, if any; they get names from their 128-bit digest.
@@ -417,7 +422,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
         texts = cut(known(source), "repeats-texts")
 
     found = source.select("ref", "text").filter(F.octet_length("text") >= span).mapInArrow(_anchor_rows(span, gram), "anchor long, occurrence long, ref long, pos long, begin long, stop long")
-    repeated = cut(found.select("anchor", "occurrence").groupBy("anchor").agg(F.min("occurrence").alias("o1"), F.max("occurrence").alias("o2"), F.count(F.lit(1)).alias("n")).filter("o1 <> o2").select(F.col("anchor").alias("again"), (F.col("n") > hot).alias("hot")), "repeats-anchors")
+    repeated = cut(found.select("anchor", "occurrence").groupBy("anchor").agg(F.min("occurrence").alias("o1"), F.max("occurrence").alias("o2"), F.count(F.lit(1)).alias("n")).filter("o1 <> o2").select(F.col("anchor").alias("again"), (F.col("n") > hot).alias("hot")).coalesce(tasks), "repeats-anchors")
     mine = found.select("anchor", "ref", "pos", "begin", "stop").join(repeated, F.col("anchor") == F.col("again"))
     lists = mine.groupBy("ref").agg(F.collect_list(F.struct("anchor", "hot", "pos", "begin", "stop")).alias("anchors"))
     wanted = lists.join(texts.select(F.col("ref").alias("r"), "row_key"), F.col("ref") == F.col("r")).select(F.col("row_key").alias("k"), "anchors").hint("shuffle_hash")
@@ -428,7 +433,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     runs = cold.unionByName(_hot_runs(contexts.filter("hot"), span))
     per_text = runs.groupBy("ref").agg(F.collect_list(F.struct("begins", "los", "his")).alias("runs"))
     facts = texts.filter(F.col("copies") > 1).select(F.col("ref").alias("r"), F.lit(True).alias("copied"))
-    per_text = cut(per_text.join(facts, F.col("ref") == F.col("r"), "full").select(F.coalesce("ref", "r").alias("r"), F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied"), None).otherwise(F.col("runs")).alias("runs")), "repeats-runs")
+    per_text = cut(per_text.join(facts, F.col("ref") == F.col("r"), "full").select(F.coalesce("ref", "r").alias("r"), F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied"), None).otherwise(F.col("runs")).alias("runs")).coalesce(tasks), "repeats-runs")
     side = per_text
     numbers = F.coalesce(F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + F.size(r["begins"]) + 2 * F.size(r["los"])), F.lit(0).cast("long")) + 1
     if (per_text.agg(F.sum(numbers)).first()[0] or 0) <= BROADCAST_NUMBERS:
