@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.regex import re2_to_java as java
+from shelfspark.functions.text import let
 from shelfspark.operators import facts
 
 # What makes a library Google's services, or its messaging; frameworks by name.
@@ -224,13 +225,17 @@ def _and(items: Column) -> Column:
 
 def _named(rows: Column, fact: str, none: str, one: str, many: str) -> Column:
     """A sentence of the libraries behind a fact; null if the fact has no row. Names count once, case aside."""
+
+    def distinct(names: Column) -> Column:
+        return F.filter(names, lambda n, i: F.array_position(F.transform(names, lambda x: F.lower(x)), F.lower(n)) == i + 1)
+
+    def text(names: Column) -> Column:
+        listed = F.concat(F.array_join(F.slice(names, 1, F.greatest(F.size(names) - 1, F.lit(0))), ", "), F.lit(" and "), F.element_at(names, -1))
+        return F.when(F.size(names) == 0, none).when(F.size(names) == 1, F.concat(F.lit(one), F.element_at(names, 1))).otherwise(F.concat(F.lit(many), listed))
+
     mine = F.filter(rows, lambda r: r["fact"] == fact)
     names = F.filter(F.flatten(F.transform(mine, lambda r: F.transform(F.split(r["evidence"], ","), lambda n: F.trim(n)))), lambda n: n != "")
-    low = F.transform(names, lambda n: F.lower(n))
-    names = F.filter(names, lambda n, i: F.array_position(low, F.lower(n)) == i + 1)
-    listed = F.concat(F.array_join(F.slice(names, 1, F.greatest(F.size(names) - 1, F.lit(0))), ", "), F.lit(" and "), F.element_at(names, -1))
-    text = F.when(F.size(names) == 0, none).when(F.size(names) == 1, F.concat(F.lit(one), F.element_at(names, 1))).otherwise(F.concat(F.lit(many), listed))
-    return F.when(F.size(mine) > 0, F.concat(F.lit("Includes "), text, F.lit(".")))
+    return F.when(F.exists(rows, lambda r: r["fact"] == fact), F.concat(F.lit("Includes "), let(let(names, distinct), text), F.lit(".")))
 
 
 def security_template(rows: Column, quoted: Column, stated: Column) -> Column:
@@ -240,34 +245,45 @@ def security_template(rows: Column, quoted: Column, stated: Column) -> Column:
     that code quotes show, ``stated`` what the developer says. An access is used
     if quoted or stated; what isn't opens the note with a warning.
     """
-    known = F.create_map(*[F.lit(x) for kv in {k: v[0] for k, v in ACCESS.items()}.items() for x in kv])
+    nouns = F.create_map(*[F.lit(x) for kv in {k: v[0] for k, v in ACCESS.items()}.items() for x in kv])
     lines = F.create_map(*[F.lit(x) for kv in {k: v[1] for k, v in ACCESS.items()}.items() for x in kv])
+    says = F.array_compact(F.array(*[F.when(stated.rlike(java(p)), f) for f, p in STATED.items()]))
     yes = F.filter(rows, lambda r: (r["basis"] == "apk") & (r["value"] == "yes"))
-    says = F.array(*[F.struct(F.lit(f).alias("fact"), stated.rlike(java(p)).alias("hit")) for f, p in STATED.items()])
-
-    def used(fact: Column) -> Column:
-        place = fact.isin(*LOCATION) & (F.array_contains(quoted, LOCATION[0]) | F.array_contains(quoted, LOCATION[1]))
-        return F.array_contains(quoted, fact) | place | F.exists(says, lambda s: (s["fact"] == fact) & s["hit"])
-
-    access = F.transform(F.filter(yes, lambda r: is_permission(r["fact"])), lambda r: F.struct(r["fact"].alias("fact"), F.when(r["fact"].isin(*LOCATION), "location").otherwise(r["fact"]).alias("key"), used(r["fact"]).alias("used"), F.trim(F.substring_index(r["evidence"], ",", 1)).alias("id")))
-    keys = F.transform(access, lambda a: a["key"])
-    firsts = F.filter(access, lambda a, i: F.array_position(keys, a["key"]) == i + 1)
-    unused = F.transform(F.filter(firsts, lambda a: ~a["used"]), lambda a: F.element_at(known, a["key"]))
-    shown = F.transform(F.filter(firsts, lambda a: a["used"]), lambda a: F.element_at(lines, a["key"]))
-    has = lambda fact: F.exists(yes, lambda r: r["fact"] == fact)
-    said = F.concat(shown, F.when(has("google_services"), F.array(F.lit("Includes Google Play services."))).otherwise(F.array().cast(_NONE)))
-    warn = F.array_compact(
-        F.array(
-            _named(yes, "tracking", "a tracker", "the tracker ", "the trackers "),
-            _named(yes, "ads", "an ad library", "the ad library ", "the ad libraries "),
-            F.when(F.size(unused) > 0, F.concat(_and(unused), F.when(F.size(unused) > 1, " have no shown use.").otherwise(" has no shown use."))),
+
+    def access(known: Column) -> Column:
+        place = F.array_contains(quoted, LOCATION[0]) | F.array_contains(quoted, LOCATION[1])
+        used = lambda fact: F.array_contains(quoted, fact) | (fact.isin(*LOCATION) & place) | F.array_contains(known["says"], fact)
+        mine = F.filter(known["yes"], lambda r: is_permission(r["fact"]))
+        return F.transform(mine, lambda r: F.struct(r["fact"].alias("fact"), F.when(r["fact"].isin(*LOCATION), "location").otherwise(r["fact"]).alias("key"), used(r["fact"]).alias("used"), F.trim(F.substring_index(r["evidence"], ",", 1)).alias("id")))
+
+    def firsts(own: Column) -> Column:
+        keys = F.transform(own, lambda a: a["key"])
+        return F.filter(own, lambda a, i: F.array_position(keys, a["key"]) == i + 1)
+
+    def note(f: Column, found: Column, own: Column) -> Column:
+        unused = F.transform(F.filter(f, lambda a: ~a["used"]), lambda a: F.element_at(nouns, a["key"]))
+        shown = F.transform(F.filter(f, lambda a: a["used"]), lambda a: F.element_at(lines, a["key"]))
+        has = lambda fact: F.exists(found, lambda r: r["fact"] == fact)
+        said = F.concat(shown, F.when(has("google_services"), F.array(F.lit("Includes Google Play services."))).otherwise(F.array().cast(_NONE)))
+        missing = let(unused, lambda u: F.when(F.size(u) > 0, F.concat(_and(u), F.when(F.size(u) > 1, " have no shown use.").otherwise(" has no shown use."))))
+        warn = F.array_compact(
+            F.array(
+                _named(found, "tracking", "a tracker", "the tracker ", "the trackers "),
+                _named(found, "ads", "an ad library", "the ad library ", "the ad libraries "),
+                missing,
+            )
         )
-    )
-    rest = F.when(F.size(access) == 0, "It asks for no sensitive access.").when((F.size(said) == 0) & (F.size(warn) > 0), "It asks for no other sensitive access.")
-    all_ = F.array_compact(F.concat(said, F.array(rest, F.when(has("offline_capable"), "Data stays on the phone."))))
-    text = F.concat(F.when(F.size(warn) > 0, F.concat(F.array_join(warn, " "), F.lit("\n\n"))).otherwise(""), F.array_join(all_, " "))
-    reasons = F.transform(F.filter(access, lambda a: ~a["used"]), lambda a: F.struct(a["fact"].alias("fact"), F.when(a["id"] != "", F.concat(a["id"], F.lit(" has no shown use."))).otherwise("Has no shown use.").alias("reason")))
-    return F.struct(text.alias("security"), F.map_from_entries(reasons).alias("reasons"))
+
+        def whole(p: Column) -> Column:
+            rest = F.when(F.size(own) == 0, "It asks for no sensitive access.").when((F.size(p["said"]) == 0) & (F.size(p["warn"]) > 0), "It asks for no other sensitive access.")
+            all_ = F.array_compact(F.concat(p["said"], F.array(rest, F.when(has("offline_capable"), "Data stays on the phone."))))
+            return F.concat(F.when(F.size(p["warn"]) > 0, F.concat(F.array_join(p["warn"], " "), F.lit("\n\n"))).otherwise(""), F.array_join(all_, " "))
+
+        text = let(F.struct(said.alias("said"), warn.alias("warn")), whole)
+        reasons = F.transform(F.filter(own, lambda a: ~a["used"]), lambda a: F.struct(a["fact"].alias("fact"), F.when(a["id"] != "", F.concat(a["id"], F.lit(" has no shown use."))).otherwise("Has no shown use.").alias("reason")))
+        return F.struct(text.alias("security"), F.map_from_entries(reasons).alias("reasons"))
+
+    return let(F.struct(yes.alias("yes"), says.alias("says")), lambda known: let(access(known), lambda own: let(firsts(own), lambda f: note(f, known["yes"], own))))
 
 
 # -- the stored document ------------------------------------------------------
