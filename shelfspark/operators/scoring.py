@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions import about, markdown
 from shelfspark.functions.regex import re2_to_java
+from shelfspark.functions.text import let
 from shelfspark.operators import evals, listing, replies, scan
 
 # Patterns of what a note must not say (RE2), and things that may be called private.
@@ -143,8 +144,15 @@ def sheet_check(rows: Column, records: Column) -> Column:
     ``why`` is the first record's reason, else the missing facts. ``notes`` are
     (fact, note) of the records read up to there.
     """
-    want = _by_fact(rows)
-    read = F.transform(records, lambda r: F.struct(F.size(r).alias("n"), F.trim(F.coalesce(F.get(r, F.lit(0)), F.lit(""))).alias("fact"), F.lower(F.trim(F.coalesce(F.get(r, F.lit(1)), F.lit("")))).alias("value"), F.trim(F.coalesce(F.get(r, F.lit(2)), F.lit(""))).alias("note"), F.array_join(r, ",").alias("raw")))
+    whole = F.struct(_by_fact(rows).alias("want"), _records(records).alias("read"))
+    return let(whole, lambda p: _sheet(p["want"], p["read"]))
+
+
+def _records(records: Column) -> Column:
+    return F.transform(records, lambda r: F.struct(F.size(r).alias("n"), F.trim(F.coalesce(F.get(r, F.lit(0)), F.lit(""))).alias("fact"), F.lower(F.trim(F.coalesce(F.get(r, F.lit(1)), F.lit("")))).alias("value"), F.trim(F.coalesce(F.get(r, F.lit(2)), F.lit(""))).alias("note"), F.array_join(r, ",").alias("raw")))
+
+
+def _sheet(want: Column, read: Column) -> Column:
     names = F.transform(read, lambda r: r["fact"])
 
     def judge(r: Column, i: Column) -> Column:
@@ -158,11 +166,15 @@ def sheet_check(rows: Column, records: Column) -> Column:
         )
 
     judged = F.transform(read, judge)
-    bad = F.get(F.filter(F.transform(judged, lambda j, i: F.when(j.isNotNull(), F.struct(i.alias("i"), j["why"].alias("why"), j["more"].alias("more")))), lambda j: j.isNotNull()), F.lit(0))
-    upto = F.coalesce(bad["i"] + bad["more"], F.size(read))
-    notes = F.transform(F.slice(read, 1, upto), lambda r: F.struct(r["fact"].alias("fact"), r["note"].alias("note")))
-    missing = F.filter(F.transform(want, lambda w: w["fact"]), lambda f: ~F.array_contains(names, f))
-    return F.struct(F.coalesce(bad["why"], F.when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", ")))).alias("why"), notes.alias("notes"))
+    first = F.get(F.filter(F.transform(judged, lambda j, i: F.when(j.isNotNull(), F.struct(i.alias("i"), j["why"].alias("why"), j["more"].alias("more")))), lambda j: j.isNotNull()), F.lit(0))
+
+    def told(bad: Column) -> Column:
+        upto = F.coalesce(bad["i"] + bad["more"], F.size(read))
+        notes = F.transform(F.slice(read, 1, upto), lambda r: F.struct(r["fact"].alias("fact"), r["note"].alias("note")))
+        missing = F.filter(F.transform(want, lambda w: w["fact"]), lambda f: ~F.array_contains(names, f))
+        return F.struct(F.coalesce(bad["why"], F.when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", ")))).alias("why"), notes.alias("notes"))
+
+    return let(first, told)
 
 
 def _trim_dots(x: Column) -> Column:
@@ -185,7 +197,6 @@ def permission_note_fails(fact: Column, evidence: Column, note: Column) -> Colum
 
 def notes_fail(rows: Column, notes: Column, wanted: Column) -> Column:
     """Why fact notes don't fit: the first reason by sorted fact, then the first of ``wanted`` (fact, groups) by fact."""
-    facts = F.array_sort(_by_fact(rows))
     said = lambda fact: F.get(F.filter(notes, lambda n: n["fact"] == fact), F.lit(0))["note"]
 
     def judge(r: Column) -> Column:
@@ -204,7 +215,8 @@ def notes_fail(rows: Column, notes: Column, wanted: Column) -> Column:
         note = said(w["fact"])
         return F.when(note.isNull(), F.concat(w["fact"], F.lit(" has no row"))).otherwise(F.concat(w["fact"], F.lit(" note "), missing_groups(w["groups"], note)))
 
-    return F.coalesce(_first(F.transform(facts, judge)), _first(F.transform(F.array_sort(wanted), label)))
+    first = let(F.array_sort(_by_fact(rows)), lambda facts: _first(F.transform(facts, judge)))
+    return F.coalesce(first, _first(F.transform(F.array_sort(wanted), label)))
 
 
 def score_security(want: dict[str, Column], case: dict[str, Column], reply: dict[str, Column], records: Column, accepted: Column, error: Column) -> Column:
@@ -221,6 +233,7 @@ def score_security(want: dict[str, Column], case: dict[str, Column], reply: dict
     sheet = sheet_check(case["rows"], records)
     word = lambda p: replies.quote(replies.hit(text, p))
     opens = warned(text)
+    notes = let(sheet, lambda s: F.struct(s["why"].alias("rows"), notes_fail(case["rows"], s["notes"], want["notes"]).alias("notes")))
     checks = {
         "english": F.when(~F.coalesce(replies.english(text), F.lit(True)), "not English"),
         "hedge": word(HEDGE),
@@ -231,8 +244,8 @@ def score_security(want: dict[str, Column], case: dict[str, Column], reply: dict
         "warning": F.coalesce(warning_shape(text), F.when(want["warning"] & ~opens, "no warning, want one first").when(~want["warning"] & opens, "opens with a warning, want none")),
         "must": missing_groups(want["must"], text),
         "must_not": forbidden_phrases(want["must_not"], text),
-        "rows": sheet["why"],
-        "notes": notes_fail(case["rows"], sheet["notes"], want["notes"]),
+        "rows": notes["rows"],
+        "notes": notes["notes"],
     }
     checks = {k: F.when(text != "", c) for k, c in checks.items()}
     checks |= {
