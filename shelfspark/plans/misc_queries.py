@@ -42,11 +42,13 @@ def carried_flags(spark, sf_dir):
     return listing.carry_flags(now, old, e.filter(u % 3 == 0).select(u.alias("app_id")).distinct())
 
 
-@query("masked_means", "SELECT vec_id % 50 AS label, CAST(pos AS INTEGER) AS pos, round(avg(CAST(e AS DOUBLE)) FILTER (m), 4) AS mean FROM (SELECT vec_id, unnest(embedding) AS e, unnest(range(0, 64)) AS pos, (vec_id // 50) % 3 <> 0 AS m FROM embeddings) GROUP BY 1, 2")
+@query("masked_means", "WITH q AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(greatest(-127, least(127, round(CAST(x AS DOUBLE) / (0.3::DOUBLE / 127)))) AS INTEGER)) AS v FROM embeddings) SELECT vec_id % 50 AS label, CAST(pos AS INTEGER) AS pos, round(avg(CAST(e AS DOUBLE)) FILTER (m), 3) AS mean FROM (SELECT vec_id, unnest(v) AS e, unnest(range(0, 64)) AS pos, (vec_id // 50) % 3 <> 0 AS m FROM q) GROUP BY 1, 2")
 def masked_means(spark, sf_dir):
-    g = table(spark, sf_dir, "embeddings").groupBy((F.col("vec_id") % 50).alias("label")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("t"))
-    mean = vectors.masked_mean(F.transform("t", lambda t: t["embedding"]), F.transform("t", lambda t: F.when(F.floor(t["vec_id"] / 50) % 3 != 0, 1).otherwise(0)))
-    return g.select("label", F.posexplode(mean).alias("pos", "x")).select("label", "pos", F.round(F.col("x").cast("double"), 4).alias("mean"))
+    """Over byte vectors, whose sums are exact."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform(vectors.quantize(F.col("embedding")), lambda x: x.cast("float")).alias("v"))
+    g = v.groupBy((F.col("vec_id") % 50).alias("label")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "v"))).alias("t"))
+    mean = vectors.masked_mean(F.transform("t", lambda t: t["v"]), F.transform("t", lambda t: F.when(F.floor(t["vec_id"] / 50) % 3 != 0, 1).otherwise(0)))
+    return g.select("label", F.posexplode(mean).alias("pos", "x")).select("label", "pos", F.round(F.col("x").cast("double"), 3).alias("mean"))
 
 
 @query("tree_evictions", "WITH t AS (SELECT doc_id, source, n_chars, doc_id // 5 AS used, doc_id % 7 = 0 AS broken FROM documents) SELECT doc_id, CASE WHEN broken THEN used < 20 ELSE used < 4 OR sum(CASE WHEN broken THEN 0 ELSE n_chars END) OVER (PARTITION BY source ORDER BY used DESC, doc_id DESC ROWS UNBOUNDED PRECEDING) > 40000 END AS evicted FROM t")
