@@ -8,7 +8,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 MIX = rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size,
-    CAST(('0x' || substr(sha256('mix-1:' || doc_id), 1, 12)) AS BIGINT) / 281474976710656.0::DOUBLE AS draw FROM documents),
+    CAST(('0x' || substr(sha256('mix-1:' || doc_id), 1, 12)) AS BIGINT) AS draw FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
 t AS (SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS all_weight,
@@ -17,8 +17,13 @@ t AS (SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS all_we
 l AS (SELECT *, (1.5::DOUBLE * CAST(total AS DOUBLE) - 2 * CAST(size_before AS DOUBLE)) / CAST(all_weight - weight_before AS DOUBLE) AS level FROM t),
 f AS (SELECT *, (SELECT arg_min(level, source_size / weight::DOUBLE) FROM l WHERE level * weight < 2 * source_size) AS fill FROM l),
 g AS (SELECT source, source_size, coalesce(least(fill * weight, 2.0::DOUBLE * source_size), 2.0::DOUBLE * source_size) AS target FROM f),
-r AS (SELECT d.*, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST((floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM r"""
+q AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM g),
+n AS (SELECT *, floor(rate) AS whole, target - floor(rate) * source_size AS rest FROM q),
+h AS (SELECT source, draw, sum(size) AS w FROM d GROUP BY source, draw),
+c AS (SELECT *, sum(w) OVER (PARTITION BY source ORDER BY draw) AS upto FROM h),
+m AS (SELECT n.source, arg_min(CASE WHEN 2 * (rest - upto + w) >= w THEN draw + 1 ELSE draw END, draw) AS below FROM n JOIN c ON n.source IS NOT DISTINCT FROM c.source WHERE rest > 0 AND upto >= rest GROUP BY n.source),
+b AS (SELECT n.*, CASE WHEN rest <= 0 THEN 0 ELSE coalesce(below, 281474976710656) END AS below FROM n LEFT JOIN m ON n.source IS NOT DISTINCT FROM m.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST((whole + CASE WHEN draw < below THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source"""
 
 _BITS = " + ".join(f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(quality.RULES.values()))
 
