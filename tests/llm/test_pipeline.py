@@ -13,6 +13,22 @@ from .test_jaccard import shingles
 from .test_scans_and_laws import BENCH, WORD, brute_hits, brute_quality, fill, jump
 
 
+def rule_fails(text):
+    """Does any of the seven rules fail? By plain counts."""
+    words, chars, symbols, dup_lines, repeats = brute_quality(text)
+    lines = sum(1 for x in (text or "").split("\n") if WORD.search(x))
+    upper, lower = (sum(a <= c <= z for c in text or "") for a, z in ("AZ", "az"))
+    return words < 50 or 100 * repeats > 50 * words or 100 * symbols > 25 * words or 100 * dup_lines > 50 * lines or chars < 2 * words or chars > 20 * words or upper > lower
+
+
+def test_each_rule_rejects(spark, store):
+    good = " ".join(f"word{k}" for k in range(60))
+    texts = [good, good.upper(), "short", " ".join("abc def ghi".split() * 30), good.replace("w", "%"), "\n".join([good, "a b c d"] + ["x y"] * 200), " ".join("abcdefghij"[k % 10] for k in range(99)), " ".join("x" * 30 + str(k) for k in range(60)), None, ""]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+    assert kept == {k for k, t in enumerate(texts) if not rule_fails(t)} and 0 in kept and not kept & {1, 2, 6, 7, 8, 9}
+
+
 def corpus():
     rnd = random.Random(8)
     words = [f"word{k}" for k in range(400)]
@@ -48,7 +64,7 @@ def test_stages_take_effect(spark, store):
             assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
     before, after = at["quality rules"]
-    good = [r for r in before if (m := brute_quality(r[1])) and m[0] >= 50 and 100 * m[4] <= 50 * m[0] and 100 * m[2] <= 25 * m[0]]
+    good = [r for r in before if not rule_fails(r[1])]
     assert Counter(after) == Counter(good) and len(after) < len(before)
 
     before, after = at["n-gram Jaccard join"]
@@ -107,6 +123,11 @@ def test_edges_and_clashing_columns(spark, store, edge, empty):
 
 def test_run_matches_the_stages(spark, store):
     d = store(documents=spark.createDataFrame(corpus(), "doc_id long, text string, lang string, source string, n_chars long"), benchmark=spark.createDataFrame(BENCH, "item_id long, text string"))
+    kept = spark.read.parquet(f"{d}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, kept, d).write.parquet(f"{d}/{name.replace(' ', '_')}")
+        kept = spark.read.parquet(f"{d}/{name.replace(' ', '_')}")
     rows = corpus_pipeline.run(spark, d)
-    assert {"shard", "slot", "text"} <= set(rows.columns) and rows.count() > 0
+    assert rows.columns == kept.columns
+    assert Counter(map(tuple, rows.collect())) == Counter(map(tuple, kept.collect())) and rows.count() > 0
     assert quality.DEFAULT_POLICY in quality.POLICIES
