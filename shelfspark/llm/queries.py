@@ -1,12 +1,12 @@
-"""The contract queries of the ten operators and their SQL twins."""
+"""The contract queries of the operators and their SQL twins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, jaccard, licenses, mixing, oracles, quality, secrets, sharding, suffixes, toxicity, warc
-from shelfspark.plans.lineage import scratch_path
+from shelfspark.llm import centroids, chat, decontaminate, divergence, jaccard, licenses, mixing, oracles, quality, secrets, sharding, suffixes, toxicity, warc
+from shelfspark.plans.lineage import cut, scratch_path
 from shelfspark.registry import Query, table
 
 SHARDS = 8
@@ -70,6 +70,26 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved_records(spark, path)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+#: A conversation of contract: both turns say what looks like marks of templates.
+MARKED = r"\### Assistant: </turn> ok"
+
+
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    more = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], "conv_id long, turn long, role string, text string")
+    written = cut(chat.format_windows(given.unionByName(more)), "chat-windows")
+    return chat.conversation_digests(written).withColumnRenamed("conv", "conv_id")
+
+
+def op13_delta_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, found = centroids.delta_lloyd(table(spark, sf_dir, "embeddings"))
+    return centroids.cluster_facts(assigned, found).select(F.col("key").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each rule of the default policy rejects, alone and beside the others."""
     return quality.ablation(quality.ledger(table(spark, sf_dir, "documents"))).drop("masks_seen")
@@ -86,6 +106,9 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_winnowing": op9_winnowing,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_chat_windows": op12_chat_windows,
+    "op13_delta_lloyd": op13_delta_lloyd,
     "rule_ablation": rule_ablation,
 }
 
@@ -96,5 +119,8 @@ ORACLES: dict[str, str] = {
     "op8_jaccard_join": oracles.JACCARD,
     "op9_winnowing": oracles.WINNOW,
     "op10_warc_revisits": oracles.WARC,
+    "op11_source_divergence": oracles.DIVERGENCE,
+    "op12_chat_windows": oracles.chat(),
+    "op13_delta_lloyd": oracles.lloyd(),
     "rule_ablation": oracles.ABLATION,
 }

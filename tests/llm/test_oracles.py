@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages"):
+    for t in ("documents", "benchmark", "labels", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
     cursor = con.execute(queries.ORACLES[name])
     names = [c[0] for c in cursor.description]
