@@ -128,18 +128,6 @@ def brace_depth(lines: DataFrame, keys: list[str]) -> DataFrame:
     return lines.withColumn("depth", F.sum(opens).over(Window.partitionBy(*keys).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def function_bounds(lines: DataFrame, keys: list[str], header: str = r"\b(fun|function|def|func|void|public|private|protected|static)\b[^;]*\(") -> DataFrame:
-    """(keys, begin, stop, text): from a function's head line to the line where its braces close; headers without braces are left out."""
-    deep = brace_depth(lines, keys).withColumn("before", F.col("depth") - (F.length(F.regexp_replace("text", r"[^{]", "")) - F.length(F.regexp_replace("text", r"[^}]", ""))))
-    heads = deep.filter(F.col("text").rlike(header) & F.col("text").contains("{")).select(*keys, F.col("line").alias("begin"), F.col("before").alias("level"), "text")
-    closes = deep.filter(F.contains(F.col("text"), F.lit("}"))).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("line").alias("close"), "depth")
-    on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"__{k}"))
-    met = heads.join(closes, on & (F.col("close") >= F.col("begin")) & (F.col("depth") <= F.col("level")))
-    return met.groupBy(*keys, "begin", "level", "text").agg(F.min("close").alias("stop")).select(*keys, "begin", "stop", "text")
-
-
 def token_in(text: Column, token: Column) -> Column:
     """Does a version or word stand in the text with no letter, digit or dot beside it that would make it another one?"""
     return F.regexp_like(text, F.concat(F.lit(r"(?<![0-9A-Za-z_])(?<![0-9]\.)\Q"), token, F.lit(r"\E(?![0-9A-Za-z_])(?!\.[0-9])")))

@@ -147,10 +147,3 @@ def test_outbound_lines(spark):
     files = spark.createDataFrame([("t", "a/Main.kt", body), ("t", "a/test/T.kt", body), ("t", "b.kt", "nothing")], "tree_id string, path string, body string")
     got = [(r.path, r.line, r.text) for r in quotes.outbound_lines(files).orderBy("line").collect()]
     assert got == [("a/Main.kt", 2, "fun send() {"), ("a/Main.kt", 3, 'client.post("https://a.io")')]
-
-
-def test_one_caller(spark):
-    functions = spark.createDataFrame([("t", "a.kt", "upload", 1, 3), ("t", "b.kt", "other", 1, 9), ("t", "a.kt", "send", 5, 6)], "tree_id string, path string, name string, begin int, stop int")
-    lines = spark.createDataFrame([("t", "a.kt", 1, "fun upload() {"), ("t", "b.kt", 4, "x.upload(1)"), ("t", "b.kt", 7, "upload(2)"), ("t", "b.kt", 8, "send(3)")], "tree_id string, path string, line int, text string")
-    assert [tuple(r) for r in quotes.one_caller(functions, lines).collect()] == [("t", "a.kt", 1, "b.kt", 4)]
-    assert quotes.calls_name(F.lit("x"), F.lit("y")) is not None
