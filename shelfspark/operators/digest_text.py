@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from shelfspark.functions import markdown
 from shelfspark.operators import digest, quotes, sinks, source_code
+from shelfspark.plans.lineage import cut
 
 # Endings of code files.
 CODE_ENDINGS = ("kt", "java", "dart", "aidl", "go", "rs", "swift", "c", "cc", "cpp", "h", "hpp", "js", "jsx", "ts", "tsx", "py", "rb", "scala")
@@ -251,7 +252,7 @@ def write_digests(files: DataFrame, asked: DataFrame | None = None, projects: Da
     small = files.filter(F.octet_length("body") <= digest.MAX_FILE_BYTES).select(tree, "path", "body")
     read = small.filter(~quotes.test_path(F.col("path")) & (F.lower(F.substring_index("path", "/", -1)) != "androidmanifest.xml"))
     code = read.filter(code_file(F.col("path")))
-    parsed = source_code.parsed(code, tree)
+    parsed = cut(source_code.parsed(code, tree), "code")  # files are read by the scanner once
     sections = _head_sections(files, small, projects, with_manifest, tree)
     sections.append(_outbound_section(sinks.outbound(code, parsed, tree), tree))
     if asked is not None:

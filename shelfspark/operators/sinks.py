@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.operators import quotes, source_code
+from shelfspark.plans.lineage import cut
 
 #: Lines before and after a send outside of all functions, and around a call of a sending function.
 LOOSE_FRAME, CALLER_FRAME = (quotes.OUTBOUND_BEFORE, 8), (2, 2)
@@ -83,7 +84,7 @@ def sink_groups(files: DataFrame, code: DataFrame, tree: str = "tree_id") -> Dat
     call in one caller. The score is that of ``quotes.group_score`` with hosts
     of the own file, 3 more if the function reads the device or a line names it.
     """
-    calls = flagged_calls(code, tree)
+    calls = cut(flagged_calls(code, tree), "flagged-calls")
     functions = flagged_functions(calls, tree).filter("sends")
     own = frame(functions).select(tree, "path", "fn", F.col("path").alias("file"), F.lit(0).alias("part"), "a", "b")
     linked = callers(functions, calls, code, tree).select(tree, "path", "fn", F.col("caller_path").alias("file"), F.lit(1).alias("part"), (F.col("caller_line") - 1 - CALLER_FRAME[0]).alias("a"), (F.col("caller_line") - 1 + CALLER_FRAME[1]).alias("b"))
