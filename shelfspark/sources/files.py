@@ -1,9 +1,8 @@
-"""File sources: trees, JSON lines, CSV in strings, SQLite tables, refs, APK containers."""
+"""File sources: trees, JSON lines, CSV in strings, refs, APK containers."""
 
 from __future__ import annotations
 
 import io
-import sqlite3
 import struct
 import zipfile
 from collections.abc import Iterator
@@ -11,8 +10,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
 
 
 def tree_files(spark: SparkSession, root: str, most_bytes: int = 256 * 1024) -> DataFrame:
@@ -47,41 +44,6 @@ def git_refs(df: DataFrame, key: str, raw: str) -> DataFrame:
     return refs.groupBy(key, "ref").agg(F.max_by("sha", "peeled").alias("sha"))
 
 
-class _SqliteReader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict):
-        self.schema, self.options, self.filters = schema, options, []
-
-    def partitions(self) -> list[InputPartition]:
-        n = int(self.options.get("numPartitions", "4"))
-        with sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True) as db:
-            most = db.execute(f'SELECT max(rowid) FROM "{self.options["table"]}"').fetchone()[0] or 0
-        step = most // n + 1
-        return [InputPartition((k * step, (k + 1) * step)) for k in range(n)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        lo, hi = partition.value
-        names = ", ".join(f'"{f.name}"' for f in self.schema.fields)
-        with sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True) as db:
-            yield from db.execute(f'SELECT {names} FROM "{self.options["table"]}" WHERE rowid > ? AND rowid <= ?', (lo, hi))
-
-
-class SqliteSource(DataSource):
-    """``spark.read.format("sqlite")``: options path, table, numPartitions; read-only, by ranges of rowid. The file must be on a path all executors see."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "sqlite"
-
-    def schema(self) -> str:
-        with sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True) as db:
-            columns = db.execute(f'PRAGMA table_info("{self.options["table"]}")').fetchall()
-        kinds = {"INTEGER": "bigint", "REAL": "double", "BLOB": "binary"}
-        return ", ".join(f"`{c[1]}` {kinds.get(c[2].upper(), 'string')}" for c in columns)
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _SqliteReader(schema, self.options)
-
-
 def _uleb(data: bytes, at: int) -> tuple[int, int]:
     value = shift = 0
     while True:

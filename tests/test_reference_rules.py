@@ -12,7 +12,7 @@ from shelfspark.functions import about, markdown, tokens, urls, vectors
 from shelfspark.functions import text as tx
 from shelfspark.functions.regex import quote, re2_to_java
 from shelfspark.operators import digest, evals, facts, ordered, tables
-from shelfspark.sources import files
+from shelfspark.sources import files, sqlite
 
 
 def one(spark, value, kind="string"):
@@ -114,7 +114,7 @@ def test_sources(spark, tmp_path):
     with sqlite3.connect(db) as con:
         con.execute("CREATE TABLE app (id TEXT, n INTEGER, b BLOB)")
         con.executemany("INSERT INTO app VALUES (?, ?, ?)", [(f"a{k}", k, b"x") for k in range(10)])
-    spark.dataSource.register(files.SqliteSource)
+    sqlite.register(spark)
     got = spark.read.format("sqlite").option("path", str(db)).option("table", "app").load()
     assert dict(got.dtypes) == {"id": "string", "n": "bigint", "b": "binary"} and sorted(r.n for r in got.collect()) == list(range(10))
     refs = one(spark, "aaa refs/tags/v1.2.3\nccc refs/tags/v1.2.3^{}\nbbb refs/heads/main\n")
