@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions import vectors
 from shelfspark.operators import facts, joins, ordered, tables
+from shelfspark.operators.keyed_table import KeyedTable
+from shelfspark.plans.lineage import scratch_path
 from shelfspark.registry import query, table
 
 _FACTS = """r AS (SELECT user_id, event_type AS fact, CASE WHEN value >= 50 THEN 'yes' ELSE 'no' END AS value, event_id AS pos, CASE WHEN event_id % 3 = 0 THEN 'because ' || event_id ELSE '' END AS reason, 'e' || (event_id % 7) || ', e' || (event_id % 5) AS evidence FROM events),
@@ -63,11 +65,40 @@ def cache_prune(spark, sf_dir):
     return c.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).join(kept, "kind", "left").select("kind", F.coalesce("kept", F.lit(0)).alias("kept"), (F.col("n") - F.coalesce("kept", F.lit(0))).alias("dropped"))
 
 
-@query("upsert_merge", "WITH u AS (SELECT c_custkey + 10 AS k, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'seg' || (c_custkey % 5) END AS s, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal + 1 END AS b FROM customer WHERE c_custkey % 2 = 0) SELECT coalesce(c_custkey, k) AS c_custkey, CASE WHEN coalesce(s, '') <> '' THEN s ELSE c_mktsegment END AS c_mktsegment, coalesce(b, c_acctbal) AS c_acctbal FROM customer FULL JOIN u ON c_custkey = k")
+_UPSERT = "WITH u AS (SELECT c_custkey + 10 AS k, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'seg' || (c_custkey % 5) END AS s, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal + 1 END AS b FROM customer WHERE c_custkey % 2 = 0) SELECT coalesce(c_custkey, k) AS c_custkey, CASE WHEN coalesce(s, '') <> '' THEN s ELSE c_mktsegment END AS c_mktsegment, coalesce(b, c_acctbal) AS c_acctbal FROM customer FULL JOIN u ON c_custkey = k"
+
+
+@query("upsert_merge", _UPSERT)
 def upsert_merge(spark, sf_dir):
+    return tables.merge(*_customers(spark, sf_dir), "c_custkey")
+
+
+def _customers(spark, sf_dir):
+    """Customers, and updates of half of them and some that aren't there."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     u = c.filter("c_custkey % 2 = 0").select((F.col("c_custkey") + 10).alias("c_custkey"), F.when(F.col("c_custkey") % 4 == 0, "").otherwise(F.concat(F.lit("seg"), (F.col("c_custkey") % 5).cast("string"))).alias("c_mktsegment"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal") + 1).alias("c_acctbal"))
-    return tables.merge(c, u, "c_custkey")
+    return c, u
+
+
+@query("bucketed_upsert", f"SELECT * FROM ({_UPSERT}) WHERE c_custkey % 7 <> 0 AND coalesce(c_acctbal, 0) >= 0")
+def bucketed_upsert(spark, sf_dir):
+    """The same upsert in a table of buckets, then a delete and a prune, each a generation of its own."""
+    customers, updates = _customers(spark, sf_dir)
+    stored = KeyedTable(spark, scratch_path(spark, "keyed"))
+    stored.create(customers, "c_custkey", 32)
+    stored.upsert(updates)
+    stored.delete(stored.read().filter("c_custkey % 7 = 0"))
+    stored.prune(F.col("c_acctbal") < 0)
+    return stored.read()
+
+
+@query("bucketed_lookup", f"SELECT * FROM ({_UPSERT}) WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+def bucketed_lookup(spark, sf_dir):
+    customers, updates = _customers(spark, sf_dir)
+    stored = KeyedTable(spark, scratch_path(spark, "keyed"))
+    stored.create(customers, "c_custkey", 32)
+    stored.upsert(updates)
+    return stored.lookup(table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")))
 
 
 @query("delete_then_anti", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")

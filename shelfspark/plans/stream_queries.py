@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfspark.plans.lineage import scratch_path
 from shelfspark.plans.state_queries import BACKOFF_SQL
 from shelfspark.registry import query, table
-from shelfspark.streaming import stateful
+from shelfspark.streaming import stateful, timed
 
 
 def _stream(spark, sf_dir):
@@ -58,3 +58,26 @@ def changed_rows(spark, sf_dir):
     now = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("h"))
     stored = now.filter("user_id % 3 <> 0").select("user_id", F.when(F.col("h") % 2 == 1, F.col("h") + 1).otherwise(F.col("h")).alias("h"))
     return stateful.changed(now, stored, "user_id", "h").select("user_id")
+
+
+_SECONDS = "CAST(floor(epoch(ts)) AS BIGINT)"
+
+
+@query("stream_sessions", f"""WITH e AS (SELECT user_id, {_SECONDS} AS s FROM events), g AS (SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY user_id ORDER BY s) < 86400 THEN 0 ELSE 1 END AS first FROM e),
+n AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, min(s) AS start, max(s) + 86400 AS stop, CAST(count(*) AS BIGINT) AS n FROM n GROUP BY user_id, k HAVING max(s) + 86400 <= (SELECT max(s) - 7200 FROM e)""")
+def stream_sessions(spark, sf_dir):
+    """Sessions of a day's gap that the watermark has passed; those still open at the end of the stream don't come."""
+    e = _stream(spark, sf_dir).select("user_id", F.date_trunc("second", F.col("ts").cast("timestamp")).alias("ts"))
+    rows = stateful.run_to_end(timed.sessions(e, "user_id", "ts", "1 day", "2 hours"), "append", "sessions")
+    return rows.select("user_id", F.unix_timestamp("start").alias("start"), F.unix_timestamp("stop").alias("stop"), "n")
+
+
+@query("stream_answered", f"""WITH e AS (SELECT event_id, user_id, event_type, {_SECONDS} AS s FROM events)
+SELECT q.event_id AS question, a.event_id AS answer FROM e q JOIN e a ON q.user_id = a.user_id AND a.s BETWEEN q.s AND q.s + 21600 WHERE q.event_type = 'error' AND a.event_type = 'purchase'""")
+def stream_answered(spark, sf_dir):
+    """Errors of a user and the purchases within six hours after each, two streams with watermarks."""
+    second = F.date_trunc("second", F.col("ts").cast("timestamp"))
+    q = _stream(spark, sf_dir).filter("event_type = 'error'").select(F.col("user_id").alias("id"), second.alias("asked"), F.col("event_id").alias("question"))
+    a = _stream(spark, sf_dir).filter("event_type = 'purchase'").select(F.col("user_id").alias("id"), second.alias("said"), F.col("event_id").alias("answer"))
+    return stateful.run_to_end(timed.answered(q, a, "6 hours", "400 days"), "append", "answered").select("question", "answer")
