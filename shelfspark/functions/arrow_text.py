@@ -5,7 +5,10 @@ For long texts; short ones in expressions use the Column rules of ``text``.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
+from re import _constants as sre
+from re import _parser as sre_parse
 
 import numpy as np
 import pyarrow as pa
@@ -106,18 +109,86 @@ def matches(x: Column, pattern: str) -> Column:
     return run(x)
 
 
+#: So few patterns are each run over all texts, which costs less than looking for their literals.
+FEW_RULES = 12
+#: Shorter literals rule out too little to be looked for.
+LEAST_FACTOR = 3
+
+
+def _factors(parts) -> list[set[str]]:
+    """Sets of small-letter literals of which a match of the parsed pattern holds one each; none where it may hold anything."""
+    out: list[set[str]] = []
+    run = ""
+    for op, value in [*parts, (None, None)]:
+        if op is sre.LITERAL:
+            run += chr(value).casefold()
+            continue
+        if len(run) >= LEAST_FACTOR:
+            out.append({run})
+        run = ""
+        if op is sre.SUBPATTERN:
+            out += _factors(value[3])
+        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT, sre.POSSESSIVE_REPEAT) and value[0] > 0:
+            out += _factors(value[2])
+        elif op is sre.BRANCH:
+            each = [max(_factors(b), key=lambda s: min(map(len, s)), default=None) for b in value[1]]
+            if all(each):
+                out.append(set().union(*each))
+    return out
+
+
+def required(pattern: str) -> set[str] | None:
+    """Small-letter literals of which every text that the RE2 pattern finds something in holds one; None if that can't be told.
+
+    Of the sets a match must meet, the one whose shortest literal is longest. A
+    pattern that Python reads in another way than RE2 (or not at all) gives None.
+    """
+    if re.search(r"\\[^dDsSwWbB.\\/()\[\]{}*+?|^$-]|\[:|\(\?[^:i)]", pattern):
+        return None
+    try:
+        parts = sre_parse.parse(pattern)
+    except (re.error, OverflowError):
+        return None
+    return max(_factors(parts), key=lambda s: min(map(len, s)), default=None)
+
+
 def first_match(x: Column, rules: list[tuple[str, str]]) -> Column:
-    """The first by name of the rules (name, RE2 pattern) that find something, or null; texts that have theirs are not searched again."""
+    """The first by name of the rules (name, RE2 pattern) that find something, or null.
+
+    Literals that a match must hold are taken from the patterns and looked for
+    in all texts at once by one automaton; a pattern is run over the texts that
+    hold one of its literals, and only patterns without any over all of them.
+    Texts that have their rule are not searched again.
+    """
     ordered = sorted(rules)
+    needed = [required(p) if len(ordered) > FEW_RULES else None for _, p in ordered]
 
     @F.arrow_udf(T.StringType())
     def run(texts: pa.Array) -> pa.Array:
+        import ahocorasick
+
+        machine, by_literal = ahocorasick.Automaton(), {}
+        for k, literals in enumerate(needed):
+            for literal in literals or ():
+                by_literal.setdefault(literal, []).append(k)
+        for literal, ks in by_literal.items():
+            machine.add_word(literal, ks)
+        candidates: dict[int, list[int]] = {}
+        if by_literal:
+            machine.make_automaton()
+            for row, text in enumerate(texts.to_pylist()):
+                if text:
+                    met = {id(ks): ks for _, ks in machine.iter(text.casefold())}
+                    for k in set().union(*met.values()) if met else ():
+                        candidates.setdefault(k, []).append(row)
         found = np.full(len(texts), None, object)
-        left = np.arange(len(texts))
-        for name, pattern in ordered:
-            hit = pc.fill_null(pc.match_substring_regex(texts.take(pa.array(left)), pattern), False).to_numpy(zero_copy_only=False)
-            found[left[hit]] = name
-            left = left[~hit]
+        open_ = np.ones(len(texts), bool)
+        for k, (name, pattern) in enumerate(ordered):
+            rows = np.flatnonzero(open_) if needed[k] is None else np.array([r for r in candidates.get(k, ()) if open_[r]], np.int64)
+            if len(rows):
+                hit = pc.fill_null(pc.match_substring_regex(texts.take(pa.array(rows)), pattern), False).to_numpy(zero_copy_only=False)
+                found[rows[hit]] = name
+                open_[rows[hit]] = False
         return pa.array(found, pa.string())
 
     return run(x)

@@ -254,3 +254,10 @@ _Q = "SELECT vec_id, list_transform(embedding, lambda x: CAST(greatest(-127, lea
 def topk_int8_dot(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings").select("vec_id", vectors.quantize(F.col("embedding")).alias("v"))
     return vectors.top_k(v.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("v").alias("q")), v, 10)
+
+
+@query("topk_inverted_lists")
+def topk_inverted_lists(spark, sf_dir):
+    """The same search in inverted lists: nearly all of the neighbours that ``topk_int8_dot`` finds, from some of the lists."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", vectors.quantize(F.col("embedding")).alias("v"))
+    return vectors.inverted_lists(v.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("v").alias("q")), v, 10)
