@@ -26,11 +26,14 @@ def ancestors(path: Column, sep: str = "/") -> Column:
 
 
 def longest_prefix(df: DataFrame, rules: DataFrame, path: str, prefix: str, keys: list[str]) -> DataFrame:
-    """``df``'s keys with the rule of the longest prefix of ``path``: ancestors meet prefixes by equality, no LIKE."""
+    """``df``'s keys with the rule of the longest prefix of ``path``: ancestors meet prefixes by equality, no LIKE.
+
+    Of rules with one prefix the largest by its other columns is taken.
+    """
     each = df.select(*keys, F.explode(ancestors(F.col(path))).alias("__prefix"))
     met = each.join(small(rules), F.col("__prefix") == F.col(prefix))
     extra = [c for c in rules.columns]
-    best = met.groupBy(*keys).agg(F.max_by(F.struct(*extra), F.struct(F.length("__prefix"), F.col(prefix))).alias("__best"))
+    best = met.groupBy(*keys).agg(F.max(F.struct(F.length("__prefix").alias("__n"), *extra)).alias("__best"))
     return best.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in extra])
 
 

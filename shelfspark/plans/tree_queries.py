@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions import markdown, tokens
 from shelfspark.operators import digest, facts, joins
+from shelfspark.plans.lineage import scratch_path
 from shelfspark.registry import query, table
+from shelfspark.sources import corpora
 
 
 @query("markdown_paragraphs")
@@ -45,13 +47,41 @@ def needle_hits(spark, sf_dir):
     return digest.needle_hits(digest.tree_lines(d), NEEDLES).select("tree_id", "path", F.col("line").cast("long").alias("line"), "fact")
 
 
-@query("library_detection", "SELECT * FROM (VALUES ('a1', '/com/acme/ads', 'Acme Ads', 5, 'Ads'), ('a2', '/com/google/android/gms', 'Play Services', 0, '')) t(app_id, id, name, emphasize, anti_features)")
+_CORPUS_SQL = """p AS (SELECT p_partkey, '/lib/' || p_brand AS id, p_name AS name, p_type AS type, '/' || lower(p_type) || '/' || split_part(p_name, ' ', 1) || CASE WHEN p_size > 25 THEN '/' || split_part(p_name, ' ', 2) ELSE '' END AS path FROM part),
+bad AS (SELECT p_partkey, CASE WHEN p_partkey % 37 = 0 THEN 'no object' WHEN p_partkey % 41 = 0 THEN 'other kind of value' END AS reason FROM part),
+corpus AS (SELECT path, arg_max(id, p_partkey) AS id, arg_max(name, p_partkey) AS name, arg_max(type, p_partkey) AS type FROM p JOIN bad USING (p_partkey) WHERE reason IS NULL GROUP BY path)"""
+
+
+def _corpus(spark, sf_dir):
+    """A corpus of libraries as JSON lines, a part each: some are cut off, some have a number for a name, some spell fields in capitals."""
+    p = table(spark, sf_dir, "part")
+    word = lambda k: F.get(F.split("p_name", " "), F.lit(k))
+    path = F.concat(F.lit("/"), F.lower("p_type"), F.lit("/"), word(0), F.when(F.col("p_size") > 25, F.concat(F.lit("/"), word(1))).otherwise(""))
+    key, id_ = F.col("p_partkey"), F.concat(F.lit("/lib/"), "p_brand")
+    good = F.when(key % 2 == 0, F.to_json(F.struct(id_.alias("id"), path.alias("path"), F.col("p_name").alias("name"), F.col("p_type").alias("type")))).otherwise(F.to_json(F.struct(id_.alias("ID"), path.alias("Path"), F.col("p_name").alias("Name"), F.col("p_type").alias("Type"))))
+    odd = F.to_json(F.struct(id_.alias("id"), path.alias("path"), key.alias("name")))
+    line = F.when(key % 37 == 0, F.substring(good, F.lit(1), F.length(good) - 5)).when(key % 41 == 0, odd).otherwise(good)
+    folder = scratch_path(spark, "corpus")
+    p.select(key.alias("k"), line.alias("value")).repartition(1).sortWithinPartitions("k").select("value").write.text(folder)
+    return corpora.library_corpus(spark, folder)
+
+
+@query("corpus_rejected", f"WITH {_CORPUS_SQL} SELECT reason, CAST(count(*) AS BIGINT) AS n FROM bad WHERE reason IS NOT NULL GROUP BY reason")
+def corpus_rejected(spark, sf_dir):
+    return _corpus(spark, sf_dir)[1]
+
+
+# Apps are orders; their classes lie in folders of the part's type and words.
+@query("library_detection", f"""WITH {_CORPUS_SQL}, c AS (SELECT DISTINCT l_orderkey AS app_id, '/' || lower(p_type) || '/' || split_part(p_name, ' ', 1) AS p1, '/' || lower(p_type) || '/' || replace(p_name, ' ', '/') AS p2 FROM lineitem JOIN part ON l_partkey = p_partkey),
+m AS (SELECT app_id, coalesce(b.path, a.path) AS path, CASE WHEN b.path IS NOT NULL THEN b.id ELSE a.id END AS id, CASE WHEN b.path IS NOT NULL THEN b.name ELSE a.name END AS name, CASE WHEN b.path IS NOT NULL THEN b.type ELSE a.type END AS type FROM c LEFT JOIN corpus a ON a.path = p1 LEFT JOIN corpus b ON b.path = p2)
+SELECT app_id, id, min((path, name, type))[1] AS path, min((path, name, type))[2] AS name, min((path, name, type))[3] AS type FROM m WHERE path IS NOT NULL GROUP BY app_id, id""")
 def library_detection(spark, sf_dir):
-    corpus = spark.createDataFrame([("/com/acme", "/com/acme", "Acme Core", "Utility"), ("/com/acme/ads", "/com/acme/ads", "Acme Ads", "Advertisement"), ("/com/google/android/gms", "/com/google/android/gms", "Play Services", "Development Framework"), ("", "/x", "No Id", "U"), ("/t", "/PathToLookFor", "Template", "U")], "id string, path string, name string, type string")
-    info = spark.createDataFrame([("/com/acme/ads", 5, ["Ads"])], "id string, emphasize int, anti array<string>")
-    classes = spark.createDataFrame([("a1", "/com/acme/ads/Banner"), ("a1", "/com/acme/adsother/X"), ("a1", "/com/acme/Core"), ("a2", "/com/google/android/gms/common/A"), ("a2", "/org/none/B")], "app_id string, path string")
-    found = digest.notable(digest.detect_libraries(classes, corpus, info))
-    return found.select("app_id", "id", "name", "emphasize", F.array_join("anti", ",").alias("anti_features"))
+    corpus, _ = _corpus(spark, sf_dir)
+    part = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("/"), F.lower("p_type"), F.lit("/"), F.replace("p_name", F.lit(" "), F.lit("/"))).alias("folder"))
+    item = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("app_id"), "l_partkey", "l_linenumber")
+    classes = item.join(part, F.col("l_partkey") == F.col("p_partkey")).select("app_id", F.concat("folder", F.lit("/C"), F.col("l_linenumber").cast("string")).alias("path"))
+    info = spark.createDataFrame([], "id string, emphasize int, anti array<string>")
+    return digest.detect_libraries(classes, corpus, info).select("app_id", "id", "path", "name", "type")
 
 
 @query("permission_facts", "SELECT * FROM (VALUES ('a', 'read_sms', 'READ_SMS'), ('a', 'query_all_packages', 'QUERY_ALL_PACKAGES'), ('a', 'offline_capable', 'No INTERNET'), ('b', 'fine_location', 'ACCESS_BACKGROUND_LOCATION, ACCESS_FINE_LOCATION'), ('b', 'coarse_location', 'ACCESS_BACKGROUND_LOCATION, ACCESS_COARSE_LOCATION')) t(app_id, fact, evidence)")
