@@ -137,29 +137,65 @@ def semver(x: Column) -> Column:
     return F.when(whole.rlike(SEMVER) & whole.rlike(r"^[vV]?\d+\."), F.struct(part(1).alias("major"), part(2).alias("minor"), part(3).alias("patch"), F.regexp_extract(whole, SEMVER, 4).alias("pre")))
 
 
-def version_distance(a: Column, b: Column) -> Column:
-    return F.abs(a["major"] - b["major"]) * 1_000_000 + F.abs(a["minor"] - b["minor"]) * 1_000 + F.abs(a["patch"] - b["patch"]) + F.when(a["pre"] != b["pre"], 1).otherwise(0)
-
-
-def _rank(v: Column) -> Column:
-    """Orders versions: a release is newer than its pre-releases."""
-    return F.struct(v["major"], v["minor"], v["patch"], (v["pre"] == "").alias("final"), v["pre"])
-
-
 def closest_version(wanted: DataFrame, tags: DataFrame, key: str) -> DataFrame:
     """(key, version, tag) of the tag nearest to the version: the very name, else the same but for a v, else the
     least distance within the major version; a tie goes to a tag that isn't newer, then to the one nearer in order.
 
     ``wanted`` has (key, version), ``tags`` (key, pos, tag); no tag is null.
+    Names meet by equality. The rest is read from tags in order: of a minor
+    version only the next patch below and the next above can be nearest, as the
+    distance in patches adds to that in minors; of the same patch only the next
+    in order and the one of equal pre-release. So a version meets two tags of
+    each minor version, however many tags there are, and each is found by one
+    sort of tags and versions together.
     """
-    met = wanted.join(tags, key).filter(F.trim("tag").rlike(r"^[0-9A-Za-z][0-9A-Za-z._/+-]*\z"))
-    v, t = semver(F.col("version")), F.coalesce(semver(F.col("tag")), semver(without_word_prefix(F.trim("tag"))))
-    met = met.withColumn("v", v).withColumn("t", t)
-    exact = F.trim("tag") == F.trim("version")
-    same = without_v(F.col("tag")) == without_v(F.col("version"))
-    near = F.col("v").isNotNull() & F.col("t").isNotNull() & (F.col("v.major") == F.col("t.major"))
-    met = met.withColumn("kind", F.when(exact, 0).when(same, 1).when(near, 2)).filter("kind IS NOT NULL")
-    older = _rank(F.col("t")) <= _rank(F.col("v"))
-    w = Window.partitionBy(key, "version").orderBy("kind", F.when(F.col("kind") == 2, version_distance(F.col("v"), F.col("t"))).otherwise(0), F.when(F.col("kind") == 2, older).otherwise(True).desc(), F.when((F.col("kind") == 2) & older, _rank(F.col("t"))).desc_nulls_last(), F.when((F.col("kind") == 2) & ~older, _rank(F.col("t"))).asc_nulls_last(), "pos")
-    best = met.withColumn("n", F.row_number().over(w)).filter("n = 1").select(F.col(key).alias("__k"), F.col("version").alias("__v"), F.trim("tag").alias("tag"))
-    return wanted.join(best, (F.col(key) == F.col("__k")) & (F.col("version") == F.col("__v")), "left").select(key, "version", "tag")
+    asked = wanted.select(F.col(key).alias("k"), F.col("version").alias("want"), F.trim("version").alias("name")).filter("name <> ''").distinct()
+    refs = tags.select(F.col(key).alias("k"), "pos", F.trim("tag").alias("tag")).filter(F.col("tag").rlike(r"^[0-9A-Za-z][0-9A-Za-z._/+-]*\z"))
+    bare = refs.withColumn("bare", F.regexp_replace("tag", "^[vV]", ""))
+    named = asked.withColumn("bare", F.regexp_replace("name", "^[vV]", "")).join(bare, ["k", "bare"])
+    exact = named.groupBy("k", "want").agg(F.min(F.struct((F.col("tag") != F.col("name")).alias("other"), "pos", "tag")).alias("t")).select("k", "want", F.col("t.tag").alias("tag"))
+
+    read = refs.withColumn("t", F.coalesce(semver(F.col("tag")), semver(without_word_prefix(F.col("tag"))))).filter("t IS NOT NULL")
+    read = read.select("k", "pos", "tag", "t.*").withColumn("final", F.col("pre") == "")
+    probes = asked.join(exact.select("k", "want"), ["k", "want"], "left_anti").withColumn("v", semver(F.col("name"))).filter("v IS NOT NULL").select("k", "want", "v.*")
+    probes = probes.withColumn("final", F.col("pre") == "")
+
+    # Of a patch the newest tag counts in minors that are older than the version's, the oldest in newer ones; of equal tags the first.
+    first_of = read.groupBy("k", "major", "minor", "patch", "final", "pre").agg(F.min(F.struct("pos", "tag")).alias("f"))
+    ends = first_of.groupBy("k", "major", "minor", "patch").agg(F.max(F.struct("final", "pre", "f")).alias("newest"), F.min(F.struct("final", "pre", "f")).alias("oldest"))
+    of = lambda end: F.struct("minor", "patch", F.col(f"{end}.final").alias("final"), F.col(f"{end}.pre").alias("pre"), F.col(f"{end}.f.pos").alias("pos"), F.col(f"{end}.f.tag").alias("tag"))
+    minors = read.groupBy("k", "major").agg(F.collect_set("minor").alias("minors"))
+    asks = probes.join(minors, ["k", "major"]).withColumn("m", F.explode("minors")).drop("minors")
+
+    def beside(held: DataFrame, asking: DataFrame, keys: list[str], what: list[str], order: Column) -> DataFrame:
+        """Each row of ``asking`` with the structs ``what`` of the last held row up to it and the first after it."""
+        rest = F.struct(*[c for c in asking.columns if c not in keys])
+        kind = asking.select(rest.alias("a")).schema["a"].dataType
+        none = {w: F.lit(None).cast(held.schema[w].dataType) for w in what}
+        both = held.select(*keys, order.alias("o"), F.lit(0).alias("side"), *what, F.lit(None).cast(kind).alias("a"))
+        both = both.unionByName(asking.select(*keys, order.alias("o"), F.lit(1).alias("side"), *[none[w].alias(w) for w in what], rest.alias("a")))
+        up = Window.partitionBy(*keys).orderBy("o", "side").rowsBetween(Window.unboundedPreceding, 0)
+        down = Window.partitionBy(*keys).orderBy("o", "side").rowsBetween(1, Window.unboundedFollowing)
+        found = both.select("*", *[F.last(w, True).over(up).alias(f"{w}_below") for w in what], *[F.first(w, True).over(down).alias(f"{w}_above") for w in what])
+        return found.filter("side = 1").select("a.*", *keys, *[f"{w}_{d}" for w in what for d in ("below", "above")])
+
+    held = ends.select("k", "major", F.col("minor").alias("m"), "patch", of("newest").alias("newest"), of("oldest").alias("oldest"))
+    near = beside(held, asks, ["k", "major", "m"], ["newest", "oldest"], F.struct("patch"))
+    # In the version's own minor older patches count by their newest tag, newer ones by their oldest.
+    older, own = F.col("m") < F.col("minor"), F.col("m") == F.col("minor")
+    below = F.when(older | own, F.col("newest_below")).otherwise(F.col("oldest_below"))
+    above = F.when(older, F.col("newest_above")).otherwise(F.col("oldest_above"))
+    one = near.select("k", "want", "minor", "patch", "pre", "final", F.explode(F.array(below, above)).alias("c"))
+    singles = first_of.select("k", "major", "minor", "patch", "final", "pre", F.struct("minor", "patch", "final", "pre", F.col("f.pos").alias("pos"), F.col("f.tag").alias("tag")).alias("c"))
+    within = beside(singles, probes, ["k", "major", "minor"], ["c"], F.struct("patch", "final", "pre"))
+    two = within.select("k", "want", "minor", "patch", "pre", "final", F.explode(F.array("c_below", "c_above")).alias("c"))
+    alike = beside(singles.withColumnRenamed("pre", "p").withColumnRenamed("minor", "m"), asks.withColumn("p", F.col("pre")), ["k", "major", "m", "p"], ["c"], F.struct("patch"))
+    three = alike.select("k", "want", "minor", "patch", "pre", "final", F.explode(F.array("c_below", "c_above")).alias("c"))
+    cands = one.unionByName(two).unionByName(three).filter("c IS NOT NULL")
+    far = F.abs(F.col("minor") - F.col("c.minor")) * 1_000 + F.abs(F.col("patch") - F.col("c.patch")) + F.when(F.col("pre") != F.col("c.pre"), 1).otherwise(0)
+    at = lambda c="": F.struct(*[F.col(f"{c}{x}") for x in ("minor", "patch", "final", "pre")])
+    cands = cands.withColumn("far", far).withColumn("newer", at("c.") > at())
+    w = Window.partitionBy("k", "want").orderBy("far", "newer", F.when(~F.col("newer"), at("c.")).desc_nulls_last(), F.when(F.col("newer"), at("c.")).asc_nulls_last(), "c.pos")
+    nearest = cands.withColumn("n", F.row_number().over(w)).filter("n = 1").select("k", "want", F.col("c.tag").alias("tag"))
+    best = exact.unionByName(nearest)
+    return wanted.join(best, (F.col(key) == F.col("k")) & (F.col("version") == F.col("want")), "left").select(key, "version", "tag")

@@ -151,14 +151,23 @@ def nearest_within_range(spark, sf_dir):
     return ordered.nearest_within(e.filter("event_type = 'purchase'"), e.filter("event_type = 'signup'"), ["user_id"], "t", 720_000, "event_id").select("event_id", "match")
 
 
-VERSIONS = [("6.6.4", "v6.6.3 v6.6.4 v6.6.5", "v6.6.4"), ("6.6.4", "6.6.4 v6.6.4", "6.6.4"), ("6.6.4", "v6.6.3 v6.6.5", "v6.6.3"), ("1.11.0", "1.10.0 1.11.2", "1.11.2"), ("1.11.0", "nightly", None), ("nightly", "nightly v1.0.0", "nightly"), ("35.0.1", "1.0.0 stable-35.0.0 stable-35.0.1 stable-34.1.1", "stable-35.0.1"), ("35.0.1", "1.0.0 v2.3.0", None), ("1.2.0", "app-v1.2.0 app-v1.1.0", "app-v1.2.0"), ("1.2.0", "build42", None)]
-
-
-@query("closest_version", "SELECT * FROM (VALUES " + ", ".join(f"({k}, '{v}', " + (f"'{t}'" if t else "NULL") + ")" for k, (v, _, t) in enumerate(VERSIONS)) + ") t(repo, version, tag)")
+# Repositories are parts; each line item tags a version of its part, each part asks for one.
+@query("closest_version", """WITH t AS (SELECT l_partkey AS repo, l_orderkey * 10 + l_linenumber AS pos, l_suppkey % 3 AS major, l_linenumber AS minor, l_orderkey % 50 AS patch, CASE WHEN l_returnflag = 'R' THEN 'rc' || (l_suppkey % 4) ELSE '' END AS pre FROM lineitem),
+n AS (SELECT *, CASE WHEN pos % 2 = 0 THEN 'v' ELSE 'app-' END || major || '.' || minor || '.' || patch || CASE WHEN pre <> '' THEN '-' || pre ELSE '' END AS tag FROM t),
+w AS (SELECT p_partkey AS repo, p_size % 3 AS wmajor, p_size % 8 AS wminor, p_partkey % 50 AS wpatch, CASE WHEN p_partkey % 5 = 0 THEN 'rc1' ELSE '' END AS wpre FROM part),
+a AS (SELECT *, wmajor || '.' || wminor || '.' || wpatch || CASE WHEN wpre <> '' THEN '-' || wpre ELSE '' END AS version FROM w),
+m AS (SELECT *, tag = 'v' || version AS same, abs(minor - wminor) * 1000 + abs(patch - wpatch) + CASE WHEN pre <> wpre THEN 1 ELSE 0 END AS far, (minor, patch, pre = '', pre) > (wminor, wpatch, wpre = '', wpre) AS newer FROM a JOIN n USING (repo) WHERE major = wmajor),
+r AS (SELECT repo, tag, row_number() OVER (PARTITION BY repo ORDER BY same DESC, CASE WHEN same THEN 0 ELSE far END, newer, CASE WHEN newer THEN minor ELSE -minor END, CASE WHEN newer THEN patch ELSE -patch END, CASE WHEN newer THEN (pre = '')::INT ELSE -(pre = '')::INT END, CASE WHEN newer THEN pre ELSE '' END, CASE WHEN newer THEN '' ELSE pre END DESC, pos) AS k FROM m)
+SELECT a.repo, version, tag FROM a LEFT JOIN r ON r.repo = a.repo AND k = 1""")
 def closest_version(spark, sf_dir):
-    rows = spark.createDataFrame([(k, v, tags) for k, (v, tags, _) in enumerate(VERSIONS)], "repo int, version string, tags string")
-    tags = rows.select("repo", F.posexplode(F.split("tags", " ")).alias("pos", "tag"))
-    return joins.closest_version(rows.select("repo", "version"), tags, "repo")
+    text = lambda c: c.cast("string")
+    dotted = lambda *parts: F.concat_ws(".", *[text(p) for p in parts])
+    li = table(spark, sf_dir, "lineitem")
+    pos = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    pre = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("-rc"), text(F.col("l_suppkey") % 4))).otherwise("")
+    tags = li.select(F.col("l_partkey").alias("repo"), pos.alias("pos"), F.concat(F.when(pos % 2 == 0, "v").otherwise("app-"), dotted(F.col("l_suppkey") % 3, F.col("l_linenumber"), F.col("l_orderkey") % 50), pre).alias("tag"))
+    wanted = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("repo"), F.concat(dotted(F.col("p_size") % 3, F.col("p_size") % 8, F.col("p_partkey") % 50), F.when(F.col("p_partkey") % 5 == 0, "-rc1").otherwise("")).alias("version"))
+    return joins.closest_version(wanted, tags, "repo")
 
 
 _PLAN = """o AS (SELECT o_orderkey, CAST(o_custkey % 7 AS VARCHAR) AS apk, o_orderpriority AS feature, CAST(o_custkey % 5 AS VARCHAR) AS facts, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE 'c' END AS commit, o_orderkey % 3 <> 0 AS repo, o_orderkey % 4 = 0 AS need_readme, o_orderkey % 5 <> 0 AS has_about, o_orderkey % 7 <> 0 AS has_security, o_orderkey % 8 <> 0 AS has_icon, o_orderkey % 9 <> 0 AS has_vector, o_orderkey % 10 <> 0 AS has_facts FROM orders),
