@@ -9,6 +9,7 @@ from shelfspark.operators import digest, listing, ordered, quotes, scan, scoring
 from shelfspark.plans.quote_queries import _ROWS, _rows
 from shelfspark.plans.reply_queries import _pick
 from shelfspark.plans.scan_queries import _list
+from shelfspark.functions import table_functions
 from shelfspark.registry import query, table
 
 
@@ -121,3 +122,18 @@ def shortest_manifests(spark, sf_dir):
     k = F.col("doc_id")
     f = table(spark, sf_dir, "documents").select(F.col("source").alias("tree_id"), F.concat(F.repeat(F.lit("a/"), (k % 5).cast("int")), F.when(k % 2 == 0, "README.md").otherwise("x.kt")).alias("path"), F.col("text").alias("body"))
     return digest.shortest_path(f, "readme.md").select("tree_id", "path")
+
+
+@query("table_function_budget", "WITH b AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(coalesce(sum(l_suppkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM lineitem) SELECT l_orderkey, l_linenumber, l_suppkey, before FROM b WHERE before <= 60")
+def table_function_budget(spark, sf_dir):
+    """Lines of an order until sizes have gone over a budget, by a table function called from SQL."""
+    table_functions.register(spark)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return spark.sql("SELECT l_orderkey, l_linenumber, l_suppkey, before FROM take_within(TABLE({rows}) PARTITION BY (l_orderkey) ORDER BY (l_linenumber, l_partkey, l_suppkey), 'l_suppkey', 60)", rows=rows)
+
+
+@query("set_hashes", "SELECT lang, sha256(string_agg(strlen(source) || chr(0) || source, '' ORDER BY encode(source))) AS hash FROM (SELECT DISTINCT lang, source FROM documents WHERE source IS NOT NULL) GROUP BY lang")
+def set_hashes(spark, sf_dir):
+    """One hash per language over its sources, by an aggregate over Arrow arrays called from SQL."""
+    table_functions.register(spark)
+    return spark.sql("SELECT lang, set_hash(source) AS hash FROM {docs} GROUP BY lang", docs=table(spark, sf_dir, "documents").select("lang", "source").distinct())
