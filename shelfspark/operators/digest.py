@@ -115,11 +115,16 @@ def shortest_path(files: DataFrame, name: str, tree: str = "tree_id") -> DataFra
     return named.groupBy(tree).agg(F.min_by(F.struct("path", "body"), F.struct(F.octet_length("path").alias("n"), F.col("path"))).alias("f")).select(tree, "f.path", "f.body")
 
 
+# How a manifest asks for permissions, names components and allows clear text.
+ASKS = r'(?s)<uses-permission\b.{0,300}?android:name="([^"]+)"'
+NAMES = r'(?s)<(activity|service|receiver|provider)\b.{0,400}?android:name="([^"]+)"'
+CLEARTEXT = r'usesCleartextTraffic="true"|cleartextTrafficPermitted="true"'
+
+
 def manifest(body: Column) -> Column:
     """Struct of permissions (24 at most), components (15 at most) and cleartext of an AndroidManifest."""
-    perms = F.regexp_extract_all(body, F.lit(r'(?s)<uses-permission\b.{0,300}?android:name="([^"]+)"'), 1)
-    comps = F.regexp_extract_all(body, F.lit(r'(?s)<(activity|service|receiver|provider)\b.{0,400}?android:name="([^"]+)"'), 2)
-    return F.struct(F.slice(perms, 1, 24).alias("permissions"), F.slice(comps, 1, 15).alias("components"), body.rlike(r'usesCleartextTraffic="true"|cleartextTrafficPermitted="true"').alias("cleartext"))
+    perms, comps = F.regexp_extract_all(body, F.lit(ASKS), 1), F.regexp_extract_all(body, F.lit(NAMES), 2)
+    return F.struct(F.slice(perms, 1, 24).alias("permissions"), F.slice(comps, 1, 15).alias("components"), body.rlike(CLEARTEXT).alias("cleartext"))
 
 
 def brace_depth(lines: DataFrame, keys: list[str]) -> DataFrame:

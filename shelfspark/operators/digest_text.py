@@ -234,8 +234,7 @@ def _head_sections(files: DataFrame, small: DataFrame, projects: DataFrame | Non
 
 def manifest_parts(body: Column) -> Column:
     """Permissions (24 at most) and components with their kinds (15 at most) of a manifest."""
-    named = r'(?s)<(activity|service|receiver|provider)\b.{0,400}?android:name="([^"]+)"'
-    kinds, names = F.regexp_extract_all(body, F.lit(named), 1), F.regexp_extract_all(body, F.lit(named), 2)
+    kinds, names = F.regexp_extract_all(body, F.lit(digest.NAMES), 1), F.regexp_extract_all(body, F.lit(digest.NAMES), 2)
     return F.struct(digest.manifest(body)["permissions"].alias("permissions"), F.slice(F.zip_with(kinds, names, lambda k, n: F.concat(k, F.lit(" "), n)), 1, 15).alias("components"))
 
 

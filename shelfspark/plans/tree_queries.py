@@ -84,18 +84,38 @@ def library_detection(spark, sf_dir):
     return digest.detect_libraries(classes, corpus, info).select("app_id", "id", "path", "name", "type")
 
 
-@query("permission_facts", "SELECT * FROM (VALUES ('a', 'read_sms', 'READ_SMS'), ('a', 'query_all_packages', 'QUERY_ALL_PACKAGES'), ('a', 'offline_capable', 'No INTERNET'), ('b', 'fine_location', 'ACCESS_BACKGROUND_LOCATION, ACCESS_FINE_LOCATION'), ('b', 'coarse_location', 'ACCESS_BACKGROUND_LOCATION, ACCESS_COARSE_LOCATION')) t(app_id, fact, evidence)")
+#: Permissions that facts know, and some that they don't, as lineitems ask for them.
+ASKED = [*facts.PERMISSION_FACTS, facts.BACKGROUND, facts.INTERNET, "android.permission.vibrate", "com.other.permission.x"]
+_ASKED_SQL = f"""k(n, p, fact) AS (VALUES {", ".join(f"({n}, '{p}', " + (f"'{facts.PERMISSION_FACTS[p]}'" if p in facts.PERMISSION_FACTS else "NULL") + ")" for n, p in enumerate(ASKED))}),
+a AS (SELECT DISTINCT l_orderkey AS app_id, p, fact FROM lineitem JOIN k ON n = l_partkey % {len(ASKED)})"""
+
+
+def _asked(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    name = F.element_at(F.array(*map(F.lit, ASKED)), (F.col("l_partkey") % len(ASKED) + 1).cast("int"))
+    return li.select(F.col("l_orderkey").alias("app_id"), F.when(F.col("l_linenumber") % 2 == 0, F.upper(name)).otherwise(F.concat(name, F.lit(" "))).alias("p"), "l_linenumber", "l_suppkey", "l_returnflag")
+
+
+@query("permission_facts", f"""WITH {_ASKED_SQL}, b AS (SELECT app_id, bool_or(p = '{facts.BACKGROUND}') AS back, bool_or(p = '{facts.INTERNET}') AS net FROM a GROUP BY app_id),
+e AS (SELECT app_id, fact, upper(regexp_replace(p, '^android[.]permission[.]', '')) AS e FROM a WHERE fact IS NOT NULL UNION SELECT app_id, fact, 'ACCESS_BACKGROUND_LOCATION' FROM a JOIN b USING (app_id) WHERE back AND fact IN ('coarse_location', 'fine_location'))
+SELECT app_id, fact, string_agg(e, ', ' ORDER BY e) AS evidence FROM e GROUP BY app_id, fact UNION ALL SELECT app_id, 'offline_capable', 'No INTERNET' FROM b WHERE NOT net""")
 def permission_facts(spark, sf_dir):
-    p = "android.permission."
-    apps = spark.createDataFrame([("a", [p + "READ_SMS", p + "QUERY_ALL_PACKAGES", p + "VIBRATE"]), ("b", [p + "ACCESS_FINE_LOCATION", p + "ACCESS_COARSE_LOCATION", p + "ACCESS_BACKGROUND_LOCATION", p + "INTERNET"]), ("c", [p + "INTERNET"])], "app_id string, perms array<string>")
+    """Facts of the permissions that the lineitems of an order ask for, spelt in small and capital letters."""
+    apps = _asked(spark, sf_dir).groupBy("app_id").agg(F.collect_list("p").alias("perms"))
     return facts.permission_rows(apps, "app_id", "perms").select("app_id", "fact", "evidence")
 
 
-@query("manifest_parts", "SELECT 2 AS permissions, 1 AS components, true AS cleartext")
+@query("manifest_parts", f"""WITH {_ASKED_SQL.replace("SELECT DISTINCT l_orderkey AS app_id, p, fact", "SELECT l_orderkey AS app_id, l_linenumber, l_suppkey, l_returnflag, p")}
+SELECT app_id, CAST(least(count(*), 24) AS INTEGER) AS permissions, CAST(least(count_if(l_linenumber % 2 = 1), 15) AS INTEGER) AS components, bool_or(l_returnflag = 'R') AS cleartext FROM a GROUP BY app_id""")
 def manifest_parts(spark, sf_dir):
-    body = '<manifest><uses-permission android:name="a.P"/><uses-permission\n android:maxSdkVersion="3" android:name="a.Q"/><application android:usesCleartextTraffic="true"><activity android:exported="true" android:name=".Main"></activity></application></manifest>'
-    got = spark.createDataFrame([(body,)], "body string").select(digest.manifest(F.col("body")).alias("m"))
-    return got.select(F.size("m.permissions").alias("permissions"), F.size("m.components").alias("components"), "m.cleartext")
+    """Manifests written as XML from the lineitems of an order, and read again."""
+    li = _asked(spark, sf_dir)
+    kind = F.element_at(F.array(*map(F.lit, ("activity", "service", "receiver", "provider"))), (F.col("l_suppkey") % 4 + 1).cast("int"))
+    line = F.concat(F.lit('<uses-permission\n  android:maxSdkVersion="30" android:name="'), "p", F.lit('"/>'), F.when(F.col("l_linenumber") % 2 == 1, F.concat(F.lit("<"), kind, F.lit(' android:exported="false" android:name=".C'), F.col("l_suppkey").cast("string"), F.lit('"/>'))).otherwise(""))
+    clear = F.when(F.bool_or(F.col("l_returnflag") == "R"), '<application android:usesCleartextTraffic="true"/>').otherwise("<application/>")
+    body = li.groupBy("app_id").agg(F.concat(F.lit("<manifest>"), F.array_join(F.collect_list(line), ""), clear, F.lit("</manifest>")).alias("body"))
+    got = body.select("app_id", digest.manifest(F.col("body")).alias("m"))
+    return got.select("app_id", F.size("m.permissions").alias("permissions"), F.size("m.components").alias("components"), "m.cleartext")
 
 
 @query("duplicate_lines_islands", "WITH c AS (SELECT conv_id, turn, role, turn - row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS g FROM conversations) SELECT conv_id, role, min(turn) AS first_turn, CAST(count(*) AS BIGINT) AS n FROM c GROUP BY conv_id, role, g")

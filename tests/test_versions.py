@@ -60,3 +60,10 @@ def test_equal_tags_go_to_the_first_and_nothing_meets_nothing(spark):
     got = joins.closest_version(wanted, tags, "repo").collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, "1.2.1", "v1.2.0"), (1, "1.2.1", "v1.2.0"), (2, "2.0.0", None), (3, "1.0.0", None), (None, "1.0.0", None), (2, None, None)]))
     assert joins.closest_version(wanted, tags.limit(0), "repo").filter("tag IS NOT NULL").count() == 0
+
+
+def test_written_cases(spark):
+    cases = [("6.6.4", "v6.6.3 v6.6.4 v6.6.5", "v6.6.4"), ("6.6.4", "6.6.4 v6.6.4", "6.6.4"), ("6.6.4", "v6.6.3 v6.6.5", "v6.6.3"), ("1.11.0", "1.10.0 1.11.2", "1.11.2"), ("1.11.0", "nightly", None), ("nightly", "nightly v1.0.0", "nightly"), ("35.0.1", "1.0.0 stable-35.0.0 stable-35.0.1 stable-34.1.1", "stable-35.0.1"), ("35.0.1", "1.0.0 v2.3.0", None), ("1.2.0", "app-v1.2.0 app-v1.1.0", "app-v1.2.0"), ("1.2.0", "build42", None)]
+    tags = spark.createDataFrame([(k, n, t) for k, (_, ts, _) in enumerate(cases) for n, t in enumerate(ts.split())], "repo int, pos int, tag string")
+    wanted = spark.createDataFrame([(k, v) for k, (v, _, _) in enumerate(cases)], "repo int, version string")
+    assert {r.repo: r.tag for r in joins.closest_version(wanted, tags, "repo").collect()} == {k: want for k, (_, _, want) in enumerate(cases)}
