@@ -166,22 +166,21 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = [batch.schema.get_field_index(c) for c in ("conv", "block", "n")]
-        said, learnt, chars = [], [], []
+        said, learnt = [], []
         for r in batch.select(["formatted", "loss", "n_repeated"]).to_pylist():
             said.append([{"role": role, "text": text} for role, text in parse(r["formatted"])[r["n_repeated"] :]])
             learnt.append([unescape(r["formatted"][x["begin"] : x["stop"]]) for x in r["loss"]])
-            chars.append(len(r["formatted"]))
-        yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array(said, pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))), pa.array(learnt, pa.list_(pa.string())), pa.array(chars, pa.int64())], names=["conv", "block", "n", "turns", "learnt", "chars"])
+        yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array(said, pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))), pa.array(learnt, pa.list_(pa.string()))], names=["conv", "block", "n", "turns", "learnt"])
 
 
 def read_windows(windows: DataFrame) -> DataFrame:
-    """(conv, block, n, turns, learnt, chars) from windows as written: the new turns of each, its texts under the loss mask, unescaped, and its code points."""
+    """(conv, block, n, turns, learnt) from windows as written: the new turns of each, and its texts under the loss mask, unescaped."""
     kind = windows.schema["conv"].dataType.simpleString()
-    return windows.select("conv", "block", "n", "formatted", "loss", "n_repeated").mapInArrow(_read, f"conv {kind}, block {_BLOCK}, n int, turns array<struct<role: string, text: string>>, learnt array<string>, chars long")
+    return windows.select("conv", "block", "n", "formatted", "loss", "n_repeated").mapInArrow(_read, f"conv {kind}, block {_BLOCK}, n int, turns array<struct<role: string, text: string>>, learnt array<string>")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digests of conversations whose windows come one after another; a hash state is all that is held."""
+    """Digests of conversations whose windows come one after another; hash states are all that is held."""
     key, state = (), None
 
     def told() -> pa.RecordBatch:
@@ -190,16 +189,18 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         kind = batch.column(0).type
-        for conv, said, n, learnt, chars in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        for conv, formatted, loss, repeated in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             if state is None or (conv,) != key:
                 if state is not None:
                     yield told()
                 key, state = (conv,), [hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-            state[0].update(said.encode())
-            state[1] += n
+            said = parse(formatted)[repeated:]
+            state[0].update("".join(f"{role}\n{text}\n" for role, text in said).encode())
+            state[1] += len(said)
+            learnt = "".join(unescape(formatted[x["begin"] : x["stop"]]) for x in loss)
             state[2].update(learnt.encode())
             state[3] += len(learnt)
-            state[4] += chars
+            state[4] += len(formatted)
     if state is not None:
         yield told()
 
@@ -208,10 +209,8 @@ def conversation_digests(windows: DataFrame) -> DataFrame:
     """One row per conversation of written windows, read back: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
 
     A digest reads its conversation in order, so the windows of one go to one
-    task; they stream through it and nothing is gathered.
+    task, as they were written; they stream through it and nothing is gathered.
     """
-    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     kind = windows.schema["conv"].dataType.simpleString()
-    flat = read_windows(windows).select("conv", "block", "n", said.alias("said"), F.size("turns").cast("long").alias("n_turns"), F.array_join("learnt", "").alias("learnt"), "chars")
-    ordered = flat.repartition("conv").sortWithinPartitions("conv", "block", "n").select("conv", "said", "n_turns", "learnt", "chars")
+    ordered = windows.repartition("conv").sortWithinPartitions("conv", "block", "n").select("conv", "formatted", "loss", "n_repeated")
     return ordered.mapInArrow(_digest, f"conv {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -84,6 +84,13 @@ def test_later_windows_say_the_system_turn_and_some_history_without_loss(spark):
     assert next_turn == len(rows)
 
 
+def test_windows_are_read_back_as_rows(spark):
+    rows = [(1, k, "assistant" if k % 2 else "user", f"</turn> {k}\\") for k in range(40)]
+    read = chat.read_windows(chat.format_windows(spark.createDataFrame(rows, SCHEMA), budget=60)).orderBy("block", "n").collect()
+    assert len(read) > 3 and [(t.role, t.text) for r in read for t in r.turns] == [r[2:] for r in rows]
+    assert [x for r in read for x in r.learnt] == [r[3] for r in rows if r[2] == "assistant"]
+
+
 def test_given_token_counts_are_used(spark):
     rows = [(1, k, "assistant", "x", 100) for k in range(10)]
     found = chat.format_windows(spark.createDataFrame(rows, SCHEMA + ", cost int"), tokens="cost", budget=500, history=0).orderBy("n").collect()
