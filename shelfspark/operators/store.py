@@ -176,6 +176,11 @@ def json_ids(lines: DataFrame, line: str = "value", key: str = "id") -> DataFram
     return lines.select(F.get_json_object(F.when(F.try_parse_json(line).isNotNull(), F.col(line)), f"$.{key}").alias(key)).filter(F.coalesce(F.col(key), F.lit("")) != "").distinct()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(value) of the lines of a text file; a missing file is empty."""
     return spark.read.text(path) if exists(spark, path) else spark.createDataFrame([], "value string")
