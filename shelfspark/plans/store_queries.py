@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.operators import store
+from shelfspark.operators import store, walks
 from shelfspark.plans.lineage import scratch_path
 from shelfspark.plans.reply_queries import _pick
 from shelfspark.registry import query, table
@@ -134,3 +134,24 @@ def tolerant_ids(spark, sf_dir):
     k = F.col("event_id")
     line = F.when(k % 3 == 0, F.concat(F.lit('{"id":"u'), F.col("user_id"), F.lit('","x":1}'))).when(k % 3 == 1, '{"id": "broken"').otherwise('{"other":1}')
     return store.json_ids(table(spark, sf_dir, "events").select(line.alias("value")))
+
+
+PLAN = [("a", ["a1", "a2"]), ("b", ["b1"]), ("c", ["c1", "c2"])]
+_MODELS = ", ".join(f"({k}, '{p}', '{m}', {n})" for k, (p, m, n) in enumerate((p, m, n) for p, ms in PLAN for n, m in enumerate(ms)))
+
+
+# Nobody is down for long here, so every request walks alone; pauses that last are tested against a plain walk.
+@query("model_walks", f"""WITH m(k, provider, model, n) AS (VALUES {_MODELS}),
+o AS (SELECT event_id, user_id, m.*, (event_id * 7 + k * 3) % 4 AS first, (event_id + k) % 3 AS second FROM events, m),
+e AS (SELECT *, first = 0 OR (first = 1 AND second = 0) AS good, lag(first = 2, 1, false) OVER (PARTITION BY event_id, provider ORDER BY n) AS ended FROM o),
+r AS (SELECT event_id, min(k) AS k FROM e WHERE good AND NOT ended GROUP BY event_id)
+SELECT x.user_id, x.event_id, provider, model, coalesce(first = 1, false) AS repaired FROM events x LEFT JOIN (SELECT e.* FROM e JOIN r USING (event_id, k)) y ON y.event_id = x.event_id""")
+def model_walks(spark, sf_dir):
+    """Events as requests of users; what each model would give is dealt by the event's number."""
+    e = table(spark, sf_dir, "events")
+    known = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(p).alias("provider"), F.lit(m).alias("model")) for k, (p, m) in enumerate((p, m) for p, ms in PLAN for m in ms)])
+    first = _pick(["ok", "rejected", "down", "failed"], (F.col("event_id") * 7 + F.col("k") * 3) % 4)
+    second = _pick(["ok", "rejected", "failed"], (F.col("event_id") + F.col("k")) % 3)
+    outcomes = e.select("event_id", F.inline(known)).select("event_id", "provider", "model", first.alias("first"), second.alias("second"), F.lit(0).alias("pause"))
+    requests = e.select("user_id", "event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("at"))
+    return walks.walk(requests, outcomes, PLAN, "user_id", "event_id").select("user_id", "event_id", "provider", "model", "repaired")
