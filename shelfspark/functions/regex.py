@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 import re
 
 #: ASCII \\b, as RE2 has it.
@@ -43,3 +46,8 @@ def re2_to_java(pattern: str) -> str:
 def quote(text: str) -> str:
     """``text`` as a Java pattern that matches just it."""
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def literal(x: Column) -> Column:
+    """The text of a column as a Java pattern that matches just it."""
+    return F.concat(F.lit("\\Q"), F.replace(x, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))

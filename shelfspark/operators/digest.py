@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.functions.regex import literal
 from shelfspark.operators import joins
 
 # Fixed values: (topic, fact, needle) of permissions, in order.
@@ -135,7 +136,7 @@ def brace_depth(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 def token_in(text: Column, token: Column) -> Column:
     """Does a version or word stand in the text with no letter, digit or dot beside it that would make it another one?"""
-    return F.regexp_like(text, F.concat(F.lit(r"(?<![0-9A-Za-z_])(?<![0-9]\.)\Q"), token, F.lit(r"\E(?![0-9A-Za-z_])(?!\.[0-9])")))
+    return F.regexp_like(text, F.concat(F.lit(r"(?<![0-9A-Za-z_])(?<![0-9]\.)"), literal(token), F.lit(r"(?![0-9A-Za-z_])(?!\.[0-9])")))
 
 
 def detect_libraries(classes: DataFrame, corpus: DataFrame, info: DataFrame, app: str = "app_id") -> DataFrame:

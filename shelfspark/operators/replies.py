@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions import text as tx
-from shelfspark.functions.regex import EDGE, re2_to_java
+from shelfspark.functions.regex import EDGE, literal, re2_to_java
 from shelfspark.operators import scan
 
 # Patterns of what a reply must not say (RE2).
@@ -45,10 +45,6 @@ def quote(x: Column) -> Column:
     return F.concat(F.lit('"'), x, F.lit('"'))
 
 
-def _literal(x: Column) -> Column:
-    return F.concat(F.lit("\\Q"), F.replace(x, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-
-
 def no_change(x: Column) -> Column:
     return F.lower(F.trim(x)) == "no-change"
 
@@ -64,13 +60,13 @@ def ordinary_name(name: Column, dev: Column) -> Column:
     """Are all words of the name also written small by the developer, links aside?"""
     words = tx.fields(F.trim(name))
     bare = F.regexp_replace(dev, re2_to_java(LINK), " ")
-    return (F.size(words) > 0) & F.forall(words, lambda w: (w == F.lower(w)) | F.regexp_like(bare, F.concat(F.lit(EDGE), _literal(F.lower(w)))))
+    return (F.size(words) > 0) & F.forall(words, lambda w: (w == F.lower(w)) | F.regexp_like(bare, F.concat(F.lit(EDGE), literal(F.lower(w)))))
 
 
 def names_app(name: Column, dev: Column, text: Column) -> Column:
     """Does the text have the exact name, of three characters or more, as a word, unless it is ordinary words?"""
     n = F.trim(F.coalesce(name, F.lit("")))
-    return (F.length(n) >= 3) & F.regexp_like(text, F.concat(F.lit(EDGE), _literal(n), F.lit(EDGE))) & ~ordinary_name(n, dev)
+    return (F.length(n) >= 3) & F.regexp_like(text, F.concat(F.lit(EDGE), literal(n), F.lit(EDGE))) & ~ordinary_name(n, dev)
 
 
 def brand_name(name: Column, dev: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions import text as tx
-from shelfspark.functions.regex import re2_to_java
+from shelfspark.functions.regex import literal, re2_to_java
 from shelfspark.operators.digest import MAX_FILE_BYTES, is_build_file
 
 # Endings of code, and patterns of ids and versions in build files (RE2).
@@ -34,7 +34,7 @@ def is_code(base: Column) -> Column:
 
 def has_version(text: Column, version: Column) -> Column:
     """Does a version stand in a text with no letter, digit, dot, line or hyphen beside it?"""
-    return F.regexp_like(text, F.concat(F.lit(r"(?<![0-9A-Za-z._-])\Q"), version, F.lit(r"\E(?![0-9A-Za-z._-])")))
+    return F.regexp_like(text, F.concat(F.lit("(?<![0-9A-Za-z._-])"), literal(version), F.lit("(?![0-9A-Za-z._-])")))
 
 
 def tree_facts(files: DataFrame, apps: DataFrame, tree: str = "tree_id") -> DataFrame:

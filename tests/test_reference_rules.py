@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from shelfspark.functions import about, markdown, tokens, urls, vectors
 from shelfspark.functions import text as tx
 from shelfspark.functions.regex import quote, re2_to_java
-from shelfspark.operators import digest, evals, facts, ordered, tables
+from shelfspark.operators import digest, evals, facts, ordered, quotes, replies, tables, trees
 from shelfspark.sources import files, sqlite
 
 
@@ -62,11 +62,15 @@ def test_markdown():
     assert markdown.brief("one two three\n\nfour five six\n\nseven", 29) == "one two three\n\nfour five six"
 
 
-def test_about_editing():
+def test_about_editing(spark):
     assert about.edit("com.acme.blue", "Blue", "Blue is a player for music. Get it on F-Droid.") == ("Player for music.", True)
     assert about.edit("com.acme.zap", "Zap", "Zap lets you send coins with the Zap app") == ("Lets you send coins with the app.", True)
     assert about.edit("a.b", "Relagent", "Uses the Relagent Engine to think.")[1] is False
-    assert about.names_app("Zap", "we say Zap", "Use Zap now") and not about.names_app("Calendar", "a calendar", "The Calendar shows") and not about.names_app("Zz", "", "Zz")
+    said = [("Zap", "we say Zap", "Use Zap now"), ("Calendar", "a calendar", "The Calendar shows"), ("Zz", "", "Zz"), ("A\\Eb", "", "an A\\Eb here")]
+    got = spark.createDataFrame([(k, *r) for k, r in enumerate(said)], "k int, n string, d string, t string").orderBy("k").select(replies.names_app(F.col("n"), F.col("d"), F.col("t"))).collect()
+    assert [r[0] for r in got] == [True, False, False, True]
+    odd = spark.createDataFrame([("see 1.2\\E.3 here", "1.2\\E.3")], "t string, v string")
+    assert odd.select(trees.has_version(F.col("t"), F.col("v")), digest.token_in(F.col("t"), F.col("v")), quotes.contains_word(F.col("t"), F.col("v"))).first() == (True, True, True)
 
 
 def test_vectors_and_tokens(spark):
