@@ -46,9 +46,8 @@ def tree_facts(files: DataFrame, apps: DataFrame, tree: str = "tree_id") -> Data
     the first English folder. Ids and versions are those of build files, sorted.
     """
     own = apps.select(F.col(tree).alias("__tree"), F.trim("package").alias("__pkg"), F.trim("version").alias("__ver"))
-    f = files.join(own, F.col(tree) == F.col("__tree"))
     low, base = F.lower("path"), base_name(F.col("path"))
-    f = f.withColumn("raw", F.when(F.octet_length("body") <= MAX_FILE_BYTES, F.col("body")).otherwise("")).withColumn("base", base).withColumn("parts", F.split("path", "/"))
+    f = files.withColumn("raw", F.when(F.octet_length("body") <= MAX_FILE_BYTES, F.col("body")).otherwise("")).withColumn("base", base).withColumn("parts", F.split("path", "/"))
     legal = F.col("base").rlike("^(license|licence|copying)")
     store = ~legal & (F.contains(low, F.lit("en-us/")) | F.contains(low, F.lit("en-gb/")) | F.contains(low, F.lit("/en/")))
     build = ~legal & ~store & is_build_file(F.col("base"))
@@ -57,7 +56,10 @@ def tree_facts(files: DataFrame, apps: DataFrame, tree: str = "tree_id") -> Data
     manifest = F.when(build & (F.col("base") == "androidmanifest.xml"), F.regexp_extract_all(raw, F.lit(re2_to_java(MANIFEST_PACKAGE)), 1)).otherwise(F.array().cast(_TEXTS))
     licensed = F.when(legal & ~F.contains(F.col("path"), F.lit("/")), tx.license_of(raw))
     text = lambda name: F.when(store & (F.col("base") == name) & (F.trim(raw) != ""), F.trim(raw))
-    f = f.select(tree, "__pkg", "__ver", "parts", (is_code(F.col("base")) & (F.col("base") != "readme.md")).alias("code"), licensed.alias("l"), text("short_description.txt").alias("short"), text("full_description.txt").alias("full"), F.array_union(every(ID), manifest).alias("ids"), every(VERSION).alias("versions"), (build & (F.col("__pkg") != "") & F.contains(raw, F.col("__pkg"))).alias("package"), (build & (F.col("__ver") != "") & has_version(raw, F.col("__ver"))).alias("version"))
+    # Files are cut to their facts before they meet the app; of their bodies only those of build files go on.
+    f = f.select(tree, "parts", (is_code(F.col("base")) & (F.col("base") != "readme.md")).alias("code"), licensed.alias("l"), text("short_description.txt").alias("short"), text("full_description.txt").alias("full"), F.array_union(every(ID), manifest).alias("ids"), every(VERSION).alias("versions"), F.when(build, raw).alias("built")).join(own, F.col(tree) == F.col("__tree"))
+    built = F.col("built").isNotNull()
+    f = f.withColumn("package", built & (F.col("__pkg") != "") & F.contains("built", F.col("__pkg"))).withColumn("version", built & (F.col("__ver") != "") & has_version(F.col("built"), F.col("__ver")))
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("parts"))).alias(c)
     sets = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
     g = f.groupBy(tree).agg(F.first("__pkg").alias("pkg"), F.first("__ver").alias("ver"), F.bool_or("code").alias("code"), F.min_by("l", F.when(F.col("l").isNotNull(), F.col("parts"))).alias("l"), first("short"), first("full"), sets("ids"), F.bool_or("package").alias("package"), sets("versions"), F.bool_or("version").alias("version"))
