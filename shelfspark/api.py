@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.operators import evals, listing, scoring, store, tables
+from shelfspark.operators import digest_text, evals, listing, scoring, store, tables
+from shelfspark.sources import files
 
 # Calls at once by kind, and how long answers are kept, in seconds (models, sites, trees).
 SLOTS = {"listing": 8, "git": 4, "fetch": 6, "model": 8}
@@ -132,34 +133,77 @@ def report_lines(results: DataFrame, checks: list[str], title: str = "pass", tag
     return [f"{title:<9}{total}", "", "failed checks", *[f"  {c:<9} {counts[c]}" for c in checks if counts.get(c)], "", "by tag", *[f"  {r['tag']:<20} {r['r']}" for r in by_tag]]
 
 
+def mine(spark: SparkSession, events: str, path: str) -> None:
+    """Unlabelled cases of the listings in JSON lines of events, written as JSON lines."""
+    read = spark.read.schema("kind int, tags array<array<string>>, content string").json(events)
+    store.write_json_lines(scoring.mined_cases(read), path)
+
+
+def pass_rate(results: DataFrame) -> float:
+    """The share of scored results (fails map) without a failed check; 0 without results."""
+    n, total = results.agg(F.count_if(evals.passed(F.col("fails"))), F.count(F.lit(1))).first()
+    return n / total if total else 0.0
+
+
+def report(spark: SparkSession, results: str, least: float = 0.0) -> tuple[list[str], bool]:
+    """The report on JSON lines of scored results (fails, tags), and whether as many passed as asked for."""
+    read = spark.read.schema("id string, fails map<string, string>, tags array<string>").json(results)
+    read = read.withColumn("fails", F.coalesce("fails", F.create_map().cast("map<string, string>"))).withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
+    checks = [r[0] for r in read.select(F.explode(F.map_keys("fails")).alias("c")).distinct().orderBy("c").collect()]
+    return report_lines(read, checks), pass_rate(read) >= least
+
+
+def tree_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """(tree_id, digest) of the trees below a folder, one in each folder in it."""
+    found = files.tree_files(spark, folder)
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/")
+    below = F.substring(F.col("path"), F.lit(len(top) + 2), F.length("path"))
+    parts = found.select(F.substring_index(below, "/", 1).alias("tree_id"), below.alias("below"), "body")
+    return digest_text.write_digests(parts.select("tree_id", F.expr("substring(below, length(tree_id) + 2)").alias("path"), "body").filter("path <> ''"))
+
+
 def main(arguments: list[str] | None = None) -> int:
-    """``python -m shelfspark.api list`` names the queries, ``run NAME FOLDER`` shows one, ``export NAME FOLDER PATH`` writes it as JSON lines."""
+    """``python -m shelfspark.api`` and a command; ``--help`` tells which there are."""
     import argparse
 
     from shelfspark import registry
     from shelfspark.plans import catalog  # noqa: F401  registers the queries
 
-    parser = argparse.ArgumentParser(prog="shelfspark", description="Queries over a folder of tables.")
+    parser = argparse.ArgumentParser(prog="shelfspark", description="Queries over a folder of tables, and what is made of cases, results and trees.")
     commands = parser.add_subparsers(dest="command", required=True)
-    commands.add_parser("list")
-    for name in ("run", "export"):
-        p = commands.add_parser(name)
+    commands.add_parser("list", help="names the queries")
+    for name, does in (("run", "shows what a query gives"), ("export", "writes it as JSON lines")):
+        p = commands.add_parser(name, help=does)
         p.add_argument("query", choices=sorted(registry.QUERIES))
         p.add_argument("folder")
         if name == "export":
             p.add_argument("path")
         else:
             p.add_argument("--rows", type=int, default=20)
+    for name, source, does in (("mine", "events", "writes cases of listing events"), ("digest", "folder", "writes digests of the trees in a folder")):
+        p = commands.add_parser(name, help=does)
+        p.add_argument(source)
+        p.add_argument("path")
+    p = commands.add_parser("report", help="reports on scored results; fails below --min")
+    p.add_argument("results")
+    p.add_argument("--min", type=float, default=0.0)
     given = parser.parse_args(arguments)
     if given.command == "list":
         print("\n".join(sorted(registry.QUERIES)))
         return 0
     spark = SparkSession.builder.appName("shelfspark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    got = registry.QUERIES[given.query](spark, given.folder)
-    if given.command == "run":
-        got.show(given.rows, truncate=False)
+    if given.command == "mine":
+        mine(spark, given.events, given.path)
+    elif given.command == "digest":
+        store.write_json_lines(tree_digests(spark, given.folder), given.path)
+    elif given.command == "report":
+        lines, enough = report(spark, given.results, given.min)
+        print("\n".join(lines))
+        return 0 if enough else 1
+    elif given.command == "run":
+        registry.QUERIES[given.query](spark, given.folder).show(given.rows, truncate=False)
     else:
-        store.write_json_lines(got, given.path)
+        store.write_json_lines(registry.QUERIES[given.query](spark, given.folder), given.path)
     return 0
 
 

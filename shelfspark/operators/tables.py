@@ -85,6 +85,15 @@ def plan_work(memo: Column, seen: Column, version: int = GENERATION) -> Column:
     return F.struct(clone.alias("clone"), (scan | icon).alias("download"), scan.alias("scan"), icon.alias("icon"), about.alias("about"), security.alias("security"), vector.alias("vector"))
 
 
+# Fixed value: what older memos have for an about text that was passed over.
+SKIPPED = "skipped"
+
+
+def stored_about_hash(stored: Column) -> Column:
+    """The hash in a memo, of the empty text where an older one says that it was passed over; null stays null."""
+    return F.when(stored == SKIPPED, F.sha2(F.lit(""), 256)).otherwise(stored)
+
+
 def pending(work: Column) -> Column:
     return work["clone"] | work["download"] | work["scan"] | work["icon"] | work["about"] | work["security"] | work["vector"]
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 def tree_files(spark: SparkSession, root: str, most_bytes: int = 256 * 1024) -> DataFrame:
     """(path, body, size) of all files below a folder up to a size; larger ones are never read."""
     got = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).filter(F.col("length") <= most_bytes)
-    return got.select(F.regexp_replace("path", r"^(file|hdfs|s3a?)://?[^/]*", "").alias("path"), F.make_valid_utf8(F.col("content").cast("string")).alias("body"), F.col("length").alias("size"))
+    return got.select(F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "").alias("path"), F.make_valid_utf8(F.col("content").cast("string")).alias("body"), F.col("length").alias("size"))
 
 
 def events(spark: SparkSession, path: str, kind: int) -> DataFrame:

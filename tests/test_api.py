@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from shelfspark import api
-from shelfspark.operators import listing, replies, scoring, store
+from shelfspark.operators import listing, replies, scoring, store, tables
 from shelfspark.sources import archives, files
 
 
@@ -115,3 +115,24 @@ def test_names_of_keys_and_repositories(spark):
     key = "7e7e9c42a91bfef19fa929e5fda1b72e0ebc1a4c1141673e2794234d86addf4e"
     got = spark.createDataFrame([(key, f"30617:{key}:repo wss://r"), ("x", "https://git.io/x"), (None, None)], "k string, r string").select(listing.public_names("k").alias("n"), listing.repository_addresses("r").alias("a")).collect()
     assert got[0].n == "npub10elfcs4fr0l0r8af98jlmgdh9c8tcxjvz9qkw038js35mp4dma8qzvjptg" and got[0].a.startswith("naddr1") and got[1].n is None and got[1].a == "https://git.io/x" and got[2].a is None
+
+
+def test_cases_reports_and_digests_from_the_command_line(spark, tmp_path, capsys):
+    event = lambda kind, id_, content: json.dumps({"kind": kind, "tags": [["d", id_], ["name", "App"]], "content": content})
+    (tmp_path / "events.jsonl").write_text("\n".join([event(32267, "a.b", "text"), event(1, "c.d", "text"), event(32267, "e.f", "")]))
+    assert api.main(["mine", f"{tmp_path}/events.jsonl", f"{tmp_path}/cases"]) == 0
+    assert [json.loads(r.value)["id"] for r in spark.read.text(f"{tmp_path}/cases").collect()] == ["a.b"]
+    (tmp_path / "r.jsonl").write_text('{"id": "1", "tags": ["x"]}\n{"id": "2", "fails": {"length": "too long"}, "tags": ["x", "y"]}\n')
+    assert api.main(["report", f"{tmp_path}/r.jsonl"]) == 0 and api.main(["report", f"{tmp_path}/r.jsonl", "--min", "0.6"]) == 1
+    assert "length" in capsys.readouterr().out
+    for path, body in (("one/README.md", "# One\n\nCounts."), ("one/src/a.kt", "fun a() {\n  client.post(1)\n}\n"), ("two/x.txt", "x")):
+        (tmp_path / "trees" / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "trees" / path).write_text(body)
+    assert api.main(["digest", f"{tmp_path}/trees", f"{tmp_path}/digests"]) == 0
+    got = {(r := json.loads(x.value))["tree_id"]: r["digest"] for x in spark.read.text(f"{tmp_path}/digests").collect()}
+    assert got["two"] == "Files: 1" and "Outbound:\nsrc/a.kt\n1: fun a() {" in got["one"] and "Readme README.md:\n# One" in got["one"]
+
+
+def test_hashes_of_older_memos(spark):
+    df = spark.createDataFrame([("skipped",), ("abc",), (None,)], "h string")
+    assert [r[0] for r in df.select(tables.stored_about_hash(F.col("h"))).collect()] == ["e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855", "abc", None]
