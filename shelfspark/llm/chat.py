@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.plans.lineage import cut
+
 BUDGET, HISTORY, HISTORY_TURNS = 1024, 256, 8
 #: Turns are formatted in blocks of so many turn numbers, which bounds what a task holds of a conversation.
 BLOCK_TURNS = 256
@@ -151,11 +153,13 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     rows = rows.withColumn("block", block.cast(_BLOCK))
     along = Window.partitionBy("conv").orderBy("block")
     chain = rows.select("conv", "block").distinct().select("conv", "block", F.lead("block").over(along).alias("next"), F.row_number().over(along).alias("nth")).filter("nth > 1 OR next IS NOT NULL")
+    chain = cut(chain, "chat-chain")  # a row per block of long conversations; its size is known before texts are joined
     turn_ = F.struct("turn", "role", "text", "tokens")
     chained = rows.join(chain.select(F.col("conv").alias("__c"), F.col("block").alias("__b"), "next", "nth"), F.col("conv").eqNullSafe(F.col("__c")) & (F.col("block") == F.col("__b")))
     tails = chained.filter("next IS NOT NULL").groupBy(F.col("conv").alias("tail_conv"), F.col("next").alias("tail_block")).agg(F.sort_array(F.collect_list(turn_)).alias("t"))
     tails = tails.select("tail_conv", "tail_block", F.slice("t", F.greatest(F.size("t") - history_turns + 1, F.lit(1)), history_turns).alias("before") if history_turns else F.slice("t", 1, 0).alias("before"))
     systems = chained.filter("nth = 1").groupBy(F.col("conv").alias("system_conv")).agg(F.min(turn_).alias("system")).filter("system.role = 'system'")
+    tails, systems = cut(tails, "chat-tails"), cut(systems, "chat-systems")
     blocks = rows.groupBy("conv", "block").agg(F.sort_array(F.collect_list(turn_)).alias("turns"))
     full = blocks.join(tails, F.col("conv").eqNullSafe(F.col("tail_conv")) & (F.col("block") == F.col("tail_block")), "left").join(systems, F.col("conv").eqNullSafe(F.col("system_conv")), "left")
     full = full.select("conv", "block", "turns", "before", "system", F.col("before").isNull().alias("first"))
