@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: The generator of the published algorithm: key = key * MULTIPLIER + 1 modulo 2^64.
 MULTIPLIER = 2862933555777941757
 _LOW, _HIGH = MULTIPLIER & 0xFFFFFFFF, MULTIPLIER >> 32
+#: Steps of the first run of a walk.
+FIRST_STEPS = 32
 #: Rows of a shard are numbered in this many blocks side by side.
 BLOCKS = 1024
 
@@ -24,10 +26,12 @@ def _long(x: int) -> Column:
 def jump_hash(key: Column, shards: int) -> Column:
     """The shard, 0 to ``shards`` - 1, of a 64-bit integer key.
 
-    The walk of the algorithm visits rising bucket numbers, so ``shards`` steps
-    always suffice and later ones change nothing. The 64-bit product is formed
-    from halves that never overflow, as integer arithmetic is checked under
-    ANSI mode. A null key gives null.
+    The walk of the algorithm visits rising bucket numbers, on average ln
+    ``shards`` of them, ``shards`` at most. Steps come in runs of FIRST_STEPS,
+    twice as many, and so on; a run is not begun once the walk is through, so
+    keys cost what their walks do, whatever ``shards``. The 64-bit product is
+    formed from halves that never overflow, as integer arithmetic is checked
+    under ANSI mode. A null key gives null.
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
@@ -49,7 +53,11 @@ def jump_hash(key: Column, shards: int) -> Column:
         moved = F.struct(high.alias("hi"), low.bitwiseAND(mask).alias("lo"), s["next"].alias("shard"), ahead.alias("next"))
         return F.when(s["next"] < _long(shards), moved).otherwise(s)
 
-    return F.when(key.isNotNull(), F.aggregate(F.sequence(F.lit(0), F.lit(shards)), start, step, lambda s: s["shard"])).cast("int")
+    runs = [min(FIRST_STEPS, shards + 1)]
+    while sum(runs) <= shards:
+        runs.append(min(2 * runs[-1], shards + 1 - sum(runs)))
+    going = lambda s, n: F.when(s["next"] < _long(shards), F.aggregate(F.sequence(F.lit(1), n), s, step)).otherwise(s)
+    return F.when(key.isNotNull(), F.aggregate(F.array(*map(F.lit, runs)), start, going, lambda s: s["shard"])).cast("int")
 
 
 def stable_key(key: Column, kind: str) -> Column:

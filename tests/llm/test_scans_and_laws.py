@@ -28,7 +28,7 @@ def jump(key, n):
 
 def test_jump_hash_matches_the_published_walk(spark):
     keys = [0, 1, 2, -1, 2**63 - 1, -(2**63), 123456789, *range(1000, 1100)]
-    for n in (1, 2, 8, 9, 100):
+    for n in (1, 2, 8, 9, 31, 32, 33, 100, 1000, 20_000):
         got = {r.k: r.s for r in spark.createDataFrame([(k,) for k in keys], "k long").withColumn("s", sharding.jump_hash(F.col("k"), n)).collect()}
         assert got == {k: jump(k, n) for k in keys}
 
