@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions import arrow_text
+from shelfspark.plans.lineage import cut
 
 #: A side given as "small" is broadcast up to this many rows; beyond, Spark joins as it sees fit.
 SMALL_ROWS = 100_000
@@ -156,7 +157,7 @@ def closest_version(wanted: DataFrame, tags: DataFrame, key: str) -> DataFrame:
     exact = named.groupBy("k", "want").agg(F.min(F.struct((F.col("tag") != F.col("name")).alias("other"), "pos", "tag")).alias("t")).select("k", "want", F.col("t.tag").alias("tag"))
 
     read = refs.withColumn("t", F.coalesce(semver(F.col("tag")), semver(without_word_prefix(F.col("tag"))))).filter("t IS NOT NULL")
-    read = read.select("k", "pos", "tag", "t.*").withColumn("final", F.col("pre") == "")
+    read = cut(read.select("k", "pos", "tag", "t.*").withColumn("final", F.col("pre") == ""), "versions")  # tags are parsed once
     probes = asked.join(exact.select("k", "want"), ["k", "want"], "left_anti").withColumn("v", semver(F.col("name"))).filter("v IS NOT NULL").select("k", "want", "v.*")
     probes = probes.withColumn("final", F.col("pre") == "")
 
