@@ -83,14 +83,14 @@ def spread_sample(df: DataFrame, key: str, n: int, salt: str = "") -> DataFrame:
 
 
 def nearest_within(left: DataFrame, right: DataFrame, keys: list[str], at: str, reach: int, id_col: str) -> DataFrame:
-    """For each left row the nearest right row of its key within ``reach``, the earlier on a tie.
+    """For each left row the nearest right row of its key within ``reach``, on a tie the earlier, of equally early ones the least id.
 
-    ``at`` is a whole number. One sort of both sides together instead of a range
+    ``at`` is a whole number; null keys meet nothing. One sort of both sides together instead of a range
     join: the nearest is the last one before or the first one after.
     """
-    both = left.select(*keys, at, F.col(id_col).alias("l"), F.lit(None).cast("long").alias("r")).unionByName(right.select(*keys, at, F.lit(None).cast("long").alias("l"), F.col(id_col).alias("r")))
+    both = left.select(*keys, at, F.col(id_col).alias("l"), F.lit(None).cast("long").alias("r")).unionByName(right.select(*keys, at, F.lit(None).cast("long").alias("l"), F.col(id_col).alias("r")).na.drop(subset=[*keys, at]))
     s = F.when(F.col("r").isNotNull(), F.struct(F.col(at).alias("t"), F.col("r").alias("id")))
-    back = F.last(s, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(at, F.col("r").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    back = F.last(s, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(at, F.col("r").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
     ahead = F.first(s, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(at, F.col("r").asc_nulls_first()).rowsBetween(0, Window.unboundedFollowing))
     found = both.withColumn("b", back).withColumn("f", ahead).filter("l IS NOT NULL")
     to_b, to_f = F.col(at) - F.col("b.t"), F.col("f.t") - F.col(at)
