@@ -170,14 +170,18 @@ def unbacked_words(about: Column, corpus: Column) -> Column:
     A corpus that is not English, or of fewer than LEAST_CORPUS stems, backs
     everything. Words are given in the form and order in which they stand.
     """
-    have = tx.content_stems(corpus)
-    stop = F.array(*[F.lit(w) for w in tx.STOP_WORDS])
-    own = F.filter(tx.words(about), lambda w: (F.octet_length(w) >= 4) & ~F.array_contains(stop, w))
-    stems = F.transform(own, tx.stem)
-    first = F.filter(F.zip_with(own, stems, lambda w, s: F.struct(w.alias("w"), s.alias("s"))), lambda p, i: F.array_position(stems, p["s"]) == i + 1)
-    missing = F.filter(first, lambda p: ~F.array_contains(have, p["s"]))
-    checked = F.coalesce(english(corpus), F.lit(True)) & (F.size(have) >= LEAST_CORPUS)
-    return F.when(checked & (F.size(missing) > F.greatest(F.lit(2), F.floor(F.size(first) / 4))), F.concat(F.lit("about uses words the developer did not: "), F.array_join(F.transform(missing, lambda p: p["w"]), ", ")))
+    own = F.filter(tx.words(about), lambda w: (F.octet_length(w) >= 4) & ~w.isin(*tx.STOP_WORDS))
+    pairs = F.transform(own, lambda w: F.struct(w.alias("w"), tx.stem(w).alias("s")))
+    firsts = tx.let(pairs, lambda all_: tx.let(F.transform(all_, lambda p: p["s"]), lambda stems: F.filter(all_, lambda p, i: F.array_position(stems, p["s"]) == i + 1)))
+
+    # Stems of the corpus are formed once, not for each word that is looked up in them.
+    def judge(have: Column, first: Column) -> Column:
+        missing = F.filter(first, lambda p: ~F.array_contains(have, p["s"]))
+        reason = tx.let(missing, lambda m: F.when(F.size(m) > F.greatest(F.lit(2), F.floor(F.size(first) / 4)), F.concat(F.lit("about uses words the developer did not: "), F.array_join(F.transform(m, lambda p: p["w"]), ", "))))
+        return F.when(F.size(have) >= LEAST_CORPUS, reason)
+
+    why = tx.let(tx.content_stems(corpus), lambda have: tx.let(firsts, lambda first: judge(have, first)))
+    return F.when(F.coalesce(english(corpus), F.lit(True)), why)
 
 
 def about_ladder(replies: DataFrame, listing: str = "app_id") -> DataFrame:
