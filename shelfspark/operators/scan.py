@@ -173,33 +173,44 @@ def _generic(name: Column) -> Column:
 def _findings(phrase: Column, parts: Column) -> Column:
     """Findings by kind, ``Kind: a, b; c``, without what the phrase names already and without generic names beside others."""
     cut = F.transform(parts, lambda p: F.when(F.contains(p, F.lit(": ")), F.struct(F.substring_index(p, ": ", 1).alias("kind"), F.substring(p, F.instr(p, ": ") + 2, F.length(p)).alias("name"))).otherwise(F.struct(F.lit("").alias("kind"), p.alias("name"))))
-    kept = F.filter(cut, lambda c: (phrase == "") | ~(F.contains(F.lower(phrase), F.lower(c["name"])) | _generic(c["name"])))
+    named = F.filter(cut, lambda c: (phrase == "") | ~(F.contains(F.lower(phrase), F.lower(c["name"])) | _generic(c["name"])))
 
-    def text(kind: Column) -> Column:
+    def shown(names: Column) -> Column:
+        return let(F.filter(names, lambda n: ~_generic(n)), lambda special: F.when((F.size(names) > 1) & (F.size(special) > 0), special).otherwise(names))
+
+    def text(kept: Column, kind: Column) -> Column:
         names = F.transform(F.filter(kept, lambda c: c["kind"] == kind), lambda c: c["name"])
-        special = F.filter(names, lambda n: ~_generic(n))
-        shown = F.when((F.size(names) > 1) & (F.size(special) > 0), special).otherwise(names)
-        return F.concat(F.when(kind != "", F.concat(kind, F.lit(": "))).otherwise(""), F.array_join(shown, ", "))
+        return F.concat(F.when(kind != "", F.concat(kind, F.lit(": "))).otherwise(""), F.array_join(let(names, shown), ", "))
 
-    return F.array_join(F.transform(F.array_distinct(F.transform(kept, lambda c: c["kind"])), text), "; ")
+    return let(named, lambda kept: F.array_join(F.transform(F.array_distinct(F.transform(kept, lambda c: c["kind"])), lambda kind: text(kept, kind)), "; "))
 
 
 def reason_text(reason: Column, evidence: Column) -> Column:
     """The phrase given, unless it only repeats permission ids, and the findings that are no ids."""
-    ids = evidence_parts(evidence, True)
-    said = F.trim(F.coalesce(reason, F.lit("")))
-    bare = F.regexp_replace(F.regexp_replace(F.lower(said), r" permissions\z", ""), r" permission\z", "")
-    phrase = F.when((F.size(ids) > 0) & (bare != "") & (bare == F.lower(F.array_join(ids, ", "))), "").otherwise(said)
-    found = _findings(phrase, evidence_parts(evidence, False))
-    stop = F.when(phrase.rlike(r"[.!?]\z"), "").otherwise(".")
-    return F.when(phrase == "", found).when(found == "", phrase).otherwise(F.concat(phrase, stop, F.lit(" "), F.when(F.contains(found, F.lit(": ")), "").otherwise("Libraries: "), found, F.lit(".")))
+    return _reason(reason, evidence_parts(evidence, True), evidence_parts(evidence, False))
+
+
+def _reason(reason: Column, ids: Column, others: Column) -> Column:
+    def spoken(said: Column) -> Column:
+        bare = F.regexp_replace(F.regexp_replace(F.lower(said), r" permissions\z", ""), r" permission\z", "")
+        return F.when((F.size(ids) > 0) & let(bare, lambda b: (b != "") & (b == F.lower(F.array_join(ids, ", ")))), "").otherwise(said)
+
+    def whole(phrase: Column, found: Column) -> Column:
+        stop = F.when(phrase.rlike(r"[.!?]\z"), "").otherwise(".")
+        return F.when(phrase == "", found).when(found == "", phrase).otherwise(F.concat(phrase, stop, F.lit(" "), F.when(F.contains(found, F.lit(": ")), "").otherwise("Libraries: "), found, F.lit(".")))
+
+    return let(let(F.trim(F.coalesce(reason, F.lit(""))), spoken), lambda phrase: let(_findings(phrase, others), lambda found: whole(phrase, found)))
 
 
 def notes_text(reason: Column, evidence: Column) -> Column:
     """The note of a fact: permission ids first, unless the text has them, then the reason."""
-    text = reason_text(reason, evidence)
-    ids = F.array_join(evidence_parts(evidence, True), ",")
-    return F.when((ids == "") | F.contains(text, ids), text).when(text == "", ids).otherwise(F.concat(ids, F.lit(". "), text))
+    parts = F.filter(F.transform(F.split(F.coalesce(evidence, F.lit("")), ","), lambda p: F.trim(p)), lambda p: p != "")
+    cut = let(F.transform(parts, lambda p: F.struct(p.alias("p"), p.rlike(r"^[A-Z0-9_]+\z").alias("id"))), lambda all_: F.struct(F.transform(F.filter(all_, lambda x: x["id"]), lambda x: x["p"]).alias("ids"), F.transform(F.filter(all_, lambda x: ~x["id"]), lambda x: x["p"]).alias("others")))
+
+    def note(ids: Column, text: Column) -> Column:
+        return F.when((ids == "") | F.contains(text, ids), text).when(text == "", ids).otherwise(F.concat(ids, F.lit(". "), text))
+
+    return let(cut, lambda c: let(F.struct(F.array_join(c["ids"], ",").alias("ids"), _reason(reason, c["ids"], c["others"]).alias("text")), lambda p: note(p["ids"], p["text"])))
 
 
 def sheet_csv(rows: DataFrame, keys: list[str]) -> DataFrame:
