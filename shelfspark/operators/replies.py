@@ -125,7 +125,7 @@ def clean_terms(keywords: Column, queries: Column, brand: Column) -> Column:
 
 def english(text: Column) -> Column:
     """English, not English, or null where there is too little to say."""
-    return tx.prose(tx.language_stats(text))
+    return tx.let(tx.let(text, tx.language_stats), tx.prose)
 
 
 def about_rules(about: Column, keywords: Column, queries: Column, name: Column, dev: Column) -> Column:

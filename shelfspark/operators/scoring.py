@@ -128,14 +128,16 @@ def warning_shape(text: Column) -> Column:
 
 def _by_fact(rows: Column) -> Column:
     """One (fact, yes, value, evidence) per fact of an array of rows, in order of appearance: values of the last row, evidence joined."""
-    names = F.transform(rows, lambda r: r["fact"])
 
     def one(r: Column) -> Column:
-        mine = F.filter(rows, lambda x: x["fact"] == r["fact"])
+        return let(F.filter(rows, lambda x: x["fact"] == r["fact"]), lambda mine: merged(r, mine))
+
+    def merged(r: Column, mine: Column) -> Column:
         joined = F.aggregate(mine, F.lit(""), lambda acc, x: F.when(acc == "", x["evidence"]).otherwise(F.concat(acc, F.lit(", "), x["evidence"])))
         return F.struct(r["fact"].alias("fact"), F.exists(mine, lambda x: x["value"] == "yes").alias("yes"), F.element_at(mine, -1)["value"].alias("value"), joined.alias("evidence"))
 
-    return F.transform(F.filter(rows, lambda r, i: F.array_position(names, r["fact"]) == i + 1), one)
+    firsts = let(F.transform(rows, lambda r: r["fact"]), lambda names: F.filter(rows, lambda r, i: F.array_position(names, r["fact"]) == i + 1))
+    return F.transform(firsts, one)
 
 
 def sheet_check(rows: Column, records: Column) -> Column:
@@ -153,10 +155,15 @@ def _records(records: Column) -> Column:
 
 
 def _sheet(want: Column, read: Column) -> Column:
-    names = F.transform(read, lambda r: r["fact"])
+    return let(F.transform(read, lambda r: r["fact"]), lambda names: _sheet_of(want, read, names))
+
+
+def _sheet_of(want: Column, read: Column, names: Column) -> Column:
 
     def judge(r: Column, i: Column) -> Column:
-        scanned = F.get(F.filter(want, lambda w: w["fact"] == r["fact"]), F.lit(0))
+        return let(F.get(F.filter(want, lambda w: w["fact"] == r["fact"]), F.lit(0)), lambda scanned: against(r, i, scanned))
+
+    def against(r: Column, i: Column, scanned: Column) -> Column:
         value = F.when(scanned["yes"], "yes").otherwise(scanned["value"])
         return F.coalesce(
             F.when(r["n"] < 2, F.struct(F.concat(F.lit("row "), replies.quote(r["raw"]), F.lit(" has no value")).alias("why"), F.lit(0).alias("more"))),
@@ -200,7 +207,10 @@ def notes_fail(rows: Column, notes: Column, wanted: Column) -> Column:
     said = lambda fact: F.get(F.filter(notes, lambda n: n["fact"] == fact), F.lit(0))["note"]
 
     def judge(r: Column) -> Column:
-        fact, note, yes = r["fact"], said(r["fact"]), r["value"] == "yes"
+        return let(said(r["fact"]), lambda note: of(r, note))
+
+    def of(r: Column, note: Column) -> Column:
+        fact, yes = r["fact"], r["value"] == "yes"
         named = F.filter(F.transform(F.split(r["evidence"], ","), lambda p: F.trim(p)), lambda p: (p != "") & ~F.contains(F.lower(note), F.lower(p)))
         return F.when(
             note.isNotNull(),
@@ -212,8 +222,7 @@ def notes_fail(rows: Column, notes: Column, wanted: Column) -> Column:
         )
 
     def label(w: Column) -> Column:
-        note = said(w["fact"])
-        return F.when(note.isNull(), F.concat(w["fact"], F.lit(" has no row"))).otherwise(F.concat(w["fact"], F.lit(" note "), missing_groups(w["groups"], note)))
+        return let(said(w["fact"]), lambda note: F.when(note.isNull(), F.concat(w["fact"], F.lit(" has no row"))).otherwise(F.concat(w["fact"], F.lit(" note "), missing_groups(w["groups"], note))))
 
     first = let(F.array_sort(_by_fact(rows)), lambda facts: _first(F.transform(facts, judge)))
     return F.coalesce(first, _first(F.transform(F.array_sort(wanted), label)))
@@ -226,14 +235,23 @@ def score_security(want: dict[str, Column], case: dict[str, Column], reply: dict
     current. ``records`` are those of the reply's sheet, or the previous one's
     where it says no-change; ``accepted`` why the reply would not be stored.
     """
-    said = F.trim(F.coalesce(reply["security"], F.lit("")))
-    same = replies.no_change(said)
-    text = F.when(same, F.trim(F.coalesce(case["current"], F.lit("")))).otherwise(said)
+    known = F.struct(F.trim(F.coalesce(reply["security"], F.lit(""))).alias("said"), F.trim(F.coalesce(case["current"], F.lit(""))).alias("current"), case["rows"].alias("rows"))
+
+    def texts(k: Column) -> Column:
+        same = replies.no_change(k["said"])
+        return F.struct(same.alias("same"), F.when(same, k["current"]).otherwise(k["said"]).alias("text"), _sheet_and_notes(k["rows"], records, want["notes"]).alias("notes"))
+
+    return let(let(known, texts), lambda t: _security_fails(want, case, t["same"], t["text"], t["notes"], accepted, error))
+
+
+def _sheet_and_notes(rows: Column, records: Column, wanted: Column) -> Column:
+    return let(sheet_check(rows, records), lambda s: F.struct(s["why"].alias("rows"), notes_fail(rows, s["notes"], wanted).alias("notes")))
+
+
+def _security_fails(want: dict[str, Column], case: dict[str, Column], same: Column, text: Column, notes: Column, accepted: Column, error: Column) -> Column:
     n = F.length(text)
-    sheet = sheet_check(case["rows"], records)
     word = lambda p: replies.quote(replies.hit(text, p))
     opens = warned(text)
-    notes = let(sheet, lambda s: F.struct(s["why"].alias("rows"), notes_fail(case["rows"], s["notes"], want["notes"]).alias("notes")))
     checks = {
         "english": F.when(~F.coalesce(replies.english(text), F.lit(True)), "not English"),
         "hedge": word(HEDGE),
