@@ -77,13 +77,18 @@ def brand_name(name: Column, dev: Column) -> Column:
 
 def garbled(text: Column) -> Column:
     """Why a text reads as damaged: a doubled word, a sentence that begins small, stray punctuation."""
-    w = tx.fields(text)
-    bare = F.transform(w, lambda x: F.btrim(F.lower(x), F.lit("\"'(),.;:!?")))
-    at = F.when(F.size(w) > 1, F.sequence(F.lit(1), F.size(w) - 1)).otherwise(F.array().cast("array<int>"))
-    twice = F.filter(at, lambda i: (F.element_at(bare, i) != "") & (F.element_at(bare, i) == F.element_at(bare, i + 1)) & ~F.element_at(bare, i).rlike("[0-9]"))
-    doubled = F.when(F.size(twice) > 0, F.concat(F.lit("doubled word "), quote(F.concat(F.get(w, F.get(twice, F.lit(0)) - 1), F.lit(" "), F.get(w, F.get(twice, F.lit(0)))))))
+
+    def doubles(w: Column, bare: Column) -> Column:
+        at = F.when(F.size(w) > 1, F.sequence(F.lit(1), F.size(w) - 1)).otherwise(F.array().cast("array<int>"))
+        twice = F.filter(at, lambda i: (F.element_at(bare, i) != "") & (F.element_at(bare, i) == F.element_at(bare, i + 1)) & ~F.element_at(bare, i).rlike("[0-9]"))
+        return tx.let(F.get(twice, F.lit(0)), lambda i: F.concat(F.lit("doubled word "), quote(F.concat(F.get(w, i - 1), F.lit(" "), F.get(w, i)))))
+
+    return tx.let(text, lambda t: _garbled(t, tx.let(tx.fields(t), lambda w: tx.let(F.transform(w, lambda x: F.btrim(F.lower(x), F.lit("\"'(),.;:!?"))), lambda bare: doubles(w, bare)))))
+
+
+def _garbled(text: Column, doubled: Column) -> Column:
     starts = F.filter(F.regexp_extract_all(text, F.lit(re2_to_java(LOWER_START)), 0), lambda m: ~m.rlike(re2_to_java(ABBREVIATION)))
-    small = F.when(F.size(starts) > 0, F.concat(F.lit("sentence starts lowercase: "), quote(F.get(starts, F.lit(0)))))
+    small = F.concat(F.lit("sentence starts lowercase: "), quote(F.get(starts, F.lit(0))))
     stray = F.concat(F.lit("stray punctuation "), quote(hit(text, STRAY)))
     return F.coalesce(doubled, small, stray)
 
