@@ -280,17 +280,22 @@ def uses_shown(rows: Column, notes: Column, source: Column, quoted: Column, stat
 
 def security_reply_fails(text: Column, current: Column, rows: Column, notes: Column, name: Column, summary: Column, source: Column, quoted: Column, stated: Column) -> Column:
     """Why a security reply would not be stored: the first reason of all checks. ``notes`` are the reply's by fact."""
-    t = F.trim(F.coalesce(text, F.lit("")))
-    now = F.trim(F.coalesce(current, F.lit("")))
-    kept = F.when(no_change(t), now).otherwise(t)
-    return F.coalesce(
-        F.when(t == "", "empty security"),
-        F.when(no_change(t) & (now == ""), "security no-change with no stored text"),
-        other_build("security", t),
-        pitch(kept, name, summary),
-        against_scan(rows, kept, notes),
-        uses_shown(rows, notes, source, quoted, stated),
-    )
+
+    def read(k: Column) -> Column:
+        return F.struct(k["t"].alias("t"), k["now"].alias("now"), F.when(no_change(k["t"]), k["now"]).otherwise(k["t"]).alias("kept"), k["rows"].alias("rows"), k["notes"].alias("notes"))
+
+    def judge(k: Column) -> Column:
+        return F.coalesce(
+            F.when(k["t"] == "", "empty security"),
+            F.when(no_change(k["t"]) & (k["now"] == ""), "security no-change with no stored text"),
+            other_build("security", k["t"]),
+            pitch(k["kept"], name, summary),
+            against_scan(k["rows"], k["kept"], k["notes"]),
+            uses_shown(k["rows"], k["notes"], source, quoted, stated),
+        )
+
+    known = F.struct(F.trim(F.coalesce(text, F.lit(""))).alias("t"), F.trim(F.coalesce(current, F.lit(""))).alias("now"), rows.alias("rows"), notes.alias("notes"))
+    return tx.let(tx.let(known, read), judge)
 
 
 def truth(x: Column) -> Column:
