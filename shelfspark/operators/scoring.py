@@ -5,6 +5,8 @@ All are Columns over a case and a reply, so an eval run is one projection and it
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from shelfspark.functions import about, markdown
 from shelfspark.functions.regex import re2_to_java
 from shelfspark.functions.text import let
 from shelfspark.operators import evals, listing, replies, scan
+from shelfspark.plans.lineage import cut
 
 # Patterns of what a note must not say (RE2), and things that may be called private.
 HEDGE = r"(?i)\b(?:may|might|could|potentially|possibly)\b|can be a risk"
@@ -238,28 +241,64 @@ def score_security(want: dict[str, Column], case: dict[str, Column], reply: dict
     known = F.struct(F.trim(F.coalesce(reply["security"], F.lit(""))).alias("said"), F.trim(F.coalesce(case["current"], F.lit(""))).alias("current"), case["rows"].alias("rows"))
 
     def texts(k: Column) -> Column:
-        same = replies.no_change(k["said"])
-        return F.struct(same.alias("same"), F.when(same, k["current"]).otherwise(k["said"]).alias("text"), _sheet_and_notes(k["rows"], records, want["notes"]).alias("notes"))
+        same, text = _same_and_text(k["said"], k["current"])
+        return F.struct(same.alias("same"), text.alias("text"), _sheet_and_notes(k["rows"], records, want["notes"]).alias("notes"))
+
+    def judged(t: Column) -> Column:
+        return F.struct(t["same"].alias("same"), t["text"].alias("text"), wording(t["text"], case["source"]).alias("wording"), t["notes"].alias("notes"))
+
+    return let(let(let(known, texts), judged), lambda t: _security_fails(want, t["same"], t["text"], t["wording"], t["notes"], accepted, error))
+
+
+def score_security_cases(cases: DataFrame, want: dict[str, Column], case: dict[str, Column], reply: dict[str, Column], records: Column, accepted: Column, error: Column, fails: str = "fails") -> DataFrame:
+    """``cases`` with ``score_security`` of each; equal texts, and equal sheets, are judged once however many cases have them."""
+    same, text = _same_and_text(F.trim(F.coalesce(reply["security"], F.lit(""))), F.trim(F.coalesce(case["current"], F.lit(""))))
+    # What the last step needs is named here, as the classes are joined in between.
+    parts = {"same": same, "accepted": accepted, "error": error} | {f"want_{k}": want[k] for k in ("action", "warning", "must", "must_not")}
+    d = cases.select("*", *[c.alias(f"__{n}") for n, c in parts.items()], F.struct(text.alias("text"), case["source"].alias("source")).alias("__text"), F.struct(case["rows"].alias("rows"), records.alias("records"), want["notes"].alias("wanted")).alias("__sheet"))
+    d = judged_once(d, "__text", "__wording", lambda k: wording(k["text"], k["source"]))
+    d = judged_once(d, "__sheet", "__notes", lambda k: _sheet_and_notes(k["rows"], k["records"], k["wanted"]))
+    c = lambda n: F.col(f"__{n}")
+    known = {k: c(f"want_{k}") for k in ("action", "warning", "must", "must_not")}
+    return d.select(*cases.columns, _security_fails(known, c("same"), F.col("__text.text"), c("wording"), c("notes"), c("accepted"), c("error")).alias(fails))
+
+
+def judged_once(cases: DataFrame, by: str, name: str, judge: Callable[[Column], Column]) -> DataFrame:
+    """``cases`` with ``name``, what ``judge`` makes of the struct ``by``: formed once per distinct struct and joined to all that have it."""
+    classes = cut(cases.select(by).distinct().select(by, judge(F.col(by)).alias(name)), "judged")
+    return cases.join(classes, by)
 
-    return let(let(known, texts), lambda t: _security_fails(want, case, t["same"], t["text"], t["notes"], accepted, error))
+
+def _same_and_text(said: Column, current: Column) -> tuple[Column, Column]:
+    same = replies.no_change(said)
+    return same, F.when(same, current).otherwise(said)
 
 
 def _sheet_and_notes(rows: Column, records: Column, wanted: Column) -> Column:
     return let(sheet_check(rows, records), lambda s: F.struct(s["why"].alias("rows"), notes_fail(rows, s["notes"], wanted).alias("notes")))
 
 
-def _security_fails(want: dict[str, Column], case: dict[str, Column], same: Column, text: Column, notes: Column, accepted: Column, error: Column) -> Column:
-    n = F.length(text)
+def wording(text: Column, source: Column) -> Column:
+    """Struct of the checks of a note's words, by check, and whether it opens with a warning."""
     word = lambda p: replies.quote(replies.hit(text, p))
-    opens = warned(text)
     checks = {
-        "english": F.when(~F.coalesce(replies.english(text), F.lit(True)), "not English"),
+        "english": F.when(~F.coalesce(replies.english(text), F.lit(True)), F.lit("not English")),
         "hedge": word(HEDGE),
         "absence": F.coalesce(word(ABSENT), word(NOT_SENT)),
         "banned": replies.quote(banned_word(text)),
         "permission_id": word(replies.PERMISSION_ID),
-        "host": F.concat(replies.quote(unbacked_host(text, case["source"])), F.lit(" is not in the source")),
-        "warning": F.coalesce(warning_shape(text), F.when(want["warning"] & ~opens, "no warning, want one first").when(~want["warning"] & opens, "opens with a warning, want none")),
+        "host": F.concat(replies.quote(unbacked_host(text, source)), F.lit(" is not in the source")),
+        "shape": warning_shape(text),
+        "opens": warned(text),
+    }
+    return F.struct(*[c.alias(n) for n, c in checks.items()])
+
+
+def _security_fails(want: dict[str, Column], same: Column, text: Column, said: Column, notes: Column, accepted: Column, error: Column) -> Column:
+    n = F.length(text)
+    opens = said["opens"]
+    checks = {name: said[name] for name in ("english", "hedge", "absence", "banned", "permission_id", "host")} | {
+        "warning": F.coalesce(said["shape"], F.when(want["warning"] & ~opens, "no warning, want one first").when(~want["warning"] & opens, "opens with a warning, want none")),
         "must": missing_groups(want["must"], text),
         "must_not": forbidden_phrases(want["must_not"], text),
         "rows": notes["rows"],

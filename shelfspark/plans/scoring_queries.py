@@ -198,8 +198,8 @@ def score_security(spark, sf_dir):
     p, s, o, line, c = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linenumber"), F.col
     text = F.when(F.lower("security") == "no-change", F.col("security")).otherwise(F.concat("security", F.lit(" "), _pick(MORE, line % 9)))
     want = {"action": _pick(ACTIONS, p % 3), "warning": F.when(s % 4 != 0, s % 2 == 0), "must": _groups(MUST)(o % 4), "must_not": _pick(MUST_NOT, o % 3), "notes": c("wanted")}
-    fails = scoring.score_security(want, {"rows": c("scan"), "source": F.lit('get("relay.example.com")'), "current": c("current")}, {"security": text}, c("records"), F.when(p % 19 == 0, "refused"), F.when(p % 23 == 0, "timeout"))
-    return _sheets(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", _told(fails).alias("fails"))
+    scored = scoring.score_security_cases(_sheets(spark, sf_dir), want, {"rows": c("scan"), "source": F.lit('get("relay.example.com")'), "current": c("current")}, {"security": text}, c("records"), F.when(p % 19 == 0, "refused"), F.when(p % 23 == 0, "timeout"))
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", _told(c("fails")).alias("fails"))
 
 
 _TAGGED = "CASE x.fact " + " ".join(f"WHEN '{f}' THEN '{t}'" for f, t in scoring.FACT_TAGS.items()) + " END"
