@@ -65,6 +65,8 @@ def vector_key(document: Column, model: str = MODEL) -> Column:
 
 #: Query vectors that meet all items at once; more of them go through block by block.
 QUERY_BLOCK = 4096
+#: Items that meet a block of queries in one product: at first, and at most.
+FEWEST, MOST = 16, 1024
 
 
 def _best_of_block(queries: np.ndarray, k: int):
@@ -77,13 +79,17 @@ def _best_of_block(queries: np.ndarray, k: int):
         matrix = queries.astype(kind)
         q, dots, ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
         least = np.full(len(queries), np.iinfo(np.int32).min, np.int32)
+        seen = 0
         for batch in batches:
             flat = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False)).astype(kind)
             if len(flat) != width * batch.num_rows:
                 raise ValueError(f"vectors of other lengths than {width}")
             names = batch.column(0).to_numpy()
-            for lo in range(0, batch.num_rows, 1024):
-                got = (matrix @ flat[lo * width : (lo + 1024) * width].reshape(-1, width).T).astype(np.int32)
+            lo = 0
+            while lo < batch.num_rows:
+                # As many as were seen before: about k of a query's are better then, so the first ones don't all come in at once.
+                n = min(FEWEST if not seen else seen, MOST, batch.num_rows - lo)
+                got = (matrix @ flat[lo * width : (lo + n) * width].reshape(-1, width).T).astype(np.int32)
                 new, which = np.nonzero(got >= least[:, None])
                 q, dots, ids = np.concatenate([q, new]), np.concatenate([dots, got[new, which]]), np.concatenate([ids, names[lo + which]])
                 order = np.lexsort((ids, -dots, q))
@@ -92,6 +98,7 @@ def _best_of_block(queries: np.ndarray, k: int):
                 last = place == k - 1
                 least[q[last]] = dots[last]
                 q, dots, ids = q[place < k], dots[place < k], ids[place < k]
+                lo, seen = lo + n, seen + n
         if len(q):
             yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(ids), pa.array(dots)], names=["q", "vec_id", "dot"])
 
