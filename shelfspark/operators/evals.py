@@ -11,8 +11,13 @@ from shelfspark.functions.formats import fixed1
 
 def fails(checks: dict[str, Column]) -> Column:
     """Map of check -> reason of the checks that fail; a check is a reason or null."""
+    return F.map_from_entries(failed(checks))
+
+
+def failed(checks: dict[str, Column]) -> Column:
+    """Array of (check, reason) of the checks that fail, by check."""
     pairs = F.array(*[F.struct(F.lit(n).alias("check"), c.cast("string").alias("reason")) for n, c in sorted(checks.items())])
-    return F.map_from_entries(F.filter(pairs, lambda p: p["reason"].isNotNull()))
+    return F.filter(pairs, lambda p: p["reason"].isNotNull())
 
 
 def passed(fail_map: Column) -> Column:

@@ -251,21 +251,32 @@ def score_security(want: dict[str, Column], case: dict[str, Column], reply: dict
 
 
 def score_security_cases(cases: DataFrame, want: dict[str, Column], case: dict[str, Column], reply: dict[str, Column], records: Column, accepted: Column, error: Column, fails: str = "fails") -> DataFrame:
-    """``cases`` with ``score_security`` of each; equal texts, and equal sheets, are judged once however many cases have them."""
+    """``cases`` with ``score_security`` of each; equal texts under equal labels, and equal sheets, are judged once however many cases have them."""
     same, text = _same_and_text(F.trim(F.coalesce(reply["security"], F.lit(""))), F.trim(F.coalesce(case["current"], F.lit(""))))
-    # What the last step needs is named here, as the classes are joined in between.
-    parts = {"same": same, "accepted": accepted, "error": error} | {f"want_{k}": want[k] for k in ("action", "warning", "must", "must_not")}
-    d = cases.select("*", *[c.alias(f"__{n}") for n, c in parts.items()], F.struct(text.alias("text"), case["source"].alias("source")).alias("__text"), F.struct(case["rows"].alias("rows"), records.alias("records"), want["notes"].alias("wanted")).alias("__sheet"))
-    d = judged_once(d, "__text", "__wording", lambda k: wording(k["text"], k["source"]))
-    d = judged_once(d, "__sheet", "__notes", lambda k: _sheet_and_notes(k["rows"], k["records"], k["wanted"]))
-    c = lambda n: F.col(f"__{n}")
-    known = {k: c(f"want_{k}") for k in ("action", "warning", "must", "must_not")}
-    return d.select(*cases.columns, _security_fails(known, c("same"), F.col("__text.text"), c("wording"), c("notes"), c("accepted"), c("error")).alias(fails))
-
-
-def judged_once(cases: DataFrame, by: str, name: str, judge: Callable[[Column], Column]) -> DataFrame:
-    """``cases`` with ``name``, what ``judge`` makes of the struct ``by``: formed once per distinct struct and joined to all that have it."""
-    classes = cut(cases.select(by).distinct().select(by, judge(F.col(by)).alias(name)), "judged")
+    said = F.struct(same.alias("same"), text.alias("text"), case["source"].alias("source"), *[want[k].alias(k) for k in ("action", "warning", "must", "must_not")])
+    sheet = F.struct(case["rows"].alias("rows"), records.alias("records"), want["notes"].alias("wanted"))
+    d = cases.select("*", accepted.alias("__accepted"), error.alias("__error"), said.alias("__said"), sheet.alias("__sheet"))
+    d = judged_once(d, "__said", "__text_fails", _texts_judged)
+    d = judged_once(d, "__sheet", "__notes", lambda classes: classes.withColumn("__notes", evals.failed(_sheet_checks(_sheet_and_notes(*[F.col(f"__sheet.{k}") for k in ("rows", "records", "wanted")])))))
+    one = lambda check, reason: F.array(F.struct(F.lit(check).alias("check"), F.col(reason).cast("string").alias("reason")))
+    none = F.array().cast("array<struct<check:string,reason:string>>")
+    own = F.when(F.col("__accepted").isNotNull(), one("accepted", "__accepted")).otherwise(none)
+    found = F.sort_array(F.concat("__text_fails", own, F.when(F.col("__said.text") != "", F.col("__notes")).otherwise(none)))
+    return d.select(*cases.columns, F.map_from_entries(F.when(F.col("__error").isNull(), found).otherwise(one("reply", "__error"))).alias(fails))
+
+
+def _texts_judged(classes: DataFrame) -> DataFrame:
+    """Classes of texts and labels with what fails of the two; words are judged once per text."""
+    k = lambda name: F.col(f"__said.{name}")
+    texts = cut(classes, "texts").withColumn("__text", F.struct(k("text").alias("text"), k("source").alias("source")))
+    d = judged_once(texts, "__text", "__wording", lambda c: c.withColumn("__wording", wording(F.col("__text.text"), F.col("__text.source"))))
+    want = {n: k(n) for n in ("action", "warning", "must", "must_not")}
+    return d.select("__said", evals.failed(_text_checks(want, k("same"), k("text"), F.col("__wording"))).alias("__text_fails"))
+
+
+def judged_once(cases: DataFrame, by: str, name: str, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``cases`` with ``name``, what ``judge`` adds to the distinct structs ``by``: formed once per struct and joined to all that have it."""
+    classes = cut(judge(cases.select(by).distinct()).select(by, name), "judged")
     return cases.join(classes, by)
 
 
@@ -294,22 +305,27 @@ def wording(text: Column, source: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in checks.items()])
 
 
-def _security_fails(want: dict[str, Column], same: Column, text: Column, said: Column, notes: Column, accepted: Column, error: Column) -> Column:
+def _text_checks(want: dict[str, Column], same: Column, text: Column, said: Column) -> dict[str, Column]:
+    """Checks of a note against the labels, by name; ``said`` is its ``wording``."""
     n = F.length(text)
     opens = said["opens"]
     checks = {name: said[name] for name in ("english", "hedge", "absence", "banned", "permission_id", "host")} | {
         "warning": F.coalesce(said["shape"], F.when(want["warning"] & ~opens, "no warning, want one first").when(~want["warning"] & opens, "opens with a warning, want none")),
         "must": missing_groups(want["must"], text),
         "must_not": forbidden_phrases(want["must_not"], text),
-        "rows": notes["rows"],
-        "notes": notes["notes"],
     }
-    checks = {k: F.when(text != "", c) for k, c in checks.items()}
-    checks |= {
-        "accepted": accepted,
+    return {k: F.when(text != "", c) for k, c in checks.items()} | {
         "action": F.when((want["action"] == "keep") & ~same, "wrote a note, want no-change").when((want["action"] == "write") & same, "no-change, want a new note"),
         "length": F.when(text == "", "empty").when(n > MOST_SECURITY, F.concat(n.cast("string"), F.lit(f" characters, want under {MOST_SECURITY}"))),
     }
+
+
+def _sheet_checks(notes: Column) -> dict[str, Column]:
+    return {"rows": notes["rows"], "notes": notes["notes"]}
+
+
+def _security_fails(want: dict[str, Column], same: Column, text: Column, said: Column, notes: Column, accepted: Column, error: Column) -> Column:
+    checks = _text_checks(want, same, text, said) | {k: F.when(text != "", c) for k, c in _sheet_checks(notes).items()} | {"accepted": accepted}
     checks = {k: F.when(error.isNull(), c) for k, c in checks.items()}
     return evals.fails(checks | {"reply": error})
 
