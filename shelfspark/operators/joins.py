@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions import arrow_text
+from shelfspark.functions.text import let
 from shelfspark.plans.lineage import cut
 
 #: A side given as "small" is broadcast up to this many rows; beyond, Spark joins as it sees fit.
@@ -119,7 +120,7 @@ def mentions(df: DataFrame, text: str, tokens: list[str]) -> DataFrame:
 
 # -- versions ---------------------------------------------------------------
 
-SEMVER = r"^[vV]?(\d+)(?:\.(\d+))?(?:\.(\d+))?(?:[-+](.*))?\z"
+SEMVER = r"^[vV]?(\d+)\.(\d+)(?:\.(\d+))?(?:[-+](.*))?\z"
 
 
 def without_v(x: Column) -> Column:
@@ -134,8 +135,13 @@ def without_word_prefix(x: Column) -> Column:
 def semver(x: Column) -> Column:
     """Struct (major, minor, patch, pre), or null; missing parts are 0 (at least major.minor must be there)."""
     whole = F.trim(x)
-    part = lambda k: F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(whole, SEMVER, k), F.lit("")), F.lit("9999999999")).cast("long"), F.lit(0).cast("long"))
-    return F.when(whole.rlike(SEMVER) & whole.rlike(r"^[vV]?\d+\."), F.struct(part(1).alias("major"), part(2).alias("minor"), part(3).alias("patch"), F.regexp_extract(whole, SEMVER, 4).alias("pre")))
+    parts = F.split(F.regexp_replace(whole, SEMVER, "$1\u0000$2\u0000$3\u0000$4"), "\u0000", 4)
+
+    def read(cut: Column) -> Column:
+        number = lambda k: F.when(F.octet_length(F.get(cut, F.lit(k))).between(1, 10), F.get(cut, F.lit(k)).cast("long")).otherwise(0)
+        return F.struct(number(0).alias("major"), number(1).alias("minor"), number(2).alias("patch"), F.get(cut, F.lit(3)).alias("pre"))
+
+    return F.when(whole.rlike(SEMVER), let(parts, read))
 
 
 def closest_version(wanted: DataFrame, tags: DataFrame, key: str) -> DataFrame:
@@ -148,18 +154,31 @@ def closest_version(wanted: DataFrame, tags: DataFrame, key: str) -> DataFrame:
     distance in patches adds to that in minors; of the same patch only the next
     in order and the one of equal pre-release. So a version meets two tags of
     each minor version, however many tags there are, and each is found by one
-    sort of tags and versions together.
+    sort of tags and versions together. Only tags of a major version that is
+    asked for go on; an equal name that is a version has the same one, so only
+    names that are no versions meet the rest of the tags.
     """
     asked = wanted.select(F.col(key).alias("k"), F.col("version").alias("want"), F.trim("version").alias("name")).filter("name <> ''").distinct()
+    asked = cut(asked.select("k", "want", "name", without_v(F.col("name")).alias("bare"), F.inline_outer(F.array(semver(F.col("name"))))), "asked")
     refs = tags.select(F.col(key).alias("k"), "pos", F.trim("tag").alias("tag")).filter(F.col("tag").rlike(r"^[0-9A-Za-z][0-9A-Za-z._/+-]*\z"))
-    bare = refs.withColumn("bare", F.regexp_replace("tag", "^[vV]", ""))
-    named = asked.withColumn("bare", F.regexp_replace("name", "^[vV]", "")).join(bare, ["k", "bare"])
-    exact = named.groupBy("k", "want").agg(F.min(F.struct((F.col("tag") != F.col("name")).alias("other"), "pos", "tag")).alias("t")).select("k", "want", F.col("t.tag").alias("tag"))
-
-    read = refs.withColumn("t", F.coalesce(semver(F.col("tag")), semver(without_word_prefix(F.col("tag"))))).filter("t IS NOT NULL")
-    read = cut(read.select("k", "pos", "tag", "t.*").withColumn("final", F.col("pre") == ""), "versions")  # tags are parsed once
-    probes = asked.join(exact.select("k", "want"), ["k", "want"], "left_anti").withColumn("v", semver(F.col("name"))).filter("v IS NOT NULL").select("k", "want", "v.*")
-    probes = probes.withColumn("final", F.col("pre") == "")
+
+    # A generator parses a tag once, however many columns are read from it.
+    read = refs.select("k", "pos", "tag", F.inline(F.array(F.coalesce(semver(F.col("tag")), semver(without_word_prefix(F.col("tag")))))))
+    majors = asked.filter("major IS NOT NULL").select("k", "major").distinct()
+    read = read.join(majors.hint("shuffle_hash"), ["k", "major"], "left_semi")
+    read = cut(read.withColumn("final", F.col("pre") == ""), "versions")
+
+    def equal(names: DataFrame, held: DataFrame) -> DataFrame:
+        named = names.select("k", "want", "name", "bare").join(held.select("k", "pos", "tag", without_v(F.col("tag")).alias("bare")), ["k", "bare"])
+        return named.groupBy("k", "want").agg(F.min(F.struct((F.col("tag") != F.col("name")).alias("other"), "pos", "tag")).alias("t")).select("k", "want", F.col("t.tag").alias("tag"))
+
+    exact = equal(asked.filter("major IS NOT NULL"), read)
+    odd = asked.filter("major IS NULL")
+    if not odd.isEmpty():
+        exact = exact.unionByName(equal(odd, refs.filter(~F.col("tag").rlike(SEMVER))))
+    exact = cut(exact, "equal-names")
+    probes = asked.filter("major IS NOT NULL").join(exact.select("k", "want"), ["k", "want"], "left_anti").select("k", "want", "major", "minor", "patch", "pre")
+    probes = cut(probes.withColumn("final", F.col("pre") == ""), "probes")
 
     # Of a patch the newest tag counts in minors that are older than the version's, the oldest in newer ones; of equal tags the first.
     first_of = read.groupBy("k", "major", "minor", "patch", "final", "pre").agg(F.min(F.struct("pos", "tag")).alias("f"))

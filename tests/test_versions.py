@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from shelfspark.operators import joins
 
 WHOLE = re.compile(r"[vV]?(\d+)\.(\d+)(?:\.(\d+))?(?:[-+](.*))?")
@@ -67,3 +69,18 @@ def test_written_cases(spark):
     tags = spark.createDataFrame([(k, n, t) for k, (_, ts, _) in enumerate(cases) for n, t in enumerate(ts.split())], "repo int, pos int, tag string")
     wanted = spark.createDataFrame([(k, v) for k, (v, _, _) in enumerate(cases)], "repo int, version string")
     assert {r.repo: r.tag for r in joins.closest_version(wanted, tags, "repo").collect()} == {k: want for k, (_, _, want) in enumerate(cases)}
+
+
+def test_only_tags_of_asked_majors_go_on(spark, monkeypatch):
+    made = {}
+    whole = joins.cut
+    monkeypatch.setattr(joins, "cut", lambda df, name="cut": made.setdefault(name, whole(df, name)))
+    tags = spark.createDataFrame([(k, n, t) for k in (1, 2) for n, t in enumerate(["v1.0.0", "2.0.1", "app-2.1.0", "3.0.0", "nightly", "vv2.0"])], "repo int, pos int, tag string")
+    wanted = spark.createDataFrame([(1, "2.0.0"), (1, "2.0.1"), (1, "nightly"), (2, "vv2.0"), (2, "1.0.0")], "repo int, version string")
+    got = {(r.repo, r.version): r.tag for r in joins.closest_version(wanted, tags, "repo").collect()}
+    assert got == {(1, "2.0.0"): "2.0.1", (1, "2.0.1"): "2.0.1", (1, "nightly"): "nightly", (2, "vv2.0"): "vv2.0", (2, "1.0.0"): "v1.0.0"}
+    assert sorted((r.k, r.tag) for r in made["versions"].collect()) == [(1, "2.0.1"), (1, "app-2.1.0"), (2, "v1.0.0")]
+    plan = made["asked"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "rlike" not in plan.lower()
+    parsed = spark.createDataFrame([("v1.2",)], "x string").select(joins.semver(F.col("x")).alias("v"))
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("regexp_") == 1
