@@ -62,7 +62,7 @@ def _corpus(spark, sf_dir):
     odd = F.to_json(F.struct(id_.alias("id"), path.alias("path"), key.alias("name")))
     line = F.when(key % 37 == 0, F.substring(good, F.lit(1), F.length(good) - 5)).when(key % 41 == 0, odd).otherwise(good)
     folder = scratch_path(spark, "corpus")
-    p.select(key.alias("k"), line.alias("value")).repartition(1).sortWithinPartitions("k").select("value").write.text(folder)
+    p.select(key.alias("k"), line.alias("value")).repartitionByRange("k").sortWithinPartitions("k").select("value").write.text(folder)  # files are numbered by their ranges
     return corpora.library_corpus(spark, folder)
 
 
