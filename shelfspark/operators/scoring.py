@@ -51,6 +51,8 @@ FACT_TAGS = {
     "usage_stats": "system-access",
     "system_alert_window": "system-access",
 }
+#: Judged classes are broadcast up to so many of them and characters of their JSON; beyond, cases meet them by shuffle.
+BROADCAST_CLASSES, BROADCAST_CHARS = 1 << 18, 1 << 26
 SPLITS, ACTIONS = ("train", "dev", "test"), ("keep", "write")
 _TEXTS = "array<string>"
 
@@ -256,8 +258,10 @@ def score_security_cases(cases: DataFrame, want: dict[str, Column], case: dict[s
     said = F.struct(same.alias("same"), text.alias("text"), case["source"].alias("source"), *[want[k].alias(k) for k in ("action", "warning", "must", "must_not")])
     sheet = F.struct(case["rows"].alias("rows"), records.alias("records"), want["notes"].alias("wanted"))
     d = cases.select("*", accepted.alias("__accepted"), error.alias("__error"), said.alias("__said"), sheet.alias("__sheet"))
-    d = judged_once(d, "__said", "__text_fails", _texts_judged)
-    d = judged_once(d, "__sheet", "__notes", lambda classes: classes.withColumn("__notes", evals.failed(_sheet_checks(_sheet_and_notes(*[F.col(f"__sheet.{k}") for k in ("rows", "records", "wanted")])))))
+    # Both sides come from the bare cases: judging sheets does not repeat the join with the texts.
+    texts = classes_of(d, "__said", "__text_fails", _texts_judged)
+    sheets = classes_of(d, "__sheet", "__notes", lambda classes: classes.withColumn("__notes", evals.failed(_sheet_checks(_sheet_and_notes(*[F.col(f"__sheet.{k}") for k in ("rows", "records", "wanted")])))))
+    d = d.join(texts, "__said").join(sheets, "__sheet")
     one = lambda check, reason: F.array(F.struct(F.lit(check).alias("check"), F.col(reason).cast("string").alias("reason")))
     none = F.array().cast("array<struct<check:string,reason:string>>")
     own = F.when(F.col("__accepted").isNotNull(), one("accepted", "__accepted")).otherwise(none)
@@ -274,10 +278,16 @@ def _texts_judged(classes: DataFrame) -> DataFrame:
     return d.select("__said", evals.failed(_text_checks(want, k("same"), k("text"), F.col("__wording"))).alias("__text_fails"))
 
 
+def classes_of(cases: DataFrame, by: str, name: str, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(by, name): what ``judge`` adds to the distinct structs ``by`` of ``cases``, formed once per struct; broadcast while that is bounded."""
+    classes = cut(judge(cases.select(by).distinct()).select(by, name), "judged")
+    n = classes.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.length(F.to_json(F.struct(by, name)))), F.lit(0)).alias("size")).first()
+    return F.broadcast(classes) if n.rows <= BROADCAST_CLASSES and n.size <= BROADCAST_CHARS else classes
+
+
 def judged_once(cases: DataFrame, by: str, name: str, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``cases`` with ``name``, what ``judge`` adds to the distinct structs ``by``: formed once per struct and joined to all that have it."""
-    classes = cut(judge(cases.select(by).distinct()).select(by, name), "judged")
-    return cases.join(classes, by)
+    return cases.join(classes_of(cases, by, name, judge), by)
 
 
 def _same_and_text(said: Column, current: Column) -> tuple[Column, Column]:
