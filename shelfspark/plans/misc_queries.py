@@ -124,12 +124,16 @@ def shortest_manifests(spark, sf_dir):
     return digest.shortest_path(f, "readme.md").select("tree_id", "path")
 
 
+#: Orders are dealt to so many partitions of the table function: enough for all tasks, with many orders in each.
+BUCKETS = 4096
+
+
 @query("table_function_budget", "WITH b AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(coalesce(sum(l_suppkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM lineitem) SELECT l_orderkey, l_linenumber, l_suppkey, before FROM b WHERE before <= 60")
 def table_function_budget(spark, sf_dir):
-    """Lines of an order until sizes have gone over a budget, by a table function called from SQL."""
-    table_functions.register(spark)
+    """Lines of an order until sizes have gone over a budget, by a table function over Arrow batches called from SQL."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spark.sql("SELECT l_orderkey, l_linenumber, l_suppkey, before FROM take_within(TABLE({rows}) PARTITION BY (l_orderkey) ORDER BY (l_linenumber, l_partkey, l_suppkey), 'l_suppkey', 60)", rows=rows)
+    spark.udtf.register("lines_within", table_functions.take_within_runs(rows.schema, ["l_orderkey"], "l_suppkey", 60))
+    return spark.sql(f"SELECT l_orderkey, l_linenumber, l_suppkey, before FROM lines_within(TABLE({{rows}}) PARTITION BY (pmod(xxhash64(l_orderkey), {BUCKETS})) ORDER BY (l_orderkey, l_linenumber, l_partkey, l_suppkey))", rows=rows)
 
 
 @query("set_hashes", "SELECT lang, sha256(string_agg(strlen(source) || chr(0) || source, '' ORDER BY encode(source))) AS hash FROM (SELECT DISTINCT lang, source FROM documents WHERE source IS NOT NULL) GROUP BY lang")
