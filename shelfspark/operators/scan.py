@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfspark.functions.regex import re2_to_java as java
 from shelfspark.functions.text import let
 from shelfspark.operators import facts
+from shelfspark.plans.lineage import spread
 
 # What makes a library Google's services, or its messaging; frameworks by name.
 GOOGLE = ("/com/google/android/gms", "play-services", "play services", "google mobile services")
@@ -120,6 +121,8 @@ def scan_rows(apps: DataFrame, libraries: DataFrame, app: str = "app_id") -> Dat
     name, type, path, anti). Google's services are a row of every app, yes or
     no; permissions count only where the manifest could be read.
     """
+    n = libraries.count()
+    apps, libraries = spread(apps, app, n), spread(libraries, app, n)
     each = libraries.select(app, F.explode(library_facts(F.col("name"), F.col("id"), F.col("type"), F.col("path"), F.col("anti"))).alias("f")).select(app, "f.fact", F.nullif("f.label", F.lit("")).alias("label"))
     found = facts.library_rows(each, app)
     google = found.filter("fact = 'google_services'").select(F.col(app).alias("__has"))

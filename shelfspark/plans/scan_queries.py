@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators import facts, scan
+from shelfspark.plans.lineage import spread
 from shelfspark.registry import query, table
 
 P = "android.permission."
@@ -62,7 +63,7 @@ def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = lambda items, k: F.element_at(F.array(*items), (k + 1).cast("int"))
     lib = pick([F.struct(F.lit(i).alias("id"), F.lit(n).alias("name"), F.lit(t).alias("type"), F.lit(p).alias("path"), F.array(*map(F.lit, a)).cast("array<string>").alias("anti")) for i, n, t, p, a in LIBRARIES], F.col("l_partkey") % 12)
     libraries = lines.select(F.col("l_orderkey").alias("app_id"), lib.alias("l")).select("app_id", "l.*")
-    asked = lines.groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_set(pick(list(map(F.lit, PERMISSIONS)), (F.col("l_suppkey") + 7 * F.col("l_linenumber")) % 24)).alias("permissions"))
+    asked = spread(lines, "l_orderkey", lines.count()).groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_set(pick(list(map(F.lit, PERMISSIONS)), (F.col("l_suppkey") + 7 * F.col("l_linenumber")) % 24)).alias("permissions"))
     apps = table(spark, sf_dir, "orders").join(asked, F.col("o_orderkey") == F.col("k"), "left").select(F.col("o_orderkey").alias("app_id"), F.concat(F.lit(" AB"), "o_orderkey").alias("hash"), (F.col("o_orderkey") % 5 != 0).alias("manifest"), F.coalesce("permissions", F.array().cast("array<string>")).alias("permissions"))
     return scan.scan_rows(apps, libraries)
 
